@@ -101,7 +101,7 @@ def _replay(spark: SparkSession, sf_dir: str, flights: DataFrame, path: str) ->
     replay_lines(flights, path, maxRecordsPerFile=per_file)
 
 
-def _topic(spark: SparkSession, sf_dir: str) -> str:
+def shared_topic(spark: SparkSession, sf_dir: str) -> str:
     """The flights as message files; all streaming queries of an application read one replay."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _topics:
@@ -122,13 +122,13 @@ def _wait(query) -> None:
 
 
 def _replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_flights(spark.read.text(_topic(spark, sf_dir)))
+    return decode_flights(spark.read.text(shared_topic(spark, sf_dir)))
 
 
 def _wire_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_dir(spark, "decoded")
     _wait(
-        _stream(spark, _topic(spark, sf_dir)).writeStream.format("parquet").outputMode("append")
+        _stream(spark, shared_topic(spark, sf_dir)).writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(**AVAILABLE_NOW).start(f"{root}/flights"))
     return spark.read.parquet(f"{root}/flights")
@@ -139,7 +139,7 @@ def _final_state(
 ) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = new_dir(spark, "state")
-        running = state(_stream(spark, _topic(spark, sf_dir)))
+        running = state(_stream(spark, shared_topic(spark, sf_dir)))
         _wait(start_query(
             running, f"{root}/state", f"{root}/checkpoint", lambda batch: batch, mode,
             AVAILABLE_NOW, rocksdb))
@@ -153,7 +153,7 @@ def _final_state(
 def _question(name: str, bounds: TwoLegBounds | None = None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = new_dir(spark, name)
-        flights = _stream(spark, _topic(spark, sf_dir))
+        flights = _stream(spark, shared_topic(spark, sf_dir))
         _wait(start_question(name, flights, root, AVAILABLE_NOW, bounds))
         return conform(
             read_question(spark, name, root),
