@@ -31,7 +31,6 @@ class StreamQuestion(NamedTuple):
     state: Callable[..., DataFrame]
     finish: Callable[[DataFrame], DataFrame]
     mode: str = "complete"
-    rocksdb: bool = False
     reread: bool = False
 
 
@@ -47,9 +46,10 @@ def _pair(legs: DataFrame) -> DataFrame:
     return pair_legs(*split_legs(legs))
 
 
-# The airports, carriers and origin pairs are few, so their whole state is
-# handed over each time. Route means hand over changes only. Two-leg state grows
-# with the days asked for, and its join needs all of it.
+# The number of airports, carriers and their pairs does not grow with the flights,
+# so their whole state is handed over each time; route means, the largest of them,
+# hand over changes only. Two-leg state is bounded by the sets asked for, and its
+# join needs all of it.
 STREAM_QUESTIONS = {
     "airport_popularity": StreamQuestion("results11", running_visits, rank_airports),
     "carrier_punctuality": StreamQuestion(
@@ -68,8 +68,8 @@ STREAM_QUESTIONS = {
         "results24",
         lambda flights: running_mean(flights, ["Origin", "Dest"], "ArrDelay"),
         lambda state: finish_routes(state.select("Origin", "Dest", "mean")),
-        mode="update", rocksdb=True),
-    "two_leg": StreamQuestion("results32", bounded_legs, _pair, rocksdb=True, reread=True),
+        mode="update"),
+    "two_leg": StreamQuestion("results32", bounded_legs, _pair, reread=True),
 }
 
 
@@ -90,7 +90,7 @@ def start_question(
 
     return start_query(
         state, f"{root}/{question.table}", f"{root}/_checkpoints/{question.table}", finish,
-        question.mode, trigger, question.rocksdb, question.reread)
+        question.mode, trigger, reread=question.reread)
 
 
 def start_all(
