@@ -24,21 +24,23 @@ TWO_LEG_BOUNDS = TwoLegBounds(
 
 
 def run_stream(
-    messages: DataFrame, root: str, bounds: TwoLegBounds = TWO_LEG_BOUNDS, trigger: dict | None = None
+    messages: DataFrame,
+    root: str,
+    bounds: TwoLegBounds = TWO_LEG_BOUNDS,
+    trigger: dict | None = None,
+    show: int = 0,
 ) -> list[StreamingQuery]:
     """Start every question, and the store of lines that are no flights, under ``root``."""
-    started = start_all(decode_flights(messages), root, bounds, trigger)
+    started = start_all(decode_flights(messages), root, bounds, trigger, show)
     rejects = start_rejects(messages, f"{root}/rejects", f"{root}/_checkpoints/rejects", trigger)
     return [*started, rejects]
 
 
 def wait_for(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
-    """Wait until every query ends; the first failure stops the wait."""
-    for _ in queries:
+    """Wait until every query has ended; the first failure ends the wait with its error."""
+    while any(query.isActive for query in queries):
         spark.streams.awaitAnyTermination()
         spark.streams.resetTerminated()
-        if not any(query.isActive for query in queries):
-            break
     for query in queries:
         query.awaitTermination()
 
@@ -48,17 +50,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--input", help="folder of the message files; not for a broker")
     args.add_argument("--output", required=True)
     args.add_argument("--once", action="store_true", help="take in what is there and stop")
-    args.add_argument("--show", action="store_true", help="also print decoded rows of every micro-batch")
+    args.add_argument("--show", action="store_true", help="print the first rows of every micro-batch's results")
     add_format(args, "text")
     given = args.parse_args(argv)
     spark = build_session("skyledger-stream", given.master)
     trigger = AVAILABLE_NOW if given.once else EVERY_TEN_SECONDS
     messages = read_messages(spark, given.input, given.format, **key_values(given.option))
-    queries = run_stream(messages, given.output, trigger=trigger)
-    if given.show:
-        queries.append(
-            decode_flights(messages).writeStream.format("console").trigger(**trigger).start())
-    wait_for(spark, queries)
+    wait_for(spark, run_stream(messages, given.output, trigger=trigger, show=10 if given.show else 0))
 
 
 if __name__ == "__main__":

@@ -32,22 +32,26 @@ def read_table(spark: SparkSession, table: str, root: str, fmt: str = "parquet",
 
 
 def batch_writer(
-    path: str, finish: Callable[[DataFrame], DataFrame], reread: bool = False
+    path: str, finish: Callable[[DataFrame], DataFrame], reread: bool = False, show: int = 0
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that stores ``finish(batch)`` under the batch's own id.
 
     ``reread`` says that ``finish`` reads its input more than once; the batch is
     then kept while it is written, so that its state is updated only once.
+    ``show`` prints that many stored rows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{path}/batch_id={batch_id}"
         if reread:
             batch.persist()
         try:
-            finish(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            finish(batch).write.mode("overwrite").parquet(folder)
         finally:
             if reread:
                 batch.unpersist()
+        if show:
+            batch.sparkSession.read.parquet(folder).show(show, truncate=False)
 
     return write
 

@@ -79,6 +79,7 @@ def start_question(
     root: str,
     trigger: dict | None = None,
     bounds: TwoLegBounds | None = None,
+    show: int = 0,
 ) -> StreamingQuery:
     """Start one question on a flight stream, with result and checkpoint under ``root``."""
     question = STREAM_QUESTIONS[name]
@@ -90,15 +91,15 @@ def start_question(
 
     return start_query(
         state, f"{root}/{question.table}", f"{root}/_checkpoints/{question.table}", finish,
-        question.mode, trigger, reread=question.reread)
+        question.mode, trigger, reread=question.reread, show=show)
 
 
 def start_all(
-    flights: DataFrame, root: str, bounds: TwoLegBounds, trigger: dict | None = None
+    flights: DataFrame, root: str, bounds: TwoLegBounds, trigger: dict | None = None, show: int = 0
 ) -> list[StreamingQuery]:
     """All questions over one input, each a query with its own progress."""
     return [
-        start_question(name, flights, root, trigger, bounds if name == "two_leg" else None)
+        start_question(name, flights, root, trigger, bounds if name == "two_leg" else None, show)
         for name in STREAM_QUESTIONS
     ]
 

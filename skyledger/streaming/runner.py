@@ -26,19 +26,20 @@ def start_query(
     trigger: dict | None = None,
     rocksdb: bool = False,
     reread: bool = False,
+    show: int = 0,
 ) -> StreamingQuery:
     """Run ``finish`` on the output of every micro-batch and store it under ``path``.
 
     ``mode`` "complete" hands over the whole state each time, "update" only the
     groups that changed. ``rocksdb`` keeps the state outside the JVM heap, for
     key spaces that grow with the data. ``reread`` is for a ``finish`` that uses
-    its input twice.
+    its input twice; ``show`` prints that many rows of every result.
     """
     writer = (
         state.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_TEN_SECONDS))
-        .foreachBatch(batch_writer(path, finish, reread))
+        .foreachBatch(batch_writer(path, finish, reread, show))
     )
     if not rocksdb:
         return writer.start()

@@ -1,0 +1,129 @@
+"""Every question on the hand-made rows, as a batch and as a stream cut in different ways."""
+
+import pytest
+
+from conftest import EDGE_LINES, rows
+from skyledger import plans
+from skyledger.jobs.batch import run_batch, stage_summary
+from skyledger.operators import TwoLegBounds
+from skyledger.plans.summary import answers_from_summary
+from skyledger.sinks import read_table
+from skyledger.sources import decode_flights, read_messages
+from skyledger.streaming import AVAILABLE_NOW, read_question, start_question
+
+AIRPORTS = [
+    (1, "ATL", 10), (2, "BOS", 8), (3, "LAX", 4), (4, "JFK", 3), (5, "STL", 2), (6, "ORD", 1),
+    (7, "PHX", 1), (8, "SNA", 1),
+]
+CARRIERS = [(1, "UA", -19.0), (2, "DL", -8.86), (3, "AA", 3.2)]
+BOS_CARRIERS = [("BOS", 1, "UA", 0.0), ("BOS", 2, "DL", 0.5), ("BOS", 3, "AA", 3.0), ("BOS", 4, "ZZ", 3.0)]
+ROUTES = [
+    ("ATL", "BOS", 0.0), ("ATL", "LAX", -7.33), ("ATL", "ORD", -5.0), ("BOS", "ATL", -11.2),
+    ("BOS", "JFK", -8.0), ("JFK", "LAX", 4.0), ("PHX", "STL", 1.0), ("STL", "SNA", 2.0),
+]
+COMPLETE_TRIPS = [
+    ("BOS", "ATL", "BOS", "03/04/2008", "3", "10", 2.0),
+    ("BOS", "ATL", "LAX", "03/04/2008", "3", "7", -1.0),
+    ("PHX", "STL", "SNA", "08/03/2008", "14", "15", 3.0),
+]
+WITHOUT_DEPARTURE_DELAY = ("BOS", "JFK", "LAX", "03/04/2008", "5", "11", -4.0)
+EVERYWHERE = ["ATL", "BOS", "JFK", "LAX", "ORD", "PHX", "SNA", "STL"]
+ALL_BOUNDS = TwoLegBounds(EVERYWHERE, EVERYWHERE, EVERYWHERE, ["03/04/2008", "08/03/2008"], 2008)
+
+
+def trips(df):
+    return rows(df.select(
+        "airportx", "airporty", "airportz", "flightdate1", "flightnum1", "flightnum2", "totaldelay"))
+
+
+def test_malformed_line_is_left_out(edge_flights):
+    assert edge_flights.count() == 15
+
+
+def test_airports(edge_flights):
+    assert rows(plans.airport_popularity(edge_flights)) == AIRPORTS
+
+
+def test_carrier_without_delays_has_no_rank(edge_flights):
+    assert rows(plans.carrier_punctuality(edge_flights)) == CARRIERS
+
+
+def test_carriers_of_an_origin(edge_flights):
+    top = plans.origin_top(edge_flights, "UniqueCarrier")
+    assert rows(top.where("airport = 'BOS'")) == BOS_CARRIERS
+
+
+@pytest.mark.parametrize("style, text", [
+    ("flat", "[UA, 0.0, DL, 0.5, AA, 3.0, ZZ, 3.0]"),
+    ("tuple", "[(UA,0.0), (DL,0.5), (AA,3.0), (ZZ,3.0)]"),
+])
+def test_packed_carriers(edge_flights, style, text):
+    packed = plans.origin_packed(edge_flights, "UniqueCarrier", style=style)
+    assert rows(packed.where("airport = 'BOS'")) == [("BOS", text)]
+
+
+def test_packed_destinations(edge_flights):
+    packed = plans.origin_packed(edge_flights, "Dest")
+    assert rows(packed.where("airport = 'BOS'")) == [("BOS", "[ATL, 1.4, JFK, 3.0]")]
+
+
+def test_routes(edge_flights):
+    assert rows(plans.route_mean_arr_delay(edge_flights)) == ROUTES
+
+
+def test_trips_of_complete_rows(edge_flights):
+    assert trips(plans.two_leg_all(edge_flights, 2008)) == COMPLETE_TRIPS
+
+
+def test_trips_that_only_need_an_arrival_delay(edge_flights):
+    found = trips(plans.two_leg_all(edge_flights, 2008, ["ArrDelay"]))
+    assert found == sorted([*COMPLETE_TRIPS, WITHOUT_DEPARTURE_DELAY])
+
+
+def test_bounded_trips_take_independent_sets(edge_flights):
+    bounds = TwoLegBounds(["BOS", "PHX"], ["ATL", "STL"], ["LAX", "SNA"], ["03/04/2008", "08/03/2008"], 2008)
+    assert trips(plans.two_leg_bounded(edge_flights, bounds)) == COMPLETE_TRIPS[1:]
+
+
+def test_bounded_trips_equal_all_trips_under_full_sets(edge_flights):
+    assert trips(plans.two_leg_bounded(edge_flights, ALL_BOUNDS)) == trips(
+        plans.two_leg_all(edge_flights, 2008, ["ArrDelay"]))
+
+
+def test_summary_gives_the_same_answers(spark, edge_flights):
+    answers = answers_from_summary(stage_summary(spark, edge_flights))
+    assert rows(answers["results11"]) == AIRPORTS
+    assert rows(answers["results12"]) == CARRIERS
+    assert rows(answers["results21"]) == rows(plans.origin_packed(edge_flights, "UniqueCarrier"))
+    assert rows(answers["results22"]) == rows(plans.origin_packed(edge_flights, "Dest"))
+    assert rows(answers["results24"]) == ROUTES
+
+
+def test_batch_job_writes_every_table(spark, edge_flights, folder):
+    root = folder()
+    run_batch(spark, edge_flights, root)
+    assert rows(read_table(spark, "results11", root)) == AIRPORTS
+    assert rows(read_table(spark, "results24", root)) == ROUTES
+    assert trips(read_table(spark, "results32", root)) == COMPLETE_TRIPS
+
+
+CUTS = {"one file": (EDGE_LINES, 1), "three files": (EDGE_LINES, 3), "five reversed": (EDGE_LINES[::-1], 5)}
+
+
+@pytest.mark.parametrize("cut", CUTS)
+@pytest.mark.parametrize("name", ["airport_popularity", "carrier_punctuality", "origin_carrier", "route_mean", "two_leg"])
+def test_stream_does_not_depend_on_arrival(spark, edge_flights, folder, line_files, cut, name):
+    lines, files = CUTS[cut]
+    root = folder()
+    flights = decode_flights(read_messages(spark, line_files(lines, files), maxFilesPerTrigger=1))
+    bounds = ALL_BOUNDS if name == "two_leg" else None
+    start_question(name, flights, root, AVAILABLE_NOW, bounds).awaitTermination()
+    answer = read_question(spark, name, root)
+    expected = {
+        "airport_popularity": lambda: AIRPORTS,
+        "carrier_punctuality": lambda: CARRIERS,
+        "origin_carrier": lambda: rows(plans.origin_packed(edge_flights, "UniqueCarrier", style="tuple")),
+        "route_mean": lambda: ROUTES,
+        "two_leg": lambda: sorted([*COMPLETE_TRIPS, WITHOUT_DEPARTURE_DELAY]),
+    }[name]()
+    assert (trips(answer) if name == "two_leg" else rows(answer)) == expected
