@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.jobs.options import add_format, key_values, parser
@@ -13,6 +13,8 @@ from skyledger.session import build_session
 from skyledger.sources import decode_flights, read_messages
 from skyledger.streaming import AVAILABLE_NOW, EVERY_TEN_SECONDS, start_all, start_rejects
 
+POLL_SECONDS = 1
+
 # The airports, first days and year of the continuous two-leg question.
 TWO_LEG_BOUNDS = TwoLegBounds(
     xs=["BOS", "PHX", "DFW", "LAX", "CMH"],
@@ -36,11 +38,11 @@ def run_stream(
     return [*started, rejects]
 
 
-def wait_for(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
-    """Wait until every query has ended; the first failure ends the wait with its error."""
+def wait_for(queries: Sequence[StreamingQuery]) -> None:
+    """Wait until every query has ended; a failed one ends the wait with its error."""
     while any(query.isActive for query in queries):
-        spark.streams.awaitAnyTermination()
-        spark.streams.resetTerminated()
+        for query in queries:
+            query.awaitTermination(POLL_SECONDS)
     for query in queries:
         query.awaitTermination()
 
@@ -56,7 +58,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("skyledger-stream", given.master)
     trigger = AVAILABLE_NOW if given.once else EVERY_TEN_SECONDS
     messages = read_messages(spark, given.input, given.format, **key_values(given.option))
-    wait_for(spark, run_stream(messages, given.output, trigger=trigger, show=10 if given.show else 0))
+    wait_for(run_stream(messages, given.output, trigger=trigger, show=10 if given.show else 0))
 
 
 if __name__ == "__main__":

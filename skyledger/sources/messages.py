@@ -10,13 +10,14 @@ from skyledger.sources.files import typed_flights
 # Fixed value: the topic of the flight messages.
 TOPIC = "flights"
 
+_KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 _TEXT_DDL = ", ".join(f"{name} STRING" for name in FLIGHT_SCHEMA.fieldNames())
 
 
 def wire_lines(flights: DataFrame) -> DataFrame:
     """One ``value`` per flight, fields in wire order; a null is an empty field."""
     fields = F.struct(*FLIGHT_SCHEMA.fieldNames())
-    return flights.select(F.to_csv(fields).alias("value"))
+    return flights.select(F.to_csv(fields, _KEEP_SPACES).alias("value"))
 
 
 def replay_lines(
@@ -47,7 +48,7 @@ def read_messages(
 
 
 def _fields(messages: DataFrame) -> DataFrame:
-    return messages.select("value", F.from_csv("value", _TEXT_DDL).alias("f"))
+    return messages.select("value", F.from_csv("value", _TEXT_DDL, _KEEP_SPACES).alias("f"))
 
 
 def _is_flight():
