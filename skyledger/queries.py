@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger import plans
 from skyledger.operators import TwoLegBounds, complete_rows, endpoint_counts
+from skyledger.operators.legs import LEG_KEYS
 from skyledger.schema import RESULT_TABLES, conform
 from skyledger.session import new_dir
 from skyledger.sinks import read_changes, read_latest, read_table, write_table
@@ -27,6 +28,7 @@ from skyledger.sources import (
 )
 from skyledger.streaming import (
     AVAILABLE_NOW,
+    STREAM_QUESTIONS,
     read_question,
     running_best,
     running_mean,
@@ -34,6 +36,7 @@ from skyledger.streaming import (
     start_query,
     start_question,
 )
+from skyledger.streaming.questions import FEW_KEYS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +56,11 @@ LINES_PER_FILE = 5_000_000
 MICRO_BATCHES = 3
 
 
+# Route and day keys grow with the flights, and so do the partitions of their state.
+LINES_PER_STATE_PARTITION = 500_000
+LEAST_STATE_PARTITIONS = 8
+
+
 # --- batch ---------------------------------------------------------------
 
 def _csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,9 +103,13 @@ BATCH: dict[str, Query] = {
 _topics: dict[tuple[str, str], str] = {}
 
 
+def _line_count(spark: SparkSession, sf_dir: str) -> int:
+    """Answered from the files' footers."""
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+
+
 def _replay(spark: SparkSession, sf_dir: str, flights: DataFrame, path: str) -> None:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
-    per_file = min(LINES_PER_FILE, max(1, math.ceil(lines / SMALL_REPLAY_FILES)))
+    per_file = min(LINES_PER_FILE, max(1, math.ceil(_line_count(spark, sf_dir) / SMALL_REPLAY_FILES)))
     replay_lines(flights, path, maxRecordsPerFile=per_file)
 
 
@@ -134,22 +146,28 @@ def _wire_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/flights")
 
 
-def _final_state(
-    state: Callable[[DataFrame], DataFrame], keys: tuple[str, ...], mode: str, rocksdb: bool = False
-) -> Query:
+def _final_state(state: Callable[[DataFrame], DataFrame]) -> Query:
+    """The last whole state of a running aggregate with few keys."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = new_dir(spark, "state")
-        running = state(_stream(spark, shared_topic(spark, sf_dir)))
         _wait(start_query(
-            running, f"{root}/state", f"{root}/checkpoint", lambda batch: batch, mode,
-            AVAILABLE_NOW, rocksdb))
-        if mode == "update":
-            return read_changes(spark, f"{root}/state", keys)
+            state(_stream(spark, shared_topic(spark, sf_dir))), f"{root}/state", f"{root}/checkpoint",
+            lambda batch: batch, "complete", AVAILABLE_NOW, partitions=FEW_KEYS))
         return read_latest(spark, f"{root}/state")
 
     return query
 
 
+def _argmin_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_dir(spark, "state")
+    partitions = max(LEAST_STATE_PARTITIONS, _line_count(spark, sf_dir) // LINES_PER_STATE_PARTITION)
+    _wait(start_query(
+        running_best(_stream(spark, shared_topic(spark, sf_dir))), f"{root}/state", f"{root}/checkpoint",
+        lambda batch: batch, "update", AVAILABLE_NOW, rocksdb=True, partitions=partitions))
+    return read_changes(spark, f"{root}/state", LEG_KEYS)
+
+
 def _question(name: str, bounds: TwoLegBounds | None = None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = new_dir(spark, name)
@@ -157,21 +175,15 @@ def _question(name: str, bounds: TwoLegBounds | None = None) -> Query:
         _wait(start_question(name, flights, root, AVAILABLE_NOW, bounds))
         return conform(
             read_question(spark, name, root),
-            RESULT_TABLES[_table_of(name)].schema)
+            RESULT_TABLES[STREAM_QUESTIONS[name].table].schema)
 
     return query
 
 
-def _table_of(name: str) -> str:
-    from skyledger.streaming import STREAM_QUESTIONS
-
-    return STREAM_QUESTIONS[name].table
-
-
 def _restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airport popularity over two runs: morning lines, a stop, then the rest under one checkpoint."""
     root, topic = new_dir(spark, "restart"), new_dir(spark, "topic")
-    flights = flights_view(spark, sf_dir)
+    flights = decode_flights(spark.read.text(shared_topic(spark, sf_dir)))
     morning = F.coalesce(F.col("CRSDepTime") < 1200, F.lit(False))
     for half in (flights.where(morning), flights.where(~morning)):
         _replay(spark, sf_dir, half, topic)
@@ -182,11 +194,9 @@ def _restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM: dict[str, Query] = {
     "s_replay_lines": _replay_lines,
     "s_wire_decode": _wire_decode,
-    "s_state_sum": _final_state(running_visits, ("airport",), "complete"),
-    "s_state_avg": _final_state(
-        lambda f: running_mean(f, ["UniqueCarrier"], "ArrDelay"), ("UniqueCarrier",), "complete"),
-    "s_state_argmin": _final_state(
-        running_best, ("Origin", "Dest", "FlightDate"), "update", rocksdb=True),
+    "s_state_sum": _final_state(running_visits),
+    "s_state_avg": _final_state(lambda f: running_mean(f, ["UniqueCarrier"], "ArrDelay")),
+    "s_state_argmin": _argmin_state,
     "s_airport_popularity_top10": _question("airport_popularity"),
     "s_carrier_ontime_top10": _question("carrier_punctuality"),
     "s_origin_carrier_packed": _question("origin_carrier"),

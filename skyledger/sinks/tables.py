@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.schema import RESULT_TABLES, conform
+from skyledger.session import session_conf
 
 
 def write_table(
@@ -36,6 +37,8 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that stores ``finish(batch)`` under the batch's own id.
 
+    A streaming query plans without adaptive execution, because its state has a
+    fixed number of partitions. ``finish`` holds no state, so it plans with it.
     ``reread`` says that ``finish`` reads its input more than once; the batch is
     then kept while it is written, so that its state is updated only once.
     ``show`` prints that many stored rows.
@@ -46,7 +49,8 @@ def batch_writer(
         if reread:
             batch.persist()
         try:
-            finish(batch).write.mode("overwrite").parquet(folder)
+            with session_conf(batch.sparkSession, spark__sql__adaptive__enabled="true"):
+                finish(batch).write.mode("overwrite").parquet(folder)
         finally:
             if reread:
                 batch.unpersist()

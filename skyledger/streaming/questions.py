@@ -30,6 +30,7 @@ class StreamQuestion(NamedTuple):
     table: str
     state: Callable[..., DataFrame]
     finish: Callable[[DataFrame], DataFrame]
+    partitions: int
     mode: str = "complete"
     reread: bool = False
 
@@ -46,30 +47,37 @@ def _pair(legs: DataFrame) -> DataFrame:
     return pair_legs(*split_legs(legs))
 
 
-# The number of airports, carriers and their pairs does not grow with the flights,
-# so their whole state is handed over each time; route means, the largest of them,
-# hand over changes only. Two-leg state is bounded by the sets asked for, and its
-# join needs all of it.
+# State partitions. The number of airports and carriers does not grow with the
+# flights, nor does the number of their pairs, and the two-leg sets bound their
+# state; each map task sends at most one row per key to these partitions.
+FEW_KEYS = 8
+PAIRED_KEYS = 32
+
+# Whole states are handed over each time, but route means, the largest of them,
+# hand over changes only. The two-leg join needs all of its state.
 STREAM_QUESTIONS = {
-    "airport_popularity": StreamQuestion("results11", running_visits, rank_airports),
+    "airport_popularity": StreamQuestion("results11", running_visits, rank_airports, FEW_KEYS),
     "carrier_punctuality": StreamQuestion(
         "results12",
         lambda flights: running_mean(flights, ["UniqueCarrier"], "ArrDelay"),
-        lambda state: rank_carriers(state, round_before_rank=False)),
+        lambda state: rank_carriers(state, round_before_rank=False),
+        FEW_KEYS),
     "origin_carrier": StreamQuestion(
         "results21",
         lambda flights: running_mean(flights, ["Origin", "UniqueCarrier"], "DepDelay"),
-        _packed("UniqueCarrier")),
+        _packed("UniqueCarrier"),
+        PAIRED_KEYS),
     "origin_dest": StreamQuestion(
         "results22",
         lambda flights: running_mean(flights, ["Origin", "Dest"], "DepDelay"),
-        _packed("Dest")),
+        _packed("Dest"),
+        PAIRED_KEYS),
     "route_mean": StreamQuestion(
         "results24",
         lambda flights: running_mean(flights, ["Origin", "Dest"], "ArrDelay"),
         lambda state: finish_routes(state.select("Origin", "Dest", "mean")),
-        mode="update"),
-    "two_leg": StreamQuestion("results32", bounded_legs, _pair, reread=True),
+        PAIRED_KEYS, mode="update"),
+    "two_leg": StreamQuestion("results32", bounded_legs, _pair, PAIRED_KEYS, reread=True),
 }
 
 
@@ -91,7 +99,7 @@ def start_question(
 
     return start_query(
         state, f"{root}/{question.table}", f"{root}/_checkpoints/{question.table}", finish,
-        question.mode, trigger, reread=question.reread, show=show)
+        question.mode, trigger, partitions=question.partitions, reread=question.reread, show=show)
 
 
 def start_all(

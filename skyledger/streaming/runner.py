@@ -25,28 +25,36 @@ def start_query(
     mode: str = "complete",
     trigger: dict | None = None,
     rocksdb: bool = False,
+    partitions: int | None = None,
     reread: bool = False,
     show: int = 0,
 ) -> StreamingQuery:
     """Run ``finish`` on the output of every micro-batch and store it under ``path``.
 
     ``mode`` "complete" hands over the whole state each time, "update" only the
-    groups that changed. ``rocksdb`` keeps the state outside the JVM heap, for
-    key spaces that grow with the data. ``reread`` is for a ``finish`` that uses
-    its input twice; ``show`` prints that many rows of every result.
+    groups that changed, which are stored in files of a sensible size instead of
+    one per state partition. ``rocksdb`` keeps the state outside the JVM heap, for
+    key spaces that grow with the data. ``partitions`` is for those that do not:
+    it holds the state in at most so many partitions, which the checkpoint keeps.
+    ``reread`` is for a ``finish`` that uses its input twice; ``show`` prints that
+    many rows of every result.
     """
-    writer = (
-        state.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or EVERY_TEN_SECONDS))
-        .foreachBatch(batch_writer(path, finish, reread, show))
-    )
-    if not rocksdb:
-        return writer.start()
-    with session_conf(
-        state.sparkSession, spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER
-    ):
-        return writer.start()
+    spark = state.sparkSession
+    wanted = {}
+    if rocksdb:
+        wanted["spark__sql__streaming__stateStore__providerClass"] = ROCKSDB_PROVIDER
+    if partitions:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted["spark__sql__shuffle__partitions"] = min(current, partitions)
+    store = (lambda batch: finish(batch).hint("rebalance")) if mode == "update" else finish
+    with session_conf(spark, **wanted):
+        return (
+            state.writeStream.outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or EVERY_TEN_SECONDS))
+            .foreachBatch(batch_writer(path, store, reread, show))
+            .start()
+        )
 
 
 def start_rejects(
