@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyledger.schema import FLIGHT_SCHEMA
 from skyledger.sources.files import typed_flights
@@ -48,16 +48,21 @@ def read_messages(
 
 
 def _fields(messages: DataFrame) -> DataFrame:
-    return messages.select("value", F.from_csv("value", _TEXT_DDL, _KEEP_SPACES).alias("f"))
+    """``value`` and its ten fields as text.
+
+    As a generator the parser runs once per line; as a plain expression it would
+    be copied into every later filter on a field.
+    """
+    return messages.select("value", F.inline(F.array(F.from_csv("value", _TEXT_DDL, _KEEP_SPACES))))
 
 
-def _is_flight():
-    return F.col("f.Origin").isNotNull() & F.col("f.Dest").isNotNull()
+def _is_flight() -> Column:
+    return F.col("Origin").isNotNull() & F.col("Dest").isNotNull()
 
 
 def decode_flights(messages: DataFrame) -> DataFrame:
     """Typed flights of the lines that name both airports; short lines end in nulls."""
-    return typed_flights(_fields(messages).where(_is_flight()).select("f.*"))
+    return typed_flights(_fields(messages).where(_is_flight()))
 
 
 def rejected_lines(messages: DataFrame) -> DataFrame:

@@ -6,11 +6,11 @@ import pytest
 
 from conftest import plan_of
 from skyledger import plans
-from skyledger.operators import TwoLegBounds, popularity
+from skyledger.operators import TwoLegBounds, bounded_legs, popularity
 from skyledger.plans.summary import flight_summary
 from skyledger.schema import FLIGHT_SCHEMA
 from skyledger.session import session_conf
-from skyledger.sources import flights_view, read_flights, write_flights
+from skyledger.sources import decode_flights, flights_view, read_flights, write_flights
 from test_operators import FLIGHTS
 
 LINES = 60_000
@@ -92,6 +92,13 @@ def test_trips_join_on_airport_and_day(flights):
     assert re.search(r"Join \[airporty#\d+, day1#\d+\], \[origin2#\d+, date_sub\(day2#\d+, 2\)\]", plan)
 
 
+def test_a_message_is_parsed_once(spark):
+    lines = spark.createDataFrame([("2008,4,2008-04-03,AA,1,BOS,ATL,0900,5,10",)], "value STRING")
+    bounds = TwoLegBounds(["BOS"], ["ATL"], ["LAX"], ["03/04/2008"], 2008)
+    plan = bounded_legs(decode_flights(lines), bounds)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1
+
+
 def test_view_reads_one_year_and_few_columns(spark, tmp_path):
     plan = plan_of(flights_view(spark, "/root/testdata/sf0.001", 1998).select("Origin"))
     assert "GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)" in plan
