@@ -40,22 +40,19 @@ def batch_writer(
     A streaming query plans without adaptive execution, because its state has a
     fixed number of partitions. ``finish`` holds no state, so it plans with it.
     ``reread`` says that ``finish`` reads its input more than once; the batch is
-    then kept while it is written, so that its state is updated only once.
-    ``show`` prints that many stored rows.
+    then written beside the table first, so that its state is updated only once,
+    also when an executor is lost. ``show`` prints that many stored rows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{path}/batch_id={batch_id}"
+        spark, folder = batch.sparkSession, f"{path}/batch_id={batch_id}"
         if reread:
-            batch.persist()
-        try:
-            with session_conf(batch.sparkSession, spark__sql__adaptive__enabled="true"):
-                finish(batch).write.mode("overwrite").parquet(folder)
-        finally:
-            if reread:
-                batch.unpersist()
+            batch.write.mode("overwrite").parquet(f"{path}-input")
+            batch = spark.read.schema(batch.schema).parquet(f"{path}-input")
+        with session_conf(spark, spark__sql__adaptive__enabled="true"):
+            finish(batch).write.mode("overwrite").parquet(folder)
         if show:
-            batch.sparkSession.read.parquet(folder).show(show, truncate=False)
+            spark.read.parquet(folder).show(show, truncate=False)
 
     return write
 
