@@ -10,11 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.jobs.options import parser
+from skyledger.jobs.options import add_store, parser, store_of
 from skyledger.plans import two_leg_all
 from skyledger.plans.summary import answers_from_summary, flight_summary
 from skyledger.session import build_session, new_dir
-from skyledger.sinks import write_table
+from skyledger.sinks import Store, read_table, write_table, write_to_store
 from skyledger.sources import read_flights, read_flights_csv, write_flights
 
 # Fixed value: the year of the two-leg question.
@@ -31,13 +31,28 @@ def stage_summary(spark: SparkSession, flights: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def run_batch(
-    spark: SparkSession, flights: DataFrame, root: str, year: int = TWO_LEG_YEAR, fmt: str = "parquet"
-) -> dict[str, str]:
-    """Write the six result tables under ``root`` and return their paths."""
+def all_answers(spark: SparkSession, flights: DataFrame, year: int = TWO_LEG_YEAR) -> dict[str, DataFrame]:
+    """Result table name to its rows, for the six questions."""
     answers = answers_from_summary(stage_summary(spark, flights))
     answers["results32"] = two_leg_all(flights, year)
-    return {table: write_table(df, table, root, fmt) for table, df in answers.items()}
+    return answers
+
+
+def run_batch(
+    spark: SparkSession,
+    flights: DataFrame,
+    root: str,
+    year: int = TWO_LEG_YEAR,
+    fmt: str = "parquet",
+    store: Store | None = None,
+) -> dict[str, str]:
+    """Write the six result tables under ``root``, and to ``store`` from there; return their paths."""
+    paths = {}
+    for table, answer in all_answers(spark, flights, year).items():
+        paths[table] = write_table(answer, table, root, fmt)
+        if store:
+            write_to_store(read_table(spark, table, root, fmt), table, store)
+    return paths
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -47,6 +62,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--output", required=True)
     args.add_argument("--output-format", default="parquet")
     args.add_argument("--year", type=int, default=TWO_LEG_YEAR)
+    add_store(args)
     args.add_argument("--show", action="store_true", help="print the first rows of every result")
     given = args.parse_args(argv)
     spark = build_session("skyledger-batch", given.master)
@@ -54,11 +70,12 @@ def main(argv: Sequence[str] | None = None) -> None:
         flights = stage_flights(spark, given.input)
     else:
         flights = read_flights(spark, given.input[0])
-    written = run_batch(spark, flights, given.output, given.year, given.output_format)
+    written = run_batch(
+        spark, flights, given.output, given.year, given.output_format, store_of(given))
     for table, path in written.items():
         print(table, path)
         if given.show:
-            spark.read.format(given.output_format).load(path).show(10, truncate=False)
+            read_table(spark, table, given.output, given.output_format).show(10, truncate=False)
 
 
 if __name__ == "__main__":

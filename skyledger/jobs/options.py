@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 
+from skyledger.sinks import Store
+
 
 def key_values(pairs: list[str]) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in pairs)
@@ -20,3 +22,14 @@ def add_format(args: argparse.ArgumentParser, default: str) -> None:
     args.add_argument(
         "--option", action="append", default=[], metavar="KEY=VALUE",
         help="option of that format; may be repeated")
+
+
+def add_store(args: argparse.ArgumentParser) -> None:
+    args.add_argument("--store-format", help="connector of a keyed store that also gets the results")
+    args.add_argument(
+        "--store-option", action="append", default=[], metavar="KEY=VALUE",
+        help="option of that connector; {table} stands for the result table")
+
+
+def store_of(given: argparse.Namespace) -> Store | None:
+    return Store(given.store_format, key_values(given.store_option)) if given.store_format else None

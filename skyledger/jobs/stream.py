@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from skyledger.jobs.options import add_format, key_values, parser
+from skyledger.jobs.options import add_format, add_store, key_values, parser, store_of
 from skyledger.operators import TwoLegBounds
 from skyledger.session import build_session
+from skyledger.sinks import Store
 from skyledger.sources import decode_flights, read_messages
 from skyledger.streaming import AVAILABLE_NOW, EVERY_TEN_SECONDS, start_all, start_rejects
 
@@ -31,9 +32,10 @@ def run_stream(
     bounds: TwoLegBounds = TWO_LEG_BOUNDS,
     trigger: dict | None = None,
     show: int = 0,
+    store: Store | None = None,
 ) -> list[StreamingQuery]:
     """Start every question, and the store of lines that are no flights, under ``root``."""
-    started = start_all(decode_flights(messages), root, bounds, trigger, show)
+    started = start_all(decode_flights(messages), root, bounds, trigger, show, store)
     rejects = start_rejects(messages, f"{root}/rejects", f"{root}/_checkpoints/rejects", trigger)
     return [*started, rejects]
 
@@ -54,11 +56,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--once", action="store_true", help="take in what is there and stop")
     args.add_argument("--show", action="store_true", help="print the first rows of every micro-batch's results")
     add_format(args, "text")
+    add_store(args)
     given = args.parse_args(argv)
     spark = build_session("skyledger-stream", given.master)
     trigger = AVAILABLE_NOW if given.once else EVERY_TEN_SECONDS
     messages = read_messages(spark, given.input, given.format, **key_values(given.option))
-    wait_for(run_stream(messages, given.output, trigger=trigger, show=10 if given.show else 0))
+    wait_for(run_stream(
+        messages, given.output, trigger=trigger, show=10 if given.show else 0, store=store_of(given)))
 
 
 if __name__ == "__main__":

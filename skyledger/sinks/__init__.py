@@ -1,12 +1,15 @@
 from skyledger.sinks.tables import (
+    Store,
     batch_writer,
     compact_changes,
     read_changes,
     read_latest,
     read_table,
     write_table,
+    write_to_store,
 )
 
 __all__ = [
-    "batch_writer", "compact_changes", "read_changes", "read_latest", "read_table", "write_table",
+    "Store", "batch_writer", "compact_changes", "read_changes", "read_latest", "read_table",
+    "write_table", "write_to_store",
 ]

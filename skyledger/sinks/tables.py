@@ -9,6 +9,7 @@ marked complete.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,6 +17,19 @@ from skyledger.schema import RESULT_TABLES, conform
 from skyledger.session import session_conf
 
 
+class Store(NamedTuple):
+    """A place that keeps tables itself and replaces rows by key, reached through its connector.
+
+    ``{table}`` in an option's value stands for the name of the result table.
+    """
+
+    fmt: str
+    options: dict[str, str]
+
+    def options_for(self, table: str) -> dict[str, str]:
+        return {key: value.format(table=table) for key, value in self.options.items()}
+
+
 def write_table(
     df: DataFrame, table: str, root: str, fmt: str = "parquet", mode: str = "errorifexists", **options
 ) -> str:
@@ -25,6 +39,12 @@ def write_table(
     return path
 
 
+def write_to_store(df: DataFrame, table: str, store: Store, mode: str = "append") -> None:
+    """Write ``df`` as result table ``table`` of ``store``."""
+    rows = conform(df, RESULT_TABLES[table].schema)
+    rows.write.format(store.fmt).mode(mode).options(**store.options_for(table)).save()
+
+
 def read_table(spark: SparkSession, table: str, root: str, fmt: str = "parquet", **options) -> DataFrame:
     return (
         spark.read.format(fmt).schema(RESULT_TABLES[table].schema).options(**options)
@@ -33,7 +53,11 @@ def read_table(spark: SparkSession, table: str, root: str, fmt: str = "parquet",
 
 
 def batch_writer(
-    path: str, finish: Callable[[DataFrame], DataFrame], reread: bool = False, show: int = 0
+    path: str,
+    finish: Callable[[DataFrame], DataFrame],
+    reread: bool = False,
+    show: int = 0,
+    also: Callable[[DataFrame], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that stores ``finish(batch)`` under the batch's own id.
 
@@ -41,7 +65,8 @@ def batch_writer(
     fixed number of partitions. ``finish`` holds no state, so it plans with it.
     ``reread`` says that ``finish`` reads its input more than once; the batch is
     then written beside the table first, so that its state is updated only once,
-    also when an executor is lost. ``show`` prints that many stored rows.
+    also when an executor is lost. ``show`` prints that many stored rows, and
+    ``also`` is given all of them to pass on.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -51,8 +76,11 @@ def batch_writer(
             batch = spark.read.schema(batch.schema).parquet(f"{path}-input")
         with session_conf(spark, spark__sql__adaptive__enabled="true"):
             finish(batch).write.mode("overwrite").parquet(folder)
+        stored = spark.read.parquet(folder)
         if show:
-            spark.read.parquet(folder).show(show, truncate=False)
+            stored.show(show, truncate=False)
+        if also:
+            also(stored)
 
     return write
 

@@ -21,7 +21,7 @@ from skyledger.plans.questions import (
     rank_within_origin,
 )
 from skyledger.schema import RESULT_TABLES, conform
-from skyledger.sinks import read_changes, read_latest
+from skyledger.sinks import Store, read_changes, read_latest, write_to_store
 from skyledger.streaming.runner import start_query
 from skyledger.streaming.states import running_mean, running_visits
 
@@ -88,8 +88,12 @@ def start_question(
     trigger: dict | None = None,
     bounds: TwoLegBounds | None = None,
     show: int = 0,
+    store: Store | None = None,
 ) -> StreamingQuery:
-    """Start one question on a flight stream, with result and checkpoint under ``root``."""
+    """Start one question on a flight stream, with result and checkpoint under ``root``.
+
+    With a ``store``, every result is also written there, to be merged by key.
+    """
     question = STREAM_QUESTIONS[name]
     schema = RESULT_TABLES[question.table].schema
     state = question.state(flights) if bounds is None else question.state(flights, bounds)
@@ -97,17 +101,26 @@ def start_question(
     def finish(batch: DataFrame) -> DataFrame:
         return conform(question.finish(batch), schema)
 
+    def also(result: DataFrame) -> None:
+        write_to_store(result, question.table, store)
+
     return start_query(
         state, f"{root}/{question.table}", f"{root}/_checkpoints/{question.table}", finish,
-        question.mode, trigger, partitions=question.partitions, reread=question.reread, show=show)
+        question.mode, trigger, partitions=question.partitions, reread=question.reread, show=show,
+        also=also if store else None)
 
 
 def start_all(
-    flights: DataFrame, root: str, bounds: TwoLegBounds, trigger: dict | None = None, show: int = 0
+    flights: DataFrame,
+    root: str,
+    bounds: TwoLegBounds,
+    trigger: dict | None = None,
+    show: int = 0,
+    store: Store | None = None,
 ) -> list[StreamingQuery]:
     """All questions over one input, each a query with its own progress."""
     return [
-        start_question(name, flights, root, trigger, bounds if name == "two_leg" else None, show)
+        start_question(name, flights, root, trigger, bounds if name == "two_leg" else None, show, store)
         for name in STREAM_QUESTIONS
     ]
 

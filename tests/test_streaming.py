@@ -6,7 +6,7 @@ from conftest import EDGE_LINES, rows
 from skyledger import plans
 from skyledger.jobs import batch, replay, stream
 from skyledger.operators import best_legs, complete_rows, mean_state
-from skyledger.sinks import read_changes, read_latest, read_table
+from skyledger.sinks import Store, read_changes, read_latest, read_table
 from skyledger.sources import decode_flights, read_messages
 from skyledger.streaming import (
     AVAILABLE_NOW,
@@ -118,3 +118,14 @@ def test_jobs_from_csv_to_tables(spark, edge_flights, folder):
     assert rows(read_question(spark, "airport_popularity", streamed)) == popularity
     assert rows(read_table(spark, "results11", tables)) == popularity
     assert read_table(spark, "results32", tables).count() == 3
+
+
+def test_results_also_go_to_a_keyed_store(spark, edge_flights, folder, line_files):
+    root, kept = folder(), folder()
+    store = Store("parquet", {"path": f"{kept}/{{table}}"})
+    flights = flights_of(spark, line_files(EDGE_LINES))
+    start_question("route_mean", flights, root, AVAILABLE_NOW, store=store).awaitTermination()
+    batch.run_batch(spark, edge_flights, folder(), store=store)
+    routes = rows(plans.route_mean_arr_delay(edge_flights))
+    assert rows(read_table(spark, "results24", kept)) == sorted(routes + routes, key=repr)
+    assert rows(read_table(spark, "results11", kept)) == rows(plans.airport_popularity(edge_flights))
