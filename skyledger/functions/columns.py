@@ -28,11 +28,11 @@ def day_text(day: Column) -> Column:
     return F.date_format(day, DAY_FORMAT)
 
 
-def as_day(value: str | datetime.date) -> Column:
+def as_day(value: str | datetime.date) -> datetime.date:
     """A query date, given as ``dd/MM/yyyy`` text or as a date."""
     if isinstance(value, datetime.date):
-        return F.lit(value)
-    return F.to_date(F.lit(value), DAY_FORMAT)
+        return value
+    return datetime.datetime.strptime(value, "%d/%m/%Y").date()
 
 
 def flat_text(name: Column, value: Column) -> Column:

@@ -60,7 +60,7 @@ def bounded_legs(
     """
     origin, dest, day, clock = (F.col(c) for c in ("Origin", "Dest", "FlightDate", "CRSDepTime"))
     first_days = [as_day(d) for d in bounds.dates]
-    second_days = [F.date_add(d, STOPOVER_DAYS) for d in first_days]
+    second_days = [d + datetime.timedelta(days=STOPOVER_DAYS) for d in first_days]
     first = (
         origin.isin(*bounds.xs) & dest.isin(*bounds.ys) & day.isin(*first_days) & (clock < NOON)
     )

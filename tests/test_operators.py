@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from skyledger.functions import as_day
 from skyledger.operators import (
     afternoon_flights,
     best_legs,
@@ -173,3 +174,9 @@ def test_pairs_meet_two_days_later_across_a_leap_day(flights):
         if y == y2 and d2 - d1 == datetime.timedelta(days=2)]
     assert any(trip[3] == "28/02/2008" for trip in expected)
     assert got == sorted(expected, key=repr)
+
+
+def test_query_dates_are_day_first():
+    assert as_day("03/04/2008") == as_day(datetime.date(2008, 4, 3))
+    with pytest.raises(ValueError):
+        as_day("2008-04-03")
