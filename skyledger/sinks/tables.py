@@ -57,7 +57,7 @@ def batch_writer(
     finish: Callable[[DataFrame], DataFrame],
     reread: bool = False,
     show: int = 0,
-    also: Callable[[DataFrame], None] | None = None,
+    also: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that stores ``finish(batch)`` under the batch's own id.
 
@@ -66,7 +66,7 @@ def batch_writer(
     ``reread`` says that ``finish`` reads its input more than once; the batch is
     then written beside the table first, so that its state is updated only once,
     also when an executor is lost. ``show`` prints that many stored rows, and
-    ``also`` is given all of them to pass on.
+    ``also`` is called with all of them and the batch id.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -75,23 +75,35 @@ def batch_writer(
             batch.write.mode("overwrite").parquet(f"{path}-input")
             batch = spark.read.schema(batch.schema).parquet(f"{path}-input")
         with session_conf(spark, spark__sql__adaptive__enabled="true"):
-            finish(batch).write.mode("overwrite").parquet(folder)
-        stored = spark.read.parquet(folder)
+            result = finish(batch)
+            result.write.mode("overwrite").parquet(folder)
+        stored = spark.read.schema(result.schema).parquet(folder)
         if show:
             stored.show(show, truncate=False)
         if also:
-            also(stored)
+            also(stored, batch_id)
 
     return write
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and the file system it is on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def _complete_batches(spark: SparkSession, path: str) -> list[int]:
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
-    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    names = (f.getPath().getParent().getName() for f in files or [])
+    pattern, files = _folder(spark, f"{path}/batch_id=*/_SUCCESS")
+    names = (f.getPath().getParent().getName() for f in files.globStatus(pattern) or [])
     return sorted(int(name.removeprefix("batch_id=")) for name in names)
 
 
+def _delete_batches(spark: SparkSession, path: str, batch_ids: list[int]) -> None:
+    for batch_id in batch_ids:
+        folder, files = _folder(spark, f"{path}/batch_id={batch_id}")
+        files.delete(folder, True)
+
+
 def _read_batches(spark: SparkSession, path: str, batch_ids: list[int]) -> DataFrame:
     folders = [f"{path}/batch_id={i}" for i in batch_ids]
     return spark.read.option("basePath", path).parquet(*folders)
@@ -102,6 +114,31 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
     return _read_batches(spark, path, _complete_batches(spark, path)[-1:]).drop("batch_id")
 
 
+def prune_results(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` batches of a table whose every batch holds the whole result.
+
+    A reader that has just chosen the newest batch can finish while ``keep`` is above one.
+    """
+    _delete_batches(spark, path, _complete_batches(spark, path)[:-keep])
+
+
+def _folded_path(path: str) -> str:
+    return f"{path}-folded"
+
+
+def _changes(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """Every row that may be the newest of its key, and the last batch id among them."""
+    folds = _complete_batches(spark, _folded_path(path))[-1:]
+    later = [i for i in _complete_batches(spark, path) if not folds or i > folds[0]]
+    parts = []
+    if folds:
+        parts.append(_read_batches(spark, _folded_path(path), folds))
+    if later:
+        parts.append(_read_batches(spark, path, later))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return rows, max(folds + later)
+
+
 def _newest_per_key(changes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     rest = [c for c in changes.columns if c not in (*keys, "batch_id")]
     return (
@@ -113,16 +150,22 @@ def _newest_per_key(changes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 def read_changes(spark: SparkSession, path: str, keys: tuple[str, ...]) -> DataFrame:
     """The newest row per key of a table whose batches hold only the changed rows."""
-    return _newest_per_key(_read_batches(spark, path, _complete_batches(spark, path)), keys)
+    return _newest_per_key(_changes(spark, path)[0], keys)
 
 
-def compact_changes(spark: SparkSession, path: str, target: str, keys: tuple[str, ...]) -> int:
-    """Fold all complete batches of ``path`` into one batch of the table ``target``.
+def compact_changes(spark: SparkSession, path: str, keys: tuple[str, ...]) -> int:
+    """Fold the complete batches of a table of changed rows into one, beside it.
 
-    The folded rows keep the id of the last batch they include, which is
-    returned; nothing under ``path`` changes.
+    The fold has the id of the last batch in it, which is returned. Batches and
+    folds that the fold before this one had already made superfluous are
+    deleted, so a reader that started on them has had that long to finish.
     """
-    batch_ids = _complete_batches(spark, path)
-    folded = _newest_per_key(_read_batches(spark, path, batch_ids), keys)
-    folded.write.mode("overwrite").parquet(f"{target}/batch_id={batch_ids[-1]}")
-    return batch_ids[-1]
+    before = _complete_batches(spark, _folded_path(path))
+    rows, last = _changes(spark, path)
+    if last not in before:
+        target = f"{_folded_path(path)}/batch_id={last}"
+        _newest_per_key(rows, keys).write.mode("overwrite").parquet(target)
+    if before:
+        _delete_batches(spark, path, [i for i in _complete_batches(spark, path) if i <= before[-1]])
+        _delete_batches(spark, _folded_path(path), before[:-1])
+    return last

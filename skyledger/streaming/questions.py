@@ -21,7 +21,14 @@ from skyledger.plans.questions import (
     rank_within_origin,
 )
 from skyledger.schema import RESULT_TABLES, conform
-from skyledger.sinks import Store, read_changes, read_latest, write_to_store
+from skyledger.sinks import (
+    Store,
+    compact_changes,
+    prune_results,
+    read_changes,
+    read_latest,
+    write_to_store,
+)
 from skyledger.streaming.runner import start_query
 from skyledger.streaming.states import running_mean, running_visits
 
@@ -53,6 +60,11 @@ def _pair(legs: DataFrame) -> DataFrame:
 FEW_KEYS = 8
 PAIRED_KEYS = 32
 
+# A continuous query tidies its table after every so many batches: old whole
+# results are deleted, changed rows are folded.
+TIDY_EVERY = 100
+KEEP_RESULTS = 10
+
 # Whole states are handed over each time, but route means, the largest of them,
 # hand over changes only. The two-leg join needs all of its state.
 STREAM_QUESTIONS = {
@@ -95,19 +107,26 @@ def start_question(
     With a ``store``, every result is also written there, to be merged by key.
     """
     question = STREAM_QUESTIONS[name]
-    schema = RESULT_TABLES[question.table].schema
+    schema, keys = RESULT_TABLES[question.table]
+    path = f"{root}/{question.table}"
     state = question.state(flights) if bounds is None else question.state(flights, bounds)
 
     def finish(batch: DataFrame) -> DataFrame:
         return conform(question.finish(batch), schema)
 
-    def also(result: DataFrame) -> None:
-        write_to_store(result, question.table, store)
+    def also(result: DataFrame, batch_id: int) -> None:
+        if store:
+            write_to_store(result, question.table, store)
+        if (batch_id + 1) % TIDY_EVERY == 0:
+            if question.mode == "update":
+                compact_changes(result.sparkSession, path, keys)
+            else:
+                prune_results(result.sparkSession, path, KEEP_RESULTS)
 
     return start_query(
-        state, f"{root}/{question.table}", f"{root}/_checkpoints/{question.table}", finish,
+        state, path, f"{root}/_checkpoints/{question.table}", finish,
         question.mode, trigger, partitions=question.partitions, reread=question.reread, show=show,
-        also=also if store else None)
+        also=also)
 
 
 def start_all(

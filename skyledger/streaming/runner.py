@@ -28,7 +28,7 @@ def start_query(
     partitions: int | None = None,
     reread: bool = False,
     show: int = 0,
-    also: Callable[[DataFrame], None] | None = None,
+    also: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Run ``finish`` on the output of every micro-batch and store it under ``path``.
 
@@ -38,7 +38,7 @@ def start_query(
     key spaces that grow with the data. ``partitions`` is for those that do not:
     it holds the state in at most so many partitions, which the checkpoint keeps.
     ``reread`` is for a ``finish`` that uses its input twice; ``show`` prints that
-    many rows of every result, and ``also`` is given every stored result.
+    many rows of every result, and ``also`` is called with every stored result and its batch id.
     """
     spark = state.sparkSession
     wanted = {}

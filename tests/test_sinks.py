@@ -11,6 +11,7 @@ from skyledger.session import new_dir, session_conf, shared_dir
 from skyledger.sinks import (
     batch_writer,
     compact_changes,
+    prune_results,
     read_changes,
     read_latest,
     read_table,
@@ -87,16 +88,41 @@ def test_unfinished_batch_is_not_read(spark, means, folder):
     assert read_changes(spark, path, ("origin", "dest")).count() == 2
 
 
-def test_newest_row_per_key_and_compaction(spark, folder):
-    path, target = folder(), folder()
-    for i, data in enumerate([[("a", 1), ("b", 1)], [("b", 2), ("c", None)], [("a", None)]]):
-        batch_writer(path, same)(spark.createDataFrame(data, "k STRING, v INT"), i)
-    newest = [("a", None), ("b", 2), ("c", None)]
+def test_newest_row_per_key_before_and_after_folding(spark, folder):
+    path = folder()
+
+    def write(batch_id, *data):
+        batch_writer(path, same)(spark.createDataFrame(data, "k STRING, v INT"), batch_id)
+
+    def batches(where):
+        return sorted(name for name in os.listdir(where) if name.startswith("batch_id"))
+
+    write(0, ("a", 1), ("b", 1))
+    write(1, ("b", 2), ("c", 0))
+    write(2, ("a", None))
+    newest = [("a", None), ("b", 2), ("c", 0)]
+    assert rows(read_changes(spark, path, ("k",))) == newest
+    assert compact_changes(spark, path, ("k",)) == 2
+    assert len(batches(path)) == 3
+    assert rows(read_changes(spark, path, ("k",))) == newest
+    write(3, ("c", 3))
+    newest[2] = ("c", 3)
     assert rows(read_changes(spark, path, ("k",))) == newest
-    assert compact_changes(spark, path, target, ("k",)) == 2
-    assert rows(read_latest(spark, target)) == newest
-    batch_writer(target, same)(spark.createDataFrame([("c", 3)], "k STRING, v INT"), 3)
-    assert rows(read_changes(spark, target, ("k",))) == [("a", None), ("b", 2), ("c", 3)]
+    assert compact_changes(spark, path, ("k",)) == 3
+    assert batches(path) == ["batch_id=3"]
+    assert rows(read_changes(spark, path, ("k",))) == newest
+    assert compact_changes(spark, path, ("k",)) == 3
+    assert batches(path) == [] and batches(f"{path}-folded") == ["batch_id=3"]
+    assert rows(read_changes(spark, path, ("k",))) == newest
+
+
+def test_old_results_are_pruned(spark, means, folder):
+    path = folder()
+    for i in range(4):
+        batch_writer(path, same)(means, i)
+    prune_results(spark, path, 2)
+    assert sorted(os.listdir(path)) == ["batch_id=2", "batch_id=3"]
+    assert read_latest(spark, path).count() == 2
 
 
 def test_finish_may_read_its_batch_twice(spark, means, folder):

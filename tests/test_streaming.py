@@ -1,13 +1,17 @@
 """Streaming runs: restart, rejected lines, state stores, all questions at once."""
 
+import datetime
+import os
+
 import pytest
 
 from conftest import EDGE_LINES, rows
 from skyledger import plans
 from skyledger.jobs import batch, replay, stream
-from skyledger.operators import best_legs, complete_rows, mean_state
+from skyledger.operators import TwoLegBounds, best_legs, complete_rows, mean_state
+from skyledger.schema import FLIGHT_SCHEMA
 from skyledger.sinks import Store, read_changes, read_latest, read_table
-from skyledger.sources import decode_flights, read_messages
+from skyledger.sources import decode_flights, read_messages, replay_lines
 from skyledger.streaming import (
     AVAILABLE_NOW,
     read_question,
@@ -16,6 +20,8 @@ from skyledger.streaming import (
     start_query,
     start_question,
 )
+from skyledger.streaming import questions
+from test_operators import AIRPORTS, FLIGHTS, START
 
 
 def flights_of(spark, path, **limit):
@@ -129,3 +135,29 @@ def test_results_also_go_to_a_keyed_store(spark, edge_flights, folder, line_file
     routes = rows(plans.route_mean_arr_delay(edge_flights))
     assert rows(read_table(spark, "results24", kept)) == sorted(routes + routes, key=repr)
     assert rows(read_table(spark, "results11", kept)) == rows(plans.airport_popularity(edge_flights))
+
+
+EVERYWHERE = TwoLegBounds(AIRPORTS, AIRPORTS, AIRPORTS, [START + datetime.timedelta(days=i) for i in range(6)], 2008)
+
+
+def test_stream_equals_batch_on_skewed_rows_with_tidying(spark, folder, monkeypatch):
+    monkeypatch.setattr(questions, "TIDY_EVERY", 2)
+    monkeypatch.setattr(questions, "KEEP_RESULTS", 1)
+    root, lines = folder(), folder()
+    named = [r for r in FLIGHTS if r[5] is not None]
+    flights = spark.createDataFrame(named, FLIGHT_SCHEMA).repartition(4)
+    replay_lines(flights, lines)
+    stream.wait_for(stream.run_stream(
+        read_messages(spark, lines, maxFilesPerTrigger=1), root, EVERYWHERE, AVAILABLE_NOW))
+    expected = {
+        "airport_popularity": plans.airport_popularity(flights),
+        "carrier_punctuality": plans.carrier_punctuality(flights, round_before_rank=False),
+        "origin_carrier": plans.origin_packed(flights, "UniqueCarrier", style="tuple"),
+        "origin_dest": plans.origin_packed(flights, "Dest", style="tuple"),
+        "route_mean": plans.route_mean_arr_delay(flights),
+        "two_leg": plans.two_leg_all(flights, 2008, ["ArrDelay"]),
+    }
+    for name, batch_answer in expected.items():
+        assert rows(read_question(spark, name, root)) == rows(batch_answer.select(*read_question(spark, name, root).columns)), name
+    assert os.listdir(f"{root}/results11") == ["batch_id=3"]
+    assert os.listdir(f"{root}/results24-folded") != []
