@@ -24,10 +24,24 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _days_of(lines: DataFrame, year: int) -> DataFrame:
-    """Lines shipped in ``year``, as a range that reaches the parquet scan."""
-    start, end = (F.lit(f"{y:04d}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
-    return lines.where((F.col("l_shipdate") >= start) & (F.col("l_shipdate") < end))
+# The test data's rules for clock times and missing delays.
+MINUTE = "(l_orderkey * 7 + l_partkey * 13 + l_linenumber * 61) % 1440"
+NO_DEPARTURE_DELAY = "l_partkey % 53 = 0"
+NO_ARRIVAL_DELAY = "l_partkey % 53 = 0 OR l_partkey % 47 = 0"
+
+FLIGHT_COLUMNS = (
+    "year(l_shipdate) AS Year",
+    "weekday(l_shipdate) + 1 AS DayOfWeek",
+    "CAST(l_shipdate AS DATE) AS FlightDate",
+    "p_brand AS UniqueCarrier",
+    "CAST(l_partkey AS STRING) AS FlightNum",
+    "Origin",
+    "Dest",
+    f"CAST({MINUTE} DIV 60 * 100 + {MINUTE} % 60 AS INT) AS CRSDepTime",
+    f"CASE WHEN NOT ({NO_DEPARTURE_DELAY}) THEN CAST(l_quantity - 20 AS FLOAT) END AS DepDelay",
+    f"CASE WHEN NOT ({NO_ARRIVAL_DELAY})"
+    " THEN CAST(l_quantity - 24 + l_orderkey % 9 AS FLOAT) END AS ArrDelay",
+)
 
 
 def flights_view(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
@@ -36,48 +50,33 @@ def flights_view(spark: SparkSession, sf_dir: str, year: int | None = None) -> D
     The dimension chains are joined first, so that the line table is shuffled by
     order, supplier and part key and never by a customer key. No side is forced
     to broadcast: Spark does so below its size threshold, sort-merges above it,
-    and splits skewed keys at run time.
+    and splits skewed keys at run time. ``year`` becomes a range of ship dates,
+    which reaches the parquet scan.
     """
     nation = _read(spark, sf_dir, "nation")
     origin = (
         _read(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("n_name").alias("Origin"))
+        .join(nation, F.expr("s_nationkey = n_nationkey"))
+        .selectExpr("s_suppkey", "n_name AS Origin")
     )
     dest = (
         _read(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.col("n_name").alias("Dest"))
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .selectExpr("c_custkey", "n_name AS Dest")
     )
     order_dest = (
         _read(spark, sf_dir, "orders")
-        .join(dest, F.col("o_custkey") == F.col("c_custkey"))
+        .join(dest, F.expr("o_custkey = c_custkey"))
         .select("o_orderkey", "Dest")
     )
-    carrier = _read(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("UniqueCarrier"))
-
     lines = _read(spark, sf_dir, "lineitem")
     if year is not None:
-        lines = _days_of(lines, year)
-    order_key, part_key = F.col("l_orderkey"), F.col("l_partkey")
-    minute = (order_key * 7 + part_key * 13 + F.col("l_linenumber") * 61) % 1440
-    no_dep = part_key % 53 == 0
-    no_arr = no_dep | (part_key % 47 == 0)
+        lines = lines.where(
+            f"l_shipdate >= TIMESTAMP_NTZ '{year:04d}-01-01' AND l_shipdate < TIMESTAMP_NTZ '{year + 1:04d}-01-01'")
     return (
         lines
-        .join(order_dest, order_key == F.col("o_orderkey"))
-        .join(origin, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(carrier, part_key == F.col("p_partkey"))
-        .select(
-            F.year("l_shipdate").alias("Year"),
-            (F.weekday("l_shipdate") + 1).alias("DayOfWeek"),
-            F.to_date("l_shipdate").alias("FlightDate"),
-            "UniqueCarrier",
-            part_key.cast("string").alias("FlightNum"),
-            "Origin",
-            "Dest",
-            (F.floor(minute / 60) * 100 + minute % 60).cast("int").alias("CRSDepTime"),
-            F.when(~no_dep, (F.col("l_quantity") - 20).cast("float")).alias("DepDelay"),
-            F.when(~no_arr, (F.col("l_quantity") - 24 + order_key % 9).cast("float")).alias("ArrDelay"),
-        )
+        .join(order_dest, F.expr("l_orderkey = o_orderkey"))
+        .join(origin, F.expr("l_suppkey = s_suppkey"))
+        .join(_read(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+        .selectExpr(*FLIGHT_COLUMNS)
     )
