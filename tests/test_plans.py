@@ -1,12 +1,14 @@
 """The shape of the physical plans."""
 
+import datetime
 import re
+from collections import Counter
 
 import pytest
 
 from conftest import plan_of
 from skyledger import plans
-from skyledger.operators import TwoLegBounds, bounded_legs, popularity
+from skyledger.operators import TwoLegBounds, bounded_legs, pair_legs, popularity
 from skyledger.plans.summary import flight_summary
 from skyledger.schema import FLIGHT_SCHEMA
 from skyledger.session import session_conf
@@ -137,3 +139,29 @@ def test_hot_keys_are_split_when_nothing_is_broadcast(spark, skewed_tables):
         final = plan_of(view).split("Initial Plan")[0]
     assert "BroadcastHashJoin" not in final
     assert final.count("SortMergeJoin(skew=true)") == 3
+
+
+def legs(spark, n, airport, day, hub_side):
+    """Legs of which one airport and day has a share that the expressions decide."""
+    columns = {
+        "Origin": airport if hub_side == "Origin" else "'A' || id",
+        "Dest": airport if hub_side == "Dest" else "'Z' || id",
+        "FlightDate": day, "UniqueCarrier": "'C'", "FlightNum": "CAST(id AS STRING)",
+        "CRSDepTime": "900", "ArrDelay": "CAST(id % 60 AS FLOAT)",
+    }
+    return spark.range(n).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()]).repartition(8)
+
+
+def test_a_hub_with_a_third_of_the_legs_is_split(spark):
+    first = legs(
+        spark, 30_000, "IF(id % 3 = 0, 'HUB', 'Y' || id % 500)",
+        "date_add(DATE '2008-01-01', IF(id % 3 = 0, 0, INT(id % 7)))", "Dest")
+    second = legs(
+        spark, 2_000, "IF(id < 3, 'HUB', 'Y' || id % 500)",
+        "date_add(DATE '2008-01-03', IF(id < 3, 0, INT(id % 7)))", "Origin")
+    arrivals = Counter((r.Dest, r.FlightDate) for r in first.collect())
+    departures = Counter((r.Origin, r.FlightDate - datetime.timedelta(days=2)) for r in second.collect())
+    with session_conf(spark, **SMALL, spark__sql__shuffle__partitions=16):
+        pairs = pair_legs(first, second)
+        assert len(pairs.collect()) == sum(n * departures[key] for key, n in arrivals.items())
+        assert "SortMergeJoin(skew=true)" in plan_of(pairs).split("Initial Plan")[0]

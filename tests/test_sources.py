@@ -42,7 +42,9 @@ def test_csv_is_read_by_name(spark, folder):
 
 def test_csv_text_that_does_not_parse_becomes_null(spark, folder):
     path = folder()
-    write_csv(f"{path}/a.csv", f"{HEADER}\nx,4.0,tomorrow,AA,1,BOS,ATL,1200.0,NA,\n2008,4,2008-04-03,AA,1,BOS,ATL,1e30,,7.5\n")
+    write_csv(
+        f"{path}/a.csv",
+        f"{HEADER}\nx,4.0,tomorrow,AA,1,BOS,ATL,1200.0,NA,\n2008,4,2008-04-03,AA,1,BOS,ATL,1e30,,7.5\n")
     assert rows(read_flights_csv(spark, path)) == sorted([
         (None, 4, None, "AA", "1", "BOS", "ATL", 1200, None, None),
         (2008, 4, datetime.date(2008, 4, 3), "AA", "1", "BOS", "ATL", None, None, 7.5)], key=repr)
@@ -87,7 +89,8 @@ def test_wire_form(spark):
 
 
 def test_lines_are_either_flights_or_rejected(spark):
-    lines = spark.createDataFrame([(line,) for line in [*EDGE_LINES, "", "2008,4,2008-04-03,AA,1,,ATL,0900,5,10"]], "value STRING")
+    bad = ["", "2008,4,2008-04-03,AA,1,,ATL,0900,5,10"]
+    lines = spark.createDataFrame([(line,) for line in [*EDGE_LINES, *bad]], "value STRING")
     assert decode_flights(lines).count() == 15
     assert rows(rejected_lines(lines)) == sorted(
         [("",), ("2008,4,2008-04-03,AA,1,,ATL,0900,5,10",), ("this line is malformed",)])

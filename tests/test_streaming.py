@@ -158,6 +158,7 @@ def test_stream_equals_batch_on_skewed_rows_with_tidying(spark, folder, monkeypa
         "two_leg": plans.two_leg_all(flights, 2008, ["ArrDelay"]),
     }
     for name, batch_answer in expected.items():
-        assert rows(read_question(spark, name, root)) == rows(batch_answer.select(*read_question(spark, name, root).columns)), name
+        answer = read_question(spark, name, root)
+        assert rows(answer) == rows(batch_answer.select(*answer.columns)), name
     assert os.listdir(f"{root}/results11") == ["batch_id=3"]
     assert os.listdir(f"{root}/results24-folded") != []
