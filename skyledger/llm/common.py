@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyledger.session import new_dir
@@ -44,7 +45,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str, most: int = STEP_BYTES)
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         group = np.cumsum(sizes) // most
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
         for start, stop in zip(cuts, cuts[1:]):
