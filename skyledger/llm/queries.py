@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe, exact_dedup, licenses, mixing
+from skyledger.llm import bpe, exact_dedup, licenses, mixing, suffix_dedup
 from skyledger.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"), WEIGHTS, CAP).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -46,6 +53,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op5_mixing": op5_mixing,
         "op6_exact_dedup": op6_exact_dedup,
         "op9_licenses": op9_licenses,
