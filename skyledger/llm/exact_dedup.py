@@ -61,7 +61,7 @@ class DigestIndex:
             "digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"),
             F.lit(batch).alias("batch")))
         self.spark.catalog.refreshTable(self.table)
-        decided = groups.select("digest", "group_size").join(self.rows(), "digest")
+        decided = staged(groups.select("digest", "group_size").join(self.rows(), "digest"), "digest-decided")
         return rows.join(decided, "digest").select(
             "doc_id", "row", "digest", "keep_id", "group_size",
             ((F.col("batch") == batch) & (F.col("row") == F.col("keep_row"))).alias("kept"))
