@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe, exact_dedup, licenses, mixing, suffix_dedup
+from skyledger.llm import bpe, exact_dedup, licenses, mixing, near_dedup, suffix_dedup
 from skyledger.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest_columns(licenses.scan_licenses(read_table(spark, sf_dir, "documents")))
 
@@ -56,5 +62,6 @@ def all_queries() -> dict[str, Query]:
         "op2_suffix_dedup": op2_suffix_dedup,
         "op5_mixing": op5_mixing,
         "op6_exact_dedup": op6_exact_dedup,
+        "op8_near_dedup": op8_near_dedup,
         "op9_licenses": op9_licenses,
     }
