@@ -230,6 +230,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     anchors = keyed.where(F.octet_length("text") >= WINDOW).mapInArrow(_anchors, ANCHOR_TYPE)
     leads = anchors.groupBy("lead").agg(
         F.count("*").alias("times"), (F.min("whole") != F.max("whole")).alias("differ")).where("times > 1").drop("times")
+    leads = staged(leads, "repeat-leads")  # so the join below is one of its own, whose hot leads can be split
     again = staged(anchors.join(leads, "lead"), "repeat-anchors")
 
     key = F.struct("doc_id", "text_hash", "at", "left", "right")
