@@ -10,12 +10,21 @@ skipped, the others ordered rarest first, and the last ``MATCHES - 1`` are not
 posted, for two classes with that many agreements must meet in the rest; a class
 with too few shared pairs is done. Common passages thus stay out of the postings.
 
-Large groups are not expanded into pairs. First every class is compared with the
-least class of each posting it stands in (a star, linear in the postings), the
-links are confirmed on whole sets of words, and their components are found. Then
-only classes that meet in a posting but lie in different components are paired;
-confirmed pairs join the components. Every candidate pair is thus either compared
-or already connected, so no link that would join two components is lost.
+For the classes left, every shingle of the whole texts is counted. What a class
+shares with any other bounds what it shares with one, so a class (or a pair) whose
+shared shingles are too few for the wanted similarity is out. This is exact.
+
+Large groups are not expanded into pairs. First every class is compared with one
+class of each posting it stands in, the one whose shingles are most common (in a
+group of edited copies, the original): a star, linear in the postings. The links
+are confirmed on whole sets of words, and their components are found. What is left
+are classes that meet others outside their own component. In each posting those
+not of its largest component are compared with the rest, not pair by pair in a
+join but in blocks: classes with one favourite hub form blocks of about ``BLOCK``,
+an open class goes once to each block in which it meets anyone, and a task counts
+the whole sets' overlaps with all classes of the block. Links found there join the
+components. Every candidate pair is thus either compared or already connected, so
+no link that would join two components is lost.
 
 No words, null or empty text: an empty set, linked with nothing. Repeated rows
 and copies are one class. A null doc_id takes part, but never names a component;
@@ -39,6 +48,8 @@ WIDTH = 5
 COORDINATES = 64
 MATCHES = 29
 PERCENT = 75
+BLOCK = 512
+CHUNK = 4096
 
 _seeds = np.random.default_rng(20240501)
 _XOR = _seeds.integers(0, 1 << 64, COORDINATES, dtype=np.uint64)
@@ -95,8 +106,88 @@ def _compared(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
         _confirm, "a binary, b binary, linked boolean"), "near-compared")
 
 
-def _comparable(a: str, b: str):
-    return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
+def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every distinct shingle of every class."""
+    for step in steps(batches, "text"):
+        hashes, starts = shingles([t or b"" for t in step.column("text").cast(pa.binary()).to_pylist()], WIDTH)
+        each = [np.unique(hashes[a:b]) for a, b in zip(starts.tolist(), starts[1:].tolist())]
+        owner = np.repeat(np.arange(len(each)), [len(e) for e in each])
+        yield pa.RecordBatch.from_arrays(
+            [step.column("class").take(pa.array(owner)), pa.array(np.concatenate(each).view(np.int64))], ["class", "shingle"])
+
+
+def _reaches(shared, sizes):
+    """Whether an overlap of ``shared`` suffices for sets with ``sizes`` shingles together."""
+    return (100 + PERCENT) * shared >= PERCENT * sizes
+
+
+def _comparable(x: str, y: str):
+    """What the sizes and the shared shingles of two classes allow."""
+    c = lambda side, name: F.col(f"{side}.{name}")
+    return (100 * F.least(c(x, "n"), c(y, "n")) >= PERCENT * F.greatest(c(x, "n"), c(y, "n"))) & _reaches(
+        F.least(c(x, "shared"), c(y, "shared")), c(x, "n") + c(y, "n"))
+
+
+def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every class with its whole set, as packed hashes."""
+    for step in steps(batches, "text"):
+        hashes, starts = shingles([t or b"" for t in step.column("text").cast(pa.binary()).to_pylist()], WIDTH)
+        packed = [np.unique(hashes[a:b]).tobytes() for a, b in zip(starts.tolist(), starts[1:].tolist())]
+        yield pa.RecordBatch.from_arrays([step.column("class"), pa.array(packed, pa.binary())], ["class", "set"])
+
+
+def _linked_in_block(open_: pa.Table, block: pa.Table) -> pa.Table:
+    """Links from open classes to the classes of one block, one for each component met."""
+    out: dict[str, list] = {"a": [], "b": []}
+    if open_.num_rows and block.num_rows:
+        names, roots = block.column("class").to_pylist(), block.column("root").to_pylist()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in block.column("set").to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        every = np.concatenate(sets)
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], owner[order]
+        for own, root, packed in zip(*(open_.column(c).to_pylist() for c in ("class", "root", "set"))):
+            x = np.frombuffer(packed, dtype=np.uint64)
+            lo, hi = np.searchsorted(every, x, "left"), np.searchsorted(every, x, "right")
+            length = hi - lo
+            at = np.repeat(lo - np.concatenate(([0], np.cumsum(length)[:-1])), length) + np.arange(length.sum())
+            both = np.bincount(owner[at], minlength=len(sets))
+            found = {roots[i]: names[i] for i in np.flatnonzero(_reaches(both, sizes + len(x))) if roots[i] != root}
+            out["a"] += [own] * len(found)
+            out["b"] += found.values()
+    return pa.table(out, schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+
+
+def _across(met: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between classes that meet in a posting but have different roots."""
+    placed = staged(met.join(roots, met["class"] == roots["node"], "left").select(
+        "pair", "class", F.col("hub.class").alias("hub"), F.coalesce("root", "class").alias("root")), "near-placed")
+    per_root = placed.groupBy("pair", "root").agg(F.count("*").alias("n"))
+    largest = staged(per_root.groupBy("pair").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
+        .select("pair", F.col("most.root").alias("main")), "near-mixed")
+    meeting = staged(placed.join(largest, "pair"), "near-meeting")
+    favourite = meeting.groupBy("class", "root", "hub").agg(F.count("*").alias("n")).groupBy("class", "root").agg(
+        F.max(F.struct("n", "hub")).alias("best")).select("class", "root", F.col("best.hub").alias("hub"))
+    favourite = staged(favourite, "near-favourite")
+    counts = staged(favourite.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "near-parts")
+    blocks = favourite.join(counts, "hub").select(
+        "class", "root", F.struct("hub", F.pmod(F.xxhash64("class"), F.col("parts")).alias("part")).alias("block"))
+    blocks = staged(blocks, "near-blocks")
+    wanted = meeting.join(blocks.select("class", "block"), "class").select("pair", "block").distinct()
+    wanted = staged(wanted, "near-wanted")
+    visits = staged(meeting.where(F.col("root") != F.col("main")).select("pair", "class", "root").join(wanted, "pair")
+                    .select("class", "root", "block").distinct(), "near-visits")
+    chunks = staged(visits.groupBy("block").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "near-chunks")
+    sets = staged(texts.join(blocks.select("class"), "class").select("class", "text").mapInArrow(
+        _sets_of, "class binary, set binary"), "near-sets")
+    left = visits.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks"))).join(sets, "class")
+    right = blocks.join(chunks, "block").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).join(sets, "class")
+    fields = ("block", "chunk", "class", "root", "set")
+    left, right = staged(left.select(*fields), "near-left"), staged(right.select(*fields), "near-right")
+    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(
+        _linked_in_block, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -131,24 +222,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = staged(d.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_hash") == F.col("m.text_hash")))
                    .select("m.class", "d.text").dropDuplicates(["class"]), "near-texts")
 
-    hubs = staged(postings.groupBy("pair").agg(F.min(F.struct("class", "n")).alias("hub")), "near-hubs")
-    stars = postings.join(hubs, "pair").where(F.col("class") != F.col("hub.class")).where(_comparable("n", "hub.n")).select(
+    told = texts.mapInArrow(_shingles_of, "class binary, shingle long")
+    common = staged(told.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1"), "near-common")
+    support = staged(told.join(common, "shingle").groupBy("class").agg(
+        F.count("*").alias("shared"), F.sum(F.log("times")).alias("weight")), "near-support")
+    postings = staged(postings.join(support, "class").where(100 * F.col("shared") >= PERCENT * F.col("n")), "near-supported")
+
+    hubs = staged(postings.groupBy("pair").agg(
+        F.max(F.struct((F.col("weight") / F.col("n")).alias("share"), "class", "n", "shared")).alias("hub"),
+        F.min("n").alias("least_n"), F.count("*").alias("times")).where("times > 1"), "near-hubs")
+    met = staged(postings.join(hubs, "pair").where(_reaches(F.col("shared"), F.col("n") + F.col("least_n"))).select(
+        "pair", "class", "n", "shared", "hub"), "near-met")
+    stars = met.alias("x").where(F.col("class") != F.col("hub.class")).where(_comparable("x", "hub")).select(
         F.col("class").alias("a"), F.col("hub.class").alias("b")).distinct()
     compared = _compared(stars, members, texts)
     links = compared.where("linked").select("a", "b")
     roots = staged(components(links.toDF("u", "v")), "near-roots")
 
-    placed = postings.join(roots, postings["class"] == roots["node"], "left").select(
-        "pair", "class", "n", F.coalesce("root", "class").alias("root"))
-    placed = staged(placed, "near-placed")
-    mixed = staged(placed.groupBy("pair").agg((F.min("root") != F.max("root")).alias("mixed")).where("mixed").select("pair"), "near-mixed")
-    open_ = staged(placed.join(mixed, "pair"), "near-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    across = x.join(y, (F.col("x.pair") == F.col("y.pair")) & (F.col("x.root") < F.col("y.root")) & _comparable("x.n", "y.n")).select(
-        F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    done = compared.select("a", "b").union(compared.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    further = _compared(across.join(done, ["a", "b"], "left_anti"), members, texts)
-    links = staged(links.union(further.where("linked").select("a", "b")), "near-links")
+    links = staged(links.union(_across(met, roots, texts)).distinct(), "near-links")
     roots = staged(components(links.toDF("u", "v")), "near-roots")
 
     rooted = classes.join(roots, classes["class"] == roots["node"], "left").select(
