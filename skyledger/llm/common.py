@@ -30,6 +30,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row``, a number for each row of a stored table, and ``doc``, all its columns."""
+    return docs.select(
+        F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
 def lower_ascii(text: Column | str) -> Column:
     """A-Z in lower case and nothing else; null counts as empty."""
     column = F.col(text) if isinstance(text, str) else text

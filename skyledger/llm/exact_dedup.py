@@ -20,7 +20,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm.common import lower_ascii, shuffle_partitions, staged
+from skyledger.llm.common import lower_ascii, numbered, shuffle_partitions, staged
 
 INDEX_SCHEMA = "digest BINARY, keep_id BIGINT, keep_row BIGINT, batch STRING"
 
@@ -73,10 +73,10 @@ def new_index(spark: SparkSession) -> DigestIndex:
 
 
 def keep_first_copies(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    packed = staged(packed, "dedup-input")
-    numbered = packed.select("doc", F.monotonically_increasing_id().alias("row"))
-    decided = index.add(packed.select(f"doc.{doc_id}", f"doc.{text}"), doc_id, text)
-    kept = decided.where("kept").select("row")
-    return numbered.join(kept, "row", "left_semi").select("doc.*")
+    """The rows of ``docs`` that stay, with all their columns.
+
+    ``docs`` is a stored table, as each stage of a pipeline reads one: its row
+    numbers are then the same in every scan, also after a lost executor.
+    """
+    kept = index.add(docs, doc_id, text).where("kept").select("row")
+    return numbered(docs).join(kept, "row", "left_semi").select("doc.*")

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skyledger.llm.common import WORD, staged
+from skyledger.llm.common import WORD, numbered, staged
 
 BINS = 4096
 MAX_STEPS = 60
@@ -142,11 +142,11 @@ def mix(
 
 
 def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, **columns) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it has copies."""
-    packed = staged(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "mix-input")
-    numbered = packed.select("doc", F.monotonically_increasing_id().alias("row"))
-    names = ("doc_id", "text", "source")
-    flat = packed.select(*[F.col(f"doc.{columns.get(c, c)}").alias(c) for c in names])
-    copies = mix(flat, weights, cap).where("copies > 0").select("row", "copies")
-    return (numbered.join(copies, "row")
+    """The mix itself: every row of ``docs`` as often as it has copies.
+
+    ``docs`` is a stored table, as each stage of a pipeline reads one: its row
+    numbers are then the same in every scan, also after a lost executor.
+    """
+    copies = mix(docs, weights, cap, **columns).where("copies > 0").select("row", "copies")
+    return (numbered(docs).join(copies, "row")
             .select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("doc.*"))

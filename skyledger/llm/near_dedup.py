@@ -40,7 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.llm.common import staged, steps
+from skyledger.llm.common import numbered, staged, steps
 from skyledger.llm.components import components
 from skyledger.llm.shingles import shingle_set, shingles
 
@@ -254,14 +254,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with
-    the least doc_id (nulls last) stays, and of rows that tie, one."""
-    packed = staged(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "near-input")
-    numbered = packed.select("doc", F.monotonically_increasing_id().alias("row"))
+    the least doc_id (nulls last) stays, and of rows that tie, one.
+
+    ``docs`` is a stored table, as each stage of a pipeline reads one: its row
+    numbers are then the same in every scan, also after a lost executor.
+    """
+    packed = numbered(docs)
     # The row number travels as doc_id, so that rows with one id stay apart.
-    flat = numbered.select(F.col("row").alias("doc_id"), F.col(f"doc.{text}").alias("text"))
+    flat = packed.select(F.col("row").alias("doc_id"), F.col(f"doc.{text}").alias("text"))
     found, _ = near_duplicates(flat)
-    ids = numbered.select("row", F.col(f"doc.{doc_id}").alias("id"))
+    ids = packed.select("row", F.col(f"doc.{doc_id}").alias("id"))
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("best")
     found = staged(found.select(F.col("doc_id").alias("row"), F.coalesce("component_id", "doc_id").alias("component")).join(ids, "row"), "near-found")
     kept = found.groupBy("component").agg(best).select("best.row")
-    return numbered.join(kept, "row", "left_semi").select("doc.*")
+    return packed.join(kept, "row", "left_semi").select("doc.*")

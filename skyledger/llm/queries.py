@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe, exact_dedup, licenses, mixing, near_dedup, suffix_dedup
+from skyledger.llm import bpe, chat, exact_dedup, language, licenses, lm_scoring, mixing, near_dedup, neighbours, suffix_dedup
 from skyledger.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,23 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame(
+        [(-1, 0, "user", shown), (-1, 1, "assistant", shown)], "conv_id long, turn long, role string, text string")
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    back = chat.read_back(chat.format_chats(rows, vocabulary_path("byte_bpe_50k.json")))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"), WEIGHTS, CAP).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -46,6 +63,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.train(read_table(spark, sf_dir, "documents"))
+    found = language.identify(language.page_rows(read_table(spark, sf_dir, "pages")), model)
+    return found.withColumnRenamed("row", "page_id")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -56,12 +79,20 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest_columns(licenses.scan_licenses(read_table(spark, sf_dir, "documents")))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
         "op2_suffix_dedup": op2_suffix_dedup,
+        "op3_neighbours": op3_neighbours,
+        "op4_chat_format": op4_chat_format,
         "op5_mixing": op5_mixing,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_language_id": op7_language_id,
         "op8_near_dedup": op8_near_dedup,
         "op9_licenses": op9_licenses,
+        "op10_lm_scoring": op10_lm_scoring,
     }

@@ -1,6 +1,12 @@
-"""All queries of the subpackage and their SQL."""
+"""All queries of the subpackage and of the pipeline, and their SQL."""
 
-from skyledger.llm.oracle import all_sql
-from skyledger.llm.queries import all_queries
+import corpus_pipeline
+from skyledger.llm import oracle, queries
 
-__all__ = ["all_queries", "all_sql"]
+
+def all_queries():
+    return queries.all_queries() | {"pipeline": corpus_pipeline.run}
+
+
+def all_sql():
+    return oracle.all_sql() | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

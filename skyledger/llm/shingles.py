@@ -38,7 +38,7 @@ def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hash of every word, the number of its text, and the length of the word, in order."""
+    """The hash of every word, the number of its text, and its last two bytes, in order."""
     joined = np.frombuffer(b" ".join(data) + b" ", dtype=np.uint8)
     inside = ~_SPACES[joined]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
@@ -48,10 +48,12 @@ def words(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.array([len(t) + 1 for t in data], dtype=np.int64)
     text = np.searchsorted(np.cumsum(sizes), first, side="right")
     up, down = _powers_to(len(joined))
+    low = _LOWER[joined]
     sums = np.zeros(len(joined) + 1, dtype=np.uint64)
-    np.cumsum((_LOWER[joined].astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
     hashes = (sums[last] - sums[first]) * down[first]
-    return mixed(hashes + (last - first).astype(np.uint64) * _MIX_2), text, last - first
+    ending = low[last - 1].astype(np.int64) << 8 | low[np.maximum(last - 2, first)]
+    return mixed(hashes + (last - first).astype(np.uint64) * _MIX_2), text, ending
 
 
 def shingles(data: list[bytes], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
