@@ -156,11 +156,10 @@ def exchange(pairs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.nda
         out[total["cell"].to_numpy(dtype=int)] = total["n"].to_numpy(dtype=float)
         return out.reshape(CLASSES, CLASSES)
 
-    for turn in range(rounds):
-        matrix = matrix_of(classes)
+    def contexts_of(now: np.ndarray) -> Callable:
+        """Per unit: what stands after it (slots from 0) and before it (slots from CLASSES), by class."""
 
-        def contexts(batches, now=classes):
-            """Per unit: what stands after it (slots from 0) and before it (slots from CLASSES), by class."""
+        def contexts(batches):
             for batch in batches:
                 u, v, n = (batch.column(c).to_numpy() for c in ("u", "v", "n"))
                 keys = np.concatenate((u * 2 * CLASSES + now[v], v * 2 * CLASSES + CLASSES + now[u]))
@@ -168,7 +167,10 @@ def exchange(pairs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.nda
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key // (2 * CLASSES)), pa.array(key % (2 * CLASSES)), pa.array(total)], ["unit", "slot", "n"])
 
-        def judge(block: pa.Table, now=classes, matrix=matrix, turn=turn) -> pa.Table:
+        return contexts
+
+    def judge_of(now: np.ndarray, matrix: np.ndarray, turn: int) -> Callable:
+        def judge(block: pa.Table) -> pa.Table:
             unit, slot, n = (block.column(c).to_numpy() for c in ("unit", "slot", "n"))
             own, at = np.unique(unit, return_inverse=True)
             sides = np.zeros((len(own), 2 * CLASSES))
@@ -177,8 +179,12 @@ def exchange(pairs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.nda
             found = best_classes(sides[:, CLASSES:], sides[:, :CLASSES], now[own], matrix, moves)
             return pa.table({"unit": own, "class": found})
 
-        sides = both.mapInArrow(contexts, "unit long, slot long, n long").groupBy("unit", "slot").agg(F.sum("n").alias("n"))
-        moved = sides.groupBy((F.col("unit") % JUDGES).alias("judge")).applyInArrow(judge, "unit long, class long").toPandas()
+        return judge
+
+    for turn in range(rounds):
+        matrix = matrix_of(classes)
+        sides = both.mapInArrow(contexts_of(classes), "unit long, slot long, n long").groupBy("unit", "slot").agg(F.sum("n").alias("n"))
+        moved = sides.groupBy((F.col("unit") % JUDGES).alias("judge")).applyInArrow(judge_of(classes, matrix, turn), "unit long, class long").toPandas()
         classes = classes.copy()
         classes[moved["unit"].to_numpy(dtype=int)] = moved["class"].to_numpy(dtype=int)
     return classes, matrix_of(classes)
