@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyledger.llm.common import staged, steps
 from skyledger.llm.shingles import mixed, words
@@ -190,6 +190,18 @@ def exchange(pairs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.nda
     return classes, matrix_of(classes)
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words with the largest counts, at most ``most``; words with one count are all in or all out.
+
+    The limit is found on the table of distinct counts, so that no task has to
+    send its own ``most`` words anywhere.
+    """
+    above = Window.orderBy(F.col("n").desc())
+    least = (counts.groupBy("n").agg(F.count("*").alias("words"))
+             .withColumn("total", F.sum("words").over(above)).where(F.col("total") <= most).agg(F.min("n")).head()[0])
+    return counts.where(F.col("n") >= least) if least is not None else counts.limit(0)
+
+
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``held_out``, ``n_tokens``,
     ``n_known``, ``train_tokens``, ``base_score`` and ``score``."""
@@ -204,7 +216,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     counts = staged(training.mapInArrow(count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     size = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).head()
     n_all, v_all = int(size["n"] or 0), int(size["v"])
-    top = counts.orderBy(F.col("n").desc(), "word").limit(LOOKUP).toPandas()
+    top = frequent(counts, LOOKUP).toPandas().sort_values(["n", "word"], ascending=[False, True])
     heads = Heads(top["word"].to_numpy(dtype=np.int64).view(np.uint64), top["n"].to_numpy(dtype=np.int64))
     sent = docs.sparkSession.sparkContext.broadcast(heads)
 
