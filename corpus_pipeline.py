@@ -31,8 +31,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of each document as packed ids, and a digest of what they decode to."""
-    path = vocabulary_path()
-    return bpe.decode(bpe.encode(docs, path), path).select(
+    return bpe.round_trip(docs, vocabulary_path()).select(
         "doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

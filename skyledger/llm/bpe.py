@@ -29,7 +29,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skyledger.llm.common import steps, texts_of
 
 SHORT = 64
-REMEMBERED = 300_000
+REMEMBERED = 100_000
+SHIFT = 24
+LOWER = (1 << SHIFT) - 1
 NO_RANK = 1 << 62
 SPACE = regex.compile(r"\p{White_Space}+")
 #: How the vocabulary's splitter tells words.
@@ -48,43 +50,58 @@ def lower_each(text: str) -> str:
     return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
 
 
-class WordBpe:
+class WordTokens:
+    """The tokens' strings alone, which is all that decoding needs."""
+
+    def __init__(self, raw: bytes):
+        spec = json.loads(raw)
+        named = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+        self.tokens = [""] * (1 + max(named.values()))
+        for token, i in named.items():
+            self.tokens[i] = token
+
+    def decode(self, ids: bytes) -> str:
+        """The tokens' strings with a space between; special tokens are not skipped."""
+        tokens = self.tokens
+        return " ".join([tokens[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+
+
+class WordBpe(WordTokens):
     """The vocabulary in the form that encoding and decoding need."""
 
     def __init__(self, raw: bytes):
+        super().__init__(raw)
         spec = json.loads(raw)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.ending: str = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.tokens = [""] * (1 + max([*self.vocab.values(), *self.special.values()]))
-        for token, i in [*self.vocab.items(), *self.special.items()]:
-            self.tokens[i] = token
         letters = byte_letters()
         self.inner = [self.vocab.get(c) for c in letters]
         self.last = [self.vocab.get(c + self.ending) for c in letters]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # Both sides in one number, and so are rank and result: a few MB in each worker.
+        self.merges: dict[int, int] = {}
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[self.vocab[left], self.vocab[right]] = rank, self.vocab[left + right]
+            self.merges[self.vocab[left] << SHIFT | self.vocab[right]] = rank << SHIFT | self.vocab[left + right]
         self.known: dict[str, bytes] = {}
 
     def merge_short(self, parts: list[int]) -> list[int]:
         """The contiguous rank array."""
-        merges, none = self.merges, (NO_RANK, 0)
-        ranks = [merges.get(pair, none)[0] for pair in zip(parts, parts[1:])]
+        find = self.merges.get
+        ranks = [find(a << SHIFT | b, NO_RANK) for a, b in zip(parts, parts[1:])]
         while ranks:
             best = min(ranks)
             if best == NO_RANK:
                 break
             i = ranks.index(best)
-            parts[i] = merges[parts[i], parts[i + 1]][1]
+            parts[i] = best & LOWER
             del parts[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = merges.get((parts[i - 1], parts[i]), none)[0]
+                ranks[i - 1] = find(parts[i - 1] << SHIFT | parts[i], NO_RANK)
             if i < len(ranks):
-                ranks[i] = merges.get((parts[i], parts[i + 1]), none)[0]
+                ranks[i] = find(parts[i] << SHIFT | parts[i + 1], NO_RANK)
         return parts
 
     def merge_long(self, parts: list[int]) -> list[int]:
@@ -94,8 +111,8 @@ class WordBpe:
 
         def entry(i: int):
             j = after[i]
-            found = merges.get((parts[i], parts[j])) if j >= 0 else None
-            return found and (found[0], i, parts[i], parts[j])
+            found = merges.get(parts[i] << SHIFT | parts[j]) if j >= 0 else None
+            return None if found is None else (found >> SHIFT, i, parts[i], parts[j])
 
         heap = [e for i in range(n) if (e := entry(i))]
         heapq.heapify(heap)
@@ -104,7 +121,7 @@ class WordBpe:
             j = after[i]
             if not alive[i] or j < 0 or parts[i] != left or parts[j] != right:
                 continue
-            parts[i] = merges[left, right][1]
+            parts[i] = merges[left << SHIFT | right] & LOWER
             alive[j] = False
             after[i] = after[j]
             if after[j] >= 0:
@@ -138,21 +155,17 @@ class WordBpe:
                 out += [known(w) or self.encode_word(w) for w in PIECES.findall(norm)]
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> str:
-        """The tokens' strings with a space between; special tokens are not skipped."""
-        tokens = self.tokens
-        return " ".join([tokens[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
-
 
-_loaded: dict[str, WordBpe] = {}
+_loaded: dict[tuple[str, type], WordBpe | WordTokens] = {}
 
 
-def _of(shared: _Shared) -> WordBpe:
-    """One vocabulary per worker process."""
-    if shared.id not in _loaded:
+def _of(shared: _Shared, kind: type) -> WordBpe | WordTokens:
+    """One vocabulary of a kind per worker process."""
+    key = (shared.id, kind)
+    if key not in _loaded:
         _loaded.clear()
-        _loaded[shared.id] = WordBpe(shared.value)
-    return _loaded[shared.id]
+        _loaded[key] = kind(shared.value)
+    return _loaded[key]
 
 
 class _Shared:
@@ -173,7 +186,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     shared = _Shared(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _of(shared)
+        bpe = _of(shared, WordBpe)
         for step in steps(batches, "text"):
             ids = [bpe.encode(t) for t in texts_of(step.column("text"))]
             yield pa.RecordBatch.from_arrays(
@@ -189,11 +202,28 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     shared = _Shared(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _of(shared)
+        tokens = _of(shared, WordTokens)
         for step in steps(batches, "ids"):
-            texts = [bpe.decode(i or b"") for i in step.column("ids").to_pylist()]
+            texts = [tokens.decode(i or b"") for i in step.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [step.column(c) for c in ("doc_id", "n_tokens", "ids")] + [pa.array(texts, pa.string())],
                 ["doc_id", "n_tokens", "ids", "decoded"])
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
+
+
+def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``encode`` and then ``decode`` of its ids, in one worker: ``doc_id``, ``n_tokens``, ``ids``, ``decoded``."""
+    shared = _Shared(docs.sparkSession, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _of(shared, WordBpe)
+        for step in steps(batches, "text"):
+            ids = [bpe.encode(t) for t in texts_of(step.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [step.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array([bpe.decode(i) for i in ids], pa.string())],
+                ["doc_id", "n_tokens", "ids", "decoded"])
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")

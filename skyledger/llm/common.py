@@ -16,7 +16,7 @@ from skyledger.session import new_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that one vectorised step handles; a longer single text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -22,9 +22,7 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary_path()
-    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), path)
-    return bpe.decode(encoded, path).select(
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), vocabulary_path()).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
