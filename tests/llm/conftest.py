@@ -1,0 +1,17 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """Rows (doc_id, text, lang, source) as a stored table with a clashing extra column."""
+    import tempfile
+
+    def make(rows):
+        df = spark.createDataFrame(
+            [(*r, *[None] * (4 - len(r)), "x") for r in rows],
+            "doc_id long, text string, lang string, source string, row string")
+        path = tempfile.mkdtemp() + "/docs"
+        df.repartition(3).write.parquet(path)
+        return spark.read.parquet(path)
+
+    return make
