@@ -19,6 +19,21 @@ WORDS = ["alpha", "Beta", "gamma", "délta", "eps", "zeta", "eta", "theta", "iot
 AWKWARD = [None, "", " \t\n", "one", "One", "a b c d", "x" * 5000, "MIT License MIT license", "CC-BY 4.0", "é" * 300]
 
 
+@pytest.fixture(scope="session")
+def docs_of(spark, tmp_path_factory):
+    """Rows (doc_id, text, lang, source) as a stored table with an extra column of a clashing name."""
+
+    def make(rows):
+        df = spark.createDataFrame(
+            [(*r, *[None] * (4 - len(r)), "x") for r in rows],
+            "doc_id long, text string, lang string, source string, row string")
+        path = str(tmp_path_factory.mktemp("docs") / "table")
+        df.repartition(3).write.parquet(path)
+        return spark.read.parquet(path)
+
+    return make
+
+
 def random_texts(n, seed=1):
     r = random.Random(seed)
     return [" ".join(r.choice(WORDS) for _ in range(r.randint(1, 80))) for _ in range(n)]
