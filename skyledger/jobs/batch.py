@@ -57,7 +57,7 @@ def run_batch(
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser(__doc__)
-    args.add_argument("--input", action="append", required=True, help="path or glob; may be repeated for CSV")
+    args.add_argument("--input", action="append", required=True, help="path or glob; may be repeated")
     args.add_argument("--input-format", choices=["csv", "parquet"], default="csv")
     args.add_argument("--output", required=True)
     args.add_argument("--output-format", default="parquet")
@@ -69,7 +69,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     if given.input_format == "csv":
         flights = stage_flights(spark, given.input)
     else:
-        flights = read_flights(spark, given.input[0])
+        flights = read_flights(spark, given.input)
     written = run_batch(
         spark, flights, given.output, given.year, given.output_format, store_of(given))
     for table, path in written.items():

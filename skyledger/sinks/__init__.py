@@ -2,6 +2,7 @@ from skyledger.sinks.tables import (
     Store,
     batch_writer,
     compact_changes,
+    has_results,
     prune_results,
     read_changes,
     read_latest,
@@ -11,6 +12,6 @@ from skyledger.sinks.tables import (
 )
 
 __all__ = [
-    "Store", "batch_writer", "compact_changes", "prune_results", "read_changes", "read_latest", "read_table",
+    "Store", "batch_writer", "compact_changes", "has_results", "prune_results", "read_changes", "read_latest", "read_table",
     "write_table", "write_to_store",
 ]

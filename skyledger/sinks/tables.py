@@ -104,6 +104,11 @@ def _delete_batches(spark: SparkSession, path: str, batch_ids: list[int]) -> Non
         files.delete(folder, True)
 
 
+def has_results(spark: SparkSession, path: str) -> bool:
+    """Whether any batch of a table is complete."""
+    return bool(_complete_batches(spark, path) or _complete_batches(spark, _folded_path(path)))
+
+
 def _read_batches(spark: SparkSession, path: str, batch_ids: list[int]) -> DataFrame:
     folders = [f"{path}/batch_id={i}" for i in batch_ids]
     return spark.read.option("basePath", path).parquet(*folders)

@@ -46,11 +46,21 @@ def read_flights_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
 
 
 def write_flights(flights: DataFrame, path: str, fmt: str = "parquet", **options) -> str:
-    """Store flights by year, so that a question about one year reads one year."""
-    flights.write.format(fmt).options(**options).partitionBy("Year").save(path)
+    """Store flights by year, so that a question about one year reads one year.
+
+    Rows are brought together by year first (adaptive execution splits large years), or
+    every task would write a file for every year.
+    """
+    flights.hint("rebalance", "Year").write.format(fmt).options(**options).partitionBy("Year").save(path)
     return path
 
 
-def read_flights(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    return spark.read.format(fmt).schema(FLIGHT_SCHEMA).options(**options).load(path).select(
-        *FLIGHT_SCHEMA.fieldNames())
+def read_flights(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet", **options) -> DataFrame:
+    """Stored flights; each path is a folder by year of its own, and all of them count."""
+    parts = [
+        spark.read.format(fmt).schema(FLIGHT_SCHEMA).options(**options).load(p).select(*FLIGHT_SCHEMA.fieldNames())
+        for p in ([paths] if isinstance(paths, str) else paths)]
+    flights = parts[0]
+    for part in parts[1:]:
+        flights = flights.unionByName(part)
+    return flights

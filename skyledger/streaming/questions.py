@@ -24,6 +24,7 @@ from skyledger.schema import RESULT_TABLES, conform
 from skyledger.sinks import (
     Store,
     compact_changes,
+    has_results,
     prune_results,
     read_changes,
     read_latest,
@@ -145,9 +146,11 @@ def start_all(
 
 
 def read_question(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """The current answer of a question started under ``root``."""
+    """The current answer of a question started under ``root``; before its first batch, no rows."""
     question = STREAM_QUESTIONS[name]
     path = f"{root}/{question.table}"
+    if not has_results(spark, path):
+        return spark.createDataFrame([], RESULT_TABLES[question.table].schema)
     if question.mode == "update":
         return read_changes(spark, path, RESULT_TABLES[question.table].keys)
     return read_latest(spark, path)

@@ -36,7 +36,7 @@ def start_query(
     groups that changed, which are stored in files of a sensible size instead of
     one per state partition. ``rocksdb`` keeps the state outside the JVM heap, for
     key spaces that grow with the data. ``partitions`` is for those that do not:
-    it holds the state in at most so many partitions, which the checkpoint keeps.
+    it holds the state in so many partitions, which the checkpoint keeps.
     ``reread`` is for a ``finish`` that uses its input twice; ``show`` prints that
     many rows of every result, and ``also`` is called with every stored result and its batch id.
     """
@@ -45,8 +45,7 @@ def start_query(
     if rocksdb:
         wanted["spark__sql__streaming__stateStore__providerClass"] = ROCKSDB_PROVIDER
     if partitions:
-        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted["spark__sql__shuffle__partitions"] = min(current, partitions)
+        wanted["spark__sql__shuffle__partitions"] = partitions
     store = (lambda batch: finish(batch).hint("rebalance")) if mode == "update" else finish
     with session_conf(spark, **wanted):
         return (

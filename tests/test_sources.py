@@ -107,3 +107,16 @@ def test_view_of_one_year_is_that_part_of_the_whole_view(spark):
     whole = flights_view(spark, sf_dir)
     assert rows(flights_view(spark, sf_dir, 1998)) == rows(whole.where("Year = 1998"))
     assert whole.schema == FLIGHT_SCHEMA
+
+
+def test_every_stored_folder_counts(spark, folder, edge_flights):
+    early, late = folder(), folder()
+    complete = edge_flights.where("Year IS NOT NULL")
+    write_flights(complete.where("Year < 2008"), early)
+    write_flights(complete.where("Year >= 2008"), late)
+    assert rows(read_flights(spark, [early, late])) == rows(complete)
+
+
+def test_flights_of_a_year_are_few_files(spark, folder, edge_flights):
+    path = write_flights(edge_flights.where("Year IS NOT NULL").repartition(8), folder())
+    assert len(spark.read.parquet(path).inputFiles()) <= 2 * edge_flights.select("Year").distinct().count()

@@ -162,3 +162,12 @@ def test_stream_equals_batch_on_skewed_rows_with_tidying(spark, folder, monkeypa
         assert rows(answer) == rows(batch_answer.select(*answer.columns)), name
     assert os.listdir(f"{root}/results11") == ["batch_id=3"]
     assert os.listdir(f"{root}/results24-folded") != []
+
+
+def test_no_answer_before_the_first_batch_is_no_rows(spark, folder):
+    from skyledger.schema import RESULT_TABLES
+    from skyledger.streaming import STREAM_QUESTIONS, read_question
+
+    for name, question in STREAM_QUESTIONS.items():
+        answer = read_question(spark, name, folder())
+        assert answer.count() == 0 and answer.columns == RESULT_TABLES[question.table].schema.fieldNames()
