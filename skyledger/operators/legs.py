@@ -40,6 +40,12 @@ def afternoon_flights(flights: DataFrame) -> DataFrame:
     return flights.where(F.col("CRSDepTime") > NOON)
 
 
+def all_legs(flights: DataFrame) -> DataFrame:
+    """Every flight that can be a leg, with its ``leg``, 1 or 2. Noon parts them, so a flight is at most one."""
+    clock = F.col("CRSDepTime")
+    return flights.where(clock != NOON).withColumn("leg", F.when(clock < NOON, 1).otherwise(2))
+
+
 def of_year(flights: DataFrame, year: int) -> DataFrame:
     return flights.where(F.col("Year") == year)
 
@@ -49,14 +55,42 @@ def best_legs(flights: DataFrame, keys: Sequence[str] = LEG_KEYS) -> DataFrame:
     return best_per_group(flights, keys, LEG_ORDER)
 
 
+def with_keys(flights: DataFrame, keys: Sequence[str] = LEG_KEYS) -> DataFrame:
+    """Rows with a value in each of ``keys``, as conditions of the form that the join of the legs
+    implies: it then adds none of its own to one leg alone, and both still read one aggregate.
+    """
+    for key in keys:
+        flights = flights.where(F.col(key).isNotNull())
+    return flights
+
+
+def best_of_each_leg(legs: DataFrame) -> DataFrame:
+    """The best flight per (leg, route, day), from rows with their ``leg``.
+
+    The leg that is handed on comes out of the aggregate, beside the flight, and not
+    from its key. A filter on it stays above the aggregate, so both legs of a trip
+    read one aggregate, whose flights are scanned and shuffled once.
+    """
+    best = best_per_group(legs.withColumn("which", F.col("leg")), ("leg", *LEG_KEYS), (*LEG_ORDER, "which"))
+    return best.drop("leg").withColumnRenamed("which", "leg")
+
+
+def day_range(bounds: TwoLegBounds) -> tuple[datetime.date, datetime.date]:
+    """The first and the last day of any leg; without dates, a range without days."""
+    if not bounds.dates:
+        return datetime.date(bounds.year, 1, 2), datetime.date(bounds.year, 1, 1)
+    days = [as_day(d) for d in bounds.dates]
+    return min(days), max(days) + datetime.timedelta(days=STOPOVER_DAYS)
+
+
 def bounded_legs(
     flights: DataFrame, bounds: TwoLegBounds, require: Sequence[str] | None = ("ArrDelay",)
 ) -> DataFrame:
     """Best flight per (leg, route, day) among the flights ``bounds`` allows.
 
-    Noon parts the legs, so a flight has at most one; both legs share one
-    aggregate, which also is the form that a stream can keep as state. The sets
-    are on the keys of that aggregate, so they filter before it, at the scan.
+    Both legs share one aggregate, which also is the form that a stream can keep as
+    state. The sets filter before it, at the scan of stored flights; a view over
+    other tables takes the ``day_range``.
     """
     origin, dest, day, clock = (F.col(c) for c in ("Origin", "Dest", "FlightDate", "CRSDepTime"))
     first_days = [as_day(d) for d in bounds.dates]
@@ -67,12 +101,8 @@ def bounded_legs(
     second = (
         origin.isin(*bounds.ys) & dest.isin(*bounds.zs) & day.isin(*second_days) & (clock > NOON)
     )
-    candidates = (
-        of_year(complete_rows(flights, require), bounds.year)
-        .where(first | second)
-        .withColumn("leg", F.when(clock < NOON, 1).otherwise(2))
-    )
-    return best_legs(candidates, ("leg", *LEG_KEYS))
+    candidates = with_keys(of_year(complete_rows(flights, require), bounds.year)).where(first | second)
+    return best_of_each_leg(all_legs(candidates))
 
 
 def split_legs(legs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -163,6 +163,7 @@ def all_sql() -> dict[str, str]:
         "b_leg2_best": _with_flights(_best(LEG2)),
         "b_two_leg_all": _two_leg(LEG1, LEG2),
         "b_two_leg_bounded": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
+        "b_two_leg_text_days": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
         "s_replay_lines": every_flight,
         "s_wire_decode": every_flight,
         "s_state_sum": _with_flights(POPULARITY),

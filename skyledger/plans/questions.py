@@ -14,7 +14,9 @@ from skyledger.functions import round2
 from skyledger.operators import (
     TwoLegBounds,
     afternoon_flights,
+    all_legs,
     best_legs,
+    best_of_each_leg,
     bounded_legs,
     complete_rows,
     mean_by,
@@ -25,8 +27,9 @@ from skyledger.operators import (
     rank_top,
     rank_top_per_group,
     split_legs,
+    with_keys,
 )
-from skyledger.operators.legs import of_year
+from skyledger.operators.legs import LEG_KEYS, of_year
 
 # Fixed value: how many rows a ranking keeps.
 TOP = 10
@@ -111,7 +114,9 @@ def second_legs(flights: DataFrame, year: int, require: Sequence[str] | None = N
 
 def two_leg_all(flights: DataFrame, year: int, require: Sequence[str] | None = None) -> DataFrame:
     """Every itinerary of ``year``: each route pair that meets, with the best flight of either leg."""
-    return pair_legs(first_legs(flights, year, require), second_legs(flights, year, require))
+    known = [key for key in LEG_KEYS if require is None or key in require]
+    candidates = with_keys(complete_rows(of_year(flights, year), require), known)
+    return pair_legs(*split_legs(best_of_each_leg(all_legs(candidates))))
 
 
 def two_leg_bounded(

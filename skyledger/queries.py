@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger import plans
-from skyledger.operators import TwoLegBounds, complete_rows, endpoint_counts
+from skyledger.operators import TwoLegBounds, complete_rows, day_range, endpoint_counts
 from skyledger.operators.legs import LEG_KEYS
 from skyledger.plans.summary import answers_from_summary, flight_summary
 from skyledger.schema import RESULT_TABLES, conform
@@ -49,6 +49,8 @@ BOUNDS = TwoLegBounds(
     dates=[datetime.date(1998, 1, 1) + datetime.timedelta(days=i) for i in range(100)],
     year=YEAR,
 )
+# The same question with its days as text.
+TEXT_BOUNDS = BOUNDS._replace(dates=[f"{d:%d/%m/%Y}" for d in BOUNDS.dates])
 
 # A replay of few lines is still cut into this many files, so that it takes more
 # than one micro-batch; a large one gets files of at most this many lines.
@@ -80,6 +82,11 @@ def _on_flights(question: Callable[[DataFrame], DataFrame], year: int | None = N
     return lambda spark, sf_dir: question(flights_view(spark, sf_dir, year))
 
 
+def _two_leg_bounded(bounds: TwoLegBounds) -> Query:
+    return lambda spark, sf_dir: plans.two_leg_bounded(
+        flights_view(spark, sf_dir, days=day_range(bounds)), bounds)
+
+
 def _from_summary(table: str) -> Query:
     """A result table the way the batch job makes it: from one summary of all flights."""
     return lambda spark, sf_dir: answers_from_summary(flight_summary(flights_view(spark, sf_dir)))[table]
@@ -109,7 +116,8 @@ BATCH: dict[str, Query] = {
     "b_leg1_best": _on_flights(lambda f: plans.first_legs(f, YEAR), YEAR),
     "b_leg2_best": _on_flights(lambda f: plans.second_legs(f, YEAR), YEAR),
     "b_two_leg_all": _on_flights(lambda f: plans.two_leg_all(f, YEAR), YEAR),
-    "b_two_leg_bounded": _on_flights(lambda f: plans.two_leg_bounded(f, BOUNDS), YEAR),
+    "b_two_leg_bounded": _two_leg_bounded(BOUNDS),
+    "b_two_leg_text_days": _two_leg_bounded(TEXT_BOUNDS),
     **{f"b_summary_{name}": _from_summary(table) for name, table in SUMMARY_TABLES.items()},
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -44,14 +46,19 @@ FLIGHT_COLUMNS = (
 )
 
 
-def flights_view(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
+def flights_view(
+    spark: SparkSession,
+    sf_dir: str,
+    year: int | None = None,
+    days: tuple[datetime.date, datetime.date] | None = None,
+) -> DataFrame:
     """One flight per order line: supplier nation to customer nation, flown on the ship date.
 
     The dimension chains are joined first, so that the line table is shuffled by
     order, supplier and part key and never by a customer key. No side is forced
     to broadcast: Spark does so below its size threshold, sort-merges above it,
-    and splits skewed keys at run time. ``year`` becomes a range of ship dates,
-    which reaches the parquet scan.
+    and splits skewed keys at run time. ``year`` and ``days`` (the first and the
+    last) become ranges of ship dates, which reach the parquet scan.
     """
     nation = _read(spark, sf_dir, "nation")
     origin = (
@@ -73,6 +80,9 @@ def flights_view(spark: SparkSession, sf_dir: str, year: int | None = None) -> D
     if year is not None:
         lines = lines.where(
             f"l_shipdate >= TIMESTAMP_NTZ '{year:04d}-01-01' AND l_shipdate < TIMESTAMP_NTZ '{year + 1:04d}-01-01'")
+    if days is not None:
+        after = days[1] + datetime.timedelta(days=1)
+        lines = lines.where(f"l_shipdate >= TIMESTAMP_NTZ '{days[0]}' AND l_shipdate < TIMESTAMP_NTZ '{after}'")
     return (
         lines
         .join(order_dest, F.expr("l_orderkey = o_orderkey"))

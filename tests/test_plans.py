@@ -8,8 +8,9 @@ import pytest
 
 from conftest import plan_of
 from skyledger import plans
-from skyledger.operators import TwoLegBounds, bounded_legs, pair_legs, popularity
+from skyledger.operators import TwoLegBounds, bounded_legs, day_range, pair_legs, popularity
 from skyledger.plans.summary import flight_summary
+from skyledger.queries import BOUNDS
 from skyledger.schema import FLIGHT_SCHEMA
 from skyledger.session import session_conf
 from skyledger.sources import decode_flights, flights_view, read_flights, write_flights
@@ -83,9 +84,11 @@ def test_year_prunes_partitions_and_clock_reaches_the_scan(flights):
     assert "LessThan(CRSDepTime,1200)" in plan
 
 
-def test_trip_sets_reach_the_scan(flights):
+def test_trip_sets_reach_the_scan(spark, flights):
     bounds = TwoLegBounds(["AAA"], ["BBB"], ["CCC"], ["27/02/2008"], 2008)
-    pushed = " ".join(re.findall(r"PushedFilters: \[.*", plan_of(plans.two_leg_bounded(flights, bounds))))
+    with session_conf(spark, spark__sql__maxMetadataStringLength=2000):  # the plan's text is cut by default
+        plan = plan_of(plans.two_leg_bounded(flights, bounds))
+    pushed = " ".join(re.findall(r"PushedFilters: \[.*", plan))
     assert "EqualTo(Origin,AAA)" in pushed and "EqualTo(FlightDate,2008-02-27)" in pushed
 
 
@@ -94,6 +97,33 @@ def test_trips_join_on_airport_and_day(flights):
     assert re.search(r"Join \[airporty#\d+, day1#\d+\], \[origin2#\d+, date_sub\(day2#\d+, 2\)\]", plan)
 
 
+def _scans(df, column):
+    """How often the executed plan reads the files with ``column``; a reused shuffle reads none."""
+    plan = plan_of(df)
+    return len(re.findall(rf"FileScan [^\n]*{column}#", plan))
+
+
+@pytest.mark.parametrize("question", [
+    lambda f: plans.two_leg_all(f, 1998),
+    lambda f: plans.two_leg_bounded(f, BOUNDS),
+])
+def test_trips_read_the_flights_once(spark, folder, question):
+    view = flights_view(spark, "/root/testdata/sf0.001", 1998)
+    stored = read_flights(spark, write_flights(view, folder()))
+    settings = {"spark__sql__autoBroadcastJoinThreshold": -1, "spark__sql__adaptive__enabled": "false"}
+    with session_conf(spark, **settings):
+        assert _scans(question(view), "l_orderkey") == 1
+        assert _scans(question(stored), "CRSDepTime") == 1
+
+
+def test_days_of_the_bounds_reach_the_scan_of_the_view(spark):
+    view = flights_view(spark, "/root/testdata/sf0.001", days=day_range(BOUNDS))
+    with session_conf(spark, spark__sql__maxMetadataStringLength=5000):
+        plan = plan_of(plans.two_leg_bounded(view, BOUNDS))
+    assert "GreaterThanOrEqual(l_shipdate,1998-01-01T00:00)" in plan
+    assert "LessThan(l_shipdate,1998-04-13T00:00)" in plan
+
+
 def test_a_message_is_parsed_once(spark):
     lines = spark.createDataFrame([("2008,4,2008-04-03,AA,1,BOS,ATL,0900,5,10",)], "value STRING")
     bounds = TwoLegBounds(["BOS"], ["ATL"], ["LAX"], ["03/04/2008"], 2008)
