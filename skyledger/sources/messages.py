@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from skyledger.schema import FLIGHT_SCHEMA
 from skyledger.sources.files import typed_flights
@@ -11,12 +12,32 @@ from skyledger.sources.files import typed_flights
 TOPIC = "flights"
 
 _KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# What stands for a character that would end the line, and for the sign itself.
+# A line from elsewhere that holds such a code as plain text is read with the character.
+_CODES = (("%", "%25"), ("\n", "%0A"), ("\r", "%0D"))
 _TEXT_DDL = ", ".join(f"{name} STRING" for name in FLIGHT_SCHEMA.fieldNames())
 
 
+def _coded(text: Column) -> Column:
+    for char, code in _CODES:
+        text = F.replace(text, F.lit(char), F.lit(code))
+    return text
+
+
+def _decoded(text: Column) -> Column:
+    for char, code in reversed(_CODES):
+        text = F.replace(text, F.lit(code), F.lit(char))
+    return text
+
+
 def wire_lines(flights: DataFrame) -> DataFrame:
-    """One ``value`` per flight, fields in wire order; a null is an empty field."""
-    fields = F.struct(*FLIGHT_SCHEMA.fieldNames())
+    """One ``value`` per flight, fields in wire order; a null is an empty field, and an empty text is read as null.
+
+    A line break inside a field is written as a code, so a message stays one line.
+    """
+    fields = F.struct(*[
+        _coded(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
+        for f in FLIGHT_SCHEMA])
     return flights.select(F.to_csv(fields, _KEEP_SPACES).alias("value"))
 
 
@@ -62,7 +83,9 @@ def _is_flight() -> Column:
 
 def decode_flights(messages: DataFrame) -> DataFrame:
     """Typed flights of the lines that name both airports; short lines end in nulls."""
-    return typed_flights(_fields(messages).where(_is_flight()))
+    fields = _fields(messages).where(_is_flight())
+    texts = {f.name: _decoded(F.col(f.name)) for f in FLIGHT_SCHEMA if isinstance(f.dataType, StringType)}
+    return typed_flights(fields.withColumns(texts))
 
 
 def rejected_lines(messages: DataFrame) -> DataFrame:

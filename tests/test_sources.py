@@ -120,3 +120,20 @@ def test_every_stored_folder_counts(spark, folder, edge_flights):
 def test_flights_of_a_year_are_few_files(spark, folder, edge_flights):
     path = write_flights(edge_flights.where("Year IS NOT NULL").repartition(8), folder())
     assert len(spark.read.parquet(path).inputFiles()) <= 2 * edge_flights.select("Year").distinct().count()
+
+
+@pytest.mark.parametrize("carrier", [
+    "A\nB", "A\r\nB", "\n", 'say "A"', "a,b", " a ", "100%", "%0A", "%250A", "a\\b", 'a\\"b', None])
+def test_any_text_stays_one_message(spark, folder, carrier):
+    row, path = ROW[:3] + (carrier,) + ROW[4:], folder()
+    replay_lines(spark.createDataFrame([row], FLIGHT_SCHEMA), path)
+    lines = spark.read.text(path)
+    assert lines.count() == 1
+    assert rows(decode_flights(lines)) == [row]
+    assert rejected_lines(lines).count() == 0
+
+
+def test_an_empty_text_is_a_missing_field(spark, folder):
+    path = folder()
+    replay_lines(spark.createDataFrame([ROW[:3] + ("",) + ROW[4:]], FLIGHT_SCHEMA), path)
+    assert rows(decode_flights(spark.read.text(path))) == [ROW[:3] + (None,) + ROW[4:]]
