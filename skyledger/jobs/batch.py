@@ -1,19 +1,21 @@
 """Answer all questions over a set of flights and store the result tables.
 
 CSV input is typed and stored once as parquet by year. The five questions on
-counts and means share one summary; the two-leg question reads one year.
+counts and means share one summary; the two-leg question reads one year. Both
+staged copies are deleted at the end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.jobs.options import add_store, parser, store_of
 from skyledger.plans import two_leg_all
 from skyledger.plans.summary import answers_from_summary, flight_summary
-from skyledger.session import build_session, new_dir
+from skyledger.session import build_session, new_dir, scratch_dir
 from skyledger.sinks import Store, read_table, write_table, write_to_store
 from skyledger.sources import read_flights, read_flights_csv, write_flights
 
@@ -21,19 +23,21 @@ from skyledger.sources import read_flights, read_flights_csv, write_flights
 TWO_LEG_YEAR = 2008
 
 
-def stage_flights(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return read_flights(spark, write_flights(read_flights_csv(spark, paths), new_dir(spark, "flights")))
+def stage_flights(spark: SparkSession, paths: Sequence[str], path: str) -> DataFrame:
+    return read_flights(spark, write_flights(read_flights_csv(spark, paths), path))
 
 
-def stage_summary(spark: SparkSession, flights: DataFrame) -> DataFrame:
-    path = new_dir(spark, "summary")
+def stage_summary(spark: SparkSession, flights: DataFrame, path: str | None = None) -> DataFrame:
+    path = path or new_dir(spark, "summary")
     flight_summary(flights).write.parquet(path)
     return spark.read.parquet(path)
 
 
-def all_answers(spark: SparkSession, flights: DataFrame, year: int = TWO_LEG_YEAR) -> dict[str, DataFrame]:
-    """Result table name to its rows, for the six questions."""
-    answers = answers_from_summary(stage_summary(spark, flights))
+def all_answers(
+    spark: SparkSession, flights: DataFrame, path: str, year: int = TWO_LEG_YEAR
+) -> dict[str, DataFrame]:
+    """Result table name to its rows, for the six questions; they read the summary staged at ``path``."""
+    answers = answers_from_summary(stage_summary(spark, flights, path))
     answers["results32"] = two_leg_all(flights, year)
     return answers
 
@@ -48,10 +52,11 @@ def run_batch(
 ) -> dict[str, str]:
     """Write the six result tables under ``root``, and to ``store`` from there; return their paths."""
     paths = {}
-    for table, answer in all_answers(spark, flights, year).items():
-        paths[table] = write_table(answer, table, root, fmt)
-        if store:
-            write_to_store(read_table(spark, table, root, fmt), table, store)
+    with scratch_dir(spark, "summary") as summary:
+        for table, answer in all_answers(spark, flights, summary, year).items():
+            paths[table] = write_table(answer, table, root, fmt)
+            if store:
+                write_to_store(read_table(spark, table, root, fmt), table, store)
     return paths
 
 
@@ -66,12 +71,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--show", action="store_true", help="print the first rows of every result")
     given = args.parse_args(argv)
     spark = build_session("skyledger-batch", given.master)
-    if given.input_format == "csv":
-        flights = stage_flights(spark, given.input)
-    else:
-        flights = read_flights(spark, given.input)
-    written = run_batch(
-        spark, flights, given.output, given.year, given.output_format, store_of(given))
+    with ExitStack() as staged:
+        if given.input_format == "csv":
+            flights = stage_flights(spark, given.input, staged.enter_context(scratch_dir(spark, "flights")))
+        else:
+            flights = read_flights(spark, given.input)
+        written = run_batch(
+            spark, flights, given.output, given.year, given.output_format, store_of(given))
     for table, path in written.items():
         print(table, path)
         if given.show:

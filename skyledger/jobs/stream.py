@@ -26,6 +26,19 @@ TWO_LEG_BOUNDS = TwoLegBounds(
 )
 
 
+# How much one micro-batch takes in at most, so that a first start does not take a
+# whole backlog at once. Everything is taken in, batch by batch; --option replaces the limit.
+FILE_INTAKE = {"maxBytesPerTrigger": str(1 << 30)}
+BROKER_INTAKE = {"maxOffsetsPerTrigger": "10000000"}
+
+
+def with_intake(fmt: str, options: dict[str, str]) -> dict[str, str]:
+    """``options`` with the limit of the format, unless they carry one (Spark takes a single one)."""
+    if any(name.lower().startswith("max") and name.lower().endswith("pertrigger") for name in options):
+        return options
+    return {**(BROKER_INTAKE if fmt == "kafka" else FILE_INTAKE), **options}
+
+
 def run_stream(
     messages: DataFrame,
     root: str,
@@ -60,7 +73,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     given = args.parse_args(argv)
     spark = build_session("skyledger-stream", given.master)
     trigger = AVAILABLE_NOW if given.once else EVERY_TEN_SECONDS
-    messages = read_messages(spark, given.input, given.format, **key_values(given.option))
+    messages = read_messages(spark, given.input, given.format, **with_intake(given.format, key_values(given.option)))
     wait_for(run_stream(
         messages, given.output, trigger=trigger, show=10 if given.show else 0, store=store_of(given)))
 

@@ -52,6 +52,17 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_dir(spark: SparkSession, label: str):
+    """A ``new_dir`` that is deleted when the block ends, also by an error."""
+    path = new_dir(spark, label)
+    try:
+        yield path
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **conf):
     """Settings that hold only while the block runs; a streaming query keeps those it started with."""

@@ -10,6 +10,7 @@ from skyledger import plans
 from skyledger.jobs import batch, replay, stream
 from skyledger.operators import TwoLegBounds, best_legs, complete_rows, mean_state
 from skyledger.schema import FLIGHT_SCHEMA
+from skyledger.session import shared_dir
 from skyledger.sinks import Store, read_changes, read_latest, read_table
 from skyledger.sources import decode_flights, read_messages, replay_lines
 from skyledger.streaming import (
@@ -171,3 +172,32 @@ def test_no_answer_before_the_first_batch_is_no_rows(spark, folder):
     for name, question in STREAM_QUESTIONS.items():
         answer = read_question(spark, name, folder())
         assert answer.count() == 0 and answer.columns == RESULT_TABLES[question.table].schema.fieldNames()
+
+
+def test_a_backlog_is_taken_in_over_several_batches(spark, edge_flights, folder, line_files, monkeypatch):
+    monkeypatch.setattr(stream, "FILE_INTAKE", {"maxBytesPerTrigger": "1"})
+    root = folder()
+    stream.main(["--input", line_files(EDGE_LINES, 3), "--output", root, "--once"])
+    batches = [p for p in os.listdir(f"{root}/_checkpoints/results11/commits") if p.isdigit()]
+    assert len(batches) == 3
+    assert rows(read_question(spark, "airport_popularity", root)) == rows(plans.airport_popularity(edge_flights))
+
+
+def test_a_given_intake_limit_replaces_the_default():
+    assert stream.with_intake("text", {"maxFilesPerTrigger": "2"}) == {"maxFilesPerTrigger": "2"}
+    assert "maxBytesPerTrigger" in stream.with_intake("text", {"lineSep": "x"})
+    assert "maxOffsetsPerTrigger" in stream.with_intake("kafka", {})
+
+
+def test_the_batch_job_leaves_no_staged_copies(spark, edge_flights, folder):
+    def staged():
+        root = shared_dir(spark)
+        return {p for p in os.listdir(root) if p.startswith(("flights-", "summary-"))} if os.path.isdir(root) else set()
+
+    csv, tables, before = folder(), folder(), staged()
+    edge_flights.write.option("header", True).csv(csv)
+    batch.main(["--input", csv, "--output", tables])
+    assert staged() == before
+    with pytest.raises(Exception):  # the tables exist
+        batch.main(["--input", csv, "--output", tables])
+    assert staged() == before
