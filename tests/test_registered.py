@@ -6,6 +6,8 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from skyledger.oracle import all_sql
+from skyledger.queries import all_queries
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -27,14 +29,15 @@ def database():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(contract.queries()) and set(all_sql()) <= set(contract.oracle_sql())
 
 
 def test_flagship(spark):
     assert contract.entry(spark).count() == 10
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", all_queries())
 def test_query_equals_sql(spark, database, name):
     result = contract.queries()[name](spark, SF_DIR)
     cursor = database.execute(contract.oracle_sql()[name])
