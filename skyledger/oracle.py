@@ -180,8 +180,9 @@ def all_sql() -> dict[str, str]:
         "s_route_mean_arr_delay": routes,
         "s_two_leg_bounded": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
         "s_restart_resume": popularity_top10,
+        "s_all_two_leg_bounded": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
     }
     # The same answers from one summary of all flights.
-    return single | {f"b_summary_{name}": single[f"b_{name}"] for name in (
+    return single | {f"{kind}_summary_{name}": single[f"{kind}_{name}"] for kind in ("b", "s") for name in (
         "airport_popularity_top10", "carrier_ontime_top10", "origin_carrier_packed", "origin_dest_packed",
         "route_mean_arr_delay")}

@@ -21,9 +21,13 @@ from skyledger.plans.questions import (
 )
 
 
+# A missing carrier is a group of its own, so that its flights count.
+SUMMARY_KEYS = ("Origin", "Dest", "UniqueCarrier")
+
+
 def flight_summary(flights: DataFrame) -> DataFrame:
     dep, arr = F.col("DepDelay").cast("double"), F.col("ArrDelay").cast("double")
-    return flights.groupBy("Origin", "Dest", "UniqueCarrier").agg(
+    return flights.groupBy(*SUMMARY_KEYS).agg(
         F.count("*").alias("flights"),
         F.sum(dep).alias("dep_total"),
         F.count(dep).alias("dep_n"),
@@ -36,18 +40,20 @@ def _mean_dep(summary: DataFrame, key: str) -> DataFrame:
     return merge_mean_state(summary, ["Origin", key], "dep_total", "dep_n", "mean")
 
 
-def _packed(summary: DataFrame, key: str, k: int) -> DataFrame:
-    return pack_origin(rank_within_origin(_mean_dep(summary, key), key, k), key, "flat")
+def _packed(summary: DataFrame, key: str, k: int, style: str) -> DataFrame:
+    return pack_origin(rank_within_origin(_mean_dep(summary, key), key, k), key, style)
 
 
-def answers_from_summary(summary: DataFrame, k: int = TOP) -> dict[str, DataFrame]:
-    """Result table name to its rows."""
+def answers_from_summary(
+    summary: DataFrame, k: int = TOP, style: str = "flat", round_before_rank: bool = True
+) -> dict[str, DataFrame]:
+    """Result table name to its rows; the defaults are those of the batch questions."""
     carriers = merge_mean_state(summary, ["UniqueCarrier"], "arr_total", "arr_n", "mean")
     routes = merge_mean_state(summary, ["Origin", "Dest"], "arr_total", "arr_n", "mean")
     return {
         "results11": rank_airports(popularity_of_routes(summary, "flights"), k),
-        "results12": rank_carriers(carriers, k),
-        "results21": _packed(summary, "UniqueCarrier", k),
-        "results22": _packed(summary, "Dest", k),
+        "results12": rank_carriers(carriers, k, round_before_rank),
+        "results21": _packed(summary, "UniqueCarrier", k, style),
+        "results22": _packed(summary, "Dest", k, style),
         "results24": finish_routes(routes),
     }

@@ -18,7 +18,7 @@ from skyledger.operators import TwoLegBounds, complete_rows, day_range, endpoint
 from skyledger.operators.legs import LEG_KEYS
 from skyledger.plans.summary import answers_from_summary, flight_summary
 from skyledger.schema import RESULT_TABLES, conform
-from skyledger.session import new_dir
+from skyledger.session import new_dir, path_exists
 from skyledger.sinks import read_changes, read_latest, read_table, write_table
 from skyledger.sources import (
     decode_flights,
@@ -34,8 +34,10 @@ from skyledger.streaming import (
     running_best,
     running_mean,
     running_visits,
+    start_all,
     start_query,
     start_question,
+    start_summary,
 )
 from skyledger.streaming.questions import FEW_KEYS
 
@@ -140,7 +142,7 @@ def _replay(spark: SparkSession, sf_dir: str, flights: DataFrame, path: str) ->
 def shared_topic(spark: SparkSession, sf_dir: str) -> str:
     """The flights as message files; all streaming queries of an application read one replay."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _topics:
+    if key not in _topics or not path_exists(spark, _topics[key]):
         path = new_dir(spark, "topic")
         _replay(spark, sf_dir, flights_view(spark, sf_dir), path)
         _topics[key] = path
@@ -197,9 +199,35 @@ def _question(name: str, bounds: TwoLegBounds | None = None) -> Query:
         root = new_dir(spark, name)
         flights = _stream(spark, shared_topic(spark, sf_dir))
         _wait(start_question(name, flights, root, AVAILABLE_NOW, bounds))
-        return conform(
-            read_question(spark, name, root),
-            RESULT_TABLES[STREAM_QUESTIONS[name].table].schema)
+        return _answer(spark, name, root)
+
+    return query
+
+
+def _answer(spark: SparkSession, name: str, root: str) -> DataFrame:
+    return conform(read_question(spark, name, root), RESULT_TABLES[STREAM_QUESTIONS[name].table].schema)
+
+
+def _from_running_summary(name: str) -> Query:
+    """A question's answer from the one running summary of all flights."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = new_dir(spark, f"summary-{name}")
+        _wait(start_summary(_stream(spark, shared_topic(spark, sf_dir)), root, AVAILABLE_NOW))
+        return _answer(spark, name, root)
+
+    return query
+
+
+def _all_questions(name: str) -> Query:
+    """A question's answer while all of them run over one input."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = new_dir(spark, f"all-{name}")
+        flights = _stream(spark, shared_topic(spark, sf_dir))
+        for started in start_all(flights, root, TEXT_BOUNDS, AVAILABLE_NOW):
+            _wait(started)
+        return _answer(spark, name, root)
 
     return query
 
@@ -215,6 +243,15 @@ def _restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_question(spark, "airport_popularity", root)
 
 
+# The questions that share the running summary, by the name of their single query.
+SUMMARY_QUESTIONS = {
+    "airport_popularity_top10": "airport_popularity",
+    "carrier_ontime_top10": "carrier_punctuality",
+    "origin_carrier_packed": "origin_carrier",
+    "origin_dest_packed": "origin_dest",
+    "route_mean_arr_delay": "route_mean",
+}
+
 STREAM: dict[str, Query] = {
     "s_replay_lines": _replay_lines,
     "s_wire_decode": _wire_decode,
@@ -228,6 +265,8 @@ STREAM: dict[str, Query] = {
     "s_route_mean_arr_delay": _question("route_mean"),
     "s_two_leg_bounded": _question("two_leg", BOUNDS),
     "s_restart_resume": _restart_resume,
+    **{f"s_summary_{name}": _from_running_summary(question) for name, question in SUMMARY_QUESTIONS.items()},
+    "s_all_two_leg_bounded": _all_questions("two_leg"),
 }
 
 

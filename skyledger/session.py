@@ -52,6 +52,11 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 @contextmanager
 def scratch_dir(spark: SparkSession, label: str):
     """A ``new_dir`` that is deleted when the block ends, also by an error."""

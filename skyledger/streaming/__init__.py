@@ -1,8 +1,15 @@
-from skyledger.streaming.questions import STREAM_QUESTIONS, start_all, start_question, read_question
+from skyledger.streaming.questions import (
+    STREAM_QUESTIONS,
+    Upkeep,
+    read_question,
+    start_all,
+    start_question,
+    start_summary,
+)
 from skyledger.streaming.runner import AVAILABLE_NOW, EVERY_TEN_SECONDS, start_query, start_rejects
 from skyledger.streaming.states import running_best, running_mean, running_visits
 
 __all__ = [
-    "AVAILABLE_NOW", "EVERY_TEN_SECONDS", "STREAM_QUESTIONS", "read_question", "running_best",
-    "running_mean", "running_visits", "start_all", "start_query", "start_question", "start_rejects",
+    "AVAILABLE_NOW", "EVERY_TEN_SECONDS", "STREAM_QUESTIONS", "Upkeep", "read_question", "running_best",
+    "running_mean", "running_visits", "start_all", "start_query", "start_question", "start_rejects", "start_summary",
 ]

@@ -6,7 +6,7 @@ into the result table; the finishing steps are those of the batch questions.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +20,12 @@ from skyledger.plans.questions import (
     rank_carriers,
     rank_within_origin,
 )
+from skyledger.plans.summary import SUMMARY_KEYS, answers_from_summary, flight_summary
 from skyledger.schema import RESULT_TABLES, conform
+from skyledger.session import session_conf
 from skyledger.sinks import (
     Store,
+    batch_writer,
     compact_changes,
     has_results,
     prune_results,
@@ -38,9 +41,10 @@ class StreamQuestion(NamedTuple):
     table: str
     state: Callable[..., DataFrame]
     finish: Callable[[DataFrame], DataFrame]
-    partitions: int
+    partitions: int | None = None
     mode: str = "complete"
     reread: bool = False
+    rocksdb: bool = False
 
 
 def _packed(key: str) -> Callable[[DataFrame], DataFrame]:
@@ -55,9 +59,9 @@ def _pair(legs: DataFrame) -> DataFrame:
     return pair_legs(*split_legs(legs))
 
 
-# State partitions. The number of airports and carriers does not grow with the
-# flights, nor does the number of their pairs, and the two-leg sets bound their
-# state; each map task sends at most one row per key to these partitions.
+# State partitions of the states whose keys do not grow with the flights: airports, carriers
+# and their pairs. Each map task sends at most one row per key to these partitions.
+# ``start_question`` takes another number.
 FEW_KEYS = 8
 PAIRED_KEYS = 32
 
@@ -67,7 +71,8 @@ TIDY_EVERY = 100
 KEEP_RESULTS = 10
 
 # Whole states are handed over each time, but route means, the largest of them,
-# hand over changes only. The two-leg join needs all of its state.
+# hand over changes only. The two-leg join needs all of its state, whose keys are
+# the caller's airports times days: it is kept outside the heap, in the session's partitions.
 STREAM_QUESTIONS = {
     "airport_popularity": StreamQuestion("results11", running_visits, rank_airports, FEW_KEYS),
     "carrier_punctuality": StreamQuestion(
@@ -90,10 +95,26 @@ STREAM_QUESTIONS = {
         lambda flights: running_mean(flights, ["Origin", "Dest"], "ArrDelay"),
         lambda state: finish_routes(state.select("Origin", "Dest", "mean")),
         PAIRED_KEYS, mode="update"),
-    "two_leg": StreamQuestion("results32", bounded_legs, _pair, PAIRED_KEYS, reread=True),
+    "two_leg": StreamQuestion("results32", bounded_legs, _pair, reread=True, rocksdb=True),
 }
 
 
+class Upkeep(NamedTuple):
+    """How often a continuous query tidies its tables, and how many whole results it then keeps."""
+
+    every: int
+    keep: int
+
+
+def _tidy(spark: SparkSession, path: str, keys: Sequence[str], mode: str, batch_id: int, upkeep: Upkeep | None) -> None:
+    every, keep = upkeep or (TIDY_EVERY, KEEP_RESULTS)
+    if (batch_id + 1) % every == 0:
+        if mode == "update":
+            compact_changes(spark, path, tuple(keys))
+        else:
+            prune_results(spark, path, keep)
+
+
 def start_question(
     name: str,
     flights: DataFrame,
@@ -102,10 +123,13 @@ def start_question(
     bounds: TwoLegBounds | None = None,
     show: int = 0,
     store: Store | None = None,
+    partitions: int | None = None,
+    upkeep: Upkeep | None = None,
 ) -> StreamingQuery:
     """Start one question on a flight stream, with result and checkpoint under ``root``.
 
     With a ``store``, every result is also written there, to be merged by key.
+    ``partitions`` of the state replace the question's own number; the checkpoint keeps them.
     """
     question = STREAM_QUESTIONS[name]
     schema, keys = RESULT_TABLES[question.table]
@@ -118,16 +142,52 @@ def start_question(
     def also(result: DataFrame, batch_id: int) -> None:
         if store:
             write_to_store(result, question.table, store)
-        if (batch_id + 1) % TIDY_EVERY == 0:
-            if question.mode == "update":
-                compact_changes(result.sparkSession, path, keys)
-            else:
-                prune_results(result.sparkSession, path, KEEP_RESULTS)
+        _tidy(result.sparkSession, path, keys, question.mode, batch_id, upkeep)
 
     return start_query(
         state, path, f"{root}/_checkpoints/{question.table}", finish,
-        question.mode, trigger, partitions=question.partitions, reread=question.reread, show=show,
-        also=also)
+        question.mode, trigger, question.rocksdb, partitions or question.partitions, question.reread, show, also)
+
+
+def start_summary(
+    flights: DataFrame,
+    root: str,
+    trigger: dict | None = None,
+    show: int = 0,
+    store: Store | None = None,
+    partitions: int | None = PAIRED_KEYS,
+    upkeep: Upkeep | None = None,
+) -> StreamingQuery:
+    """The five questions but the two-leg one from one running summary: one read of the input, one state.
+
+    A micro-batch stores the summary's changed rows. From the newest row of each of its
+    groups the five answers are made and stored under the id of the batch, so a replayed
+    batch overwrites its own. ``read_question`` reads them. A root on which single
+    questions were started before cannot be carried on: its batch ids are others.
+    """
+    path = f"{root}/summary"
+
+    def answer(changed: DataFrame, batch_id: int) -> None:
+        spark = changed.sparkSession
+        newest = f"{path}-newest"
+        with session_conf(spark, spark__sql__adaptive__enabled="true"):
+            rows = read_changes(spark, path, SUMMARY_KEYS)
+            rows.write.mode("overwrite").parquet(newest)
+            summary = spark.read.schema(rows.schema).parquet(newest)
+            answers = answers_from_summary(summary, style="tuple", round_before_rank=False)
+            for question in STREAM_QUESTIONS.values():
+                if question.table in answers:
+                    schema, keys = RESULT_TABLES[question.table]
+                    table = f"{root}/{question.table}"
+                    keep = batch_writer(table, lambda df, schema=schema: conform(df, schema), show=show, also=(
+                        lambda df, _, name=question.table: write_to_store(df, name, store)) if store else None)
+                    keep(answers[question.table], batch_id)
+                    _tidy(spark, table, keys, question.mode, batch_id, upkeep)
+        _tidy(spark, path, SUMMARY_KEYS, "update", batch_id, upkeep)
+
+    return start_query(
+        flight_summary(flights), path, f"{root}/_checkpoints/summary", lambda batch: batch,
+        "update", trigger, partitions=partitions, also=answer)
 
 
 def start_all(
@@ -137,11 +197,12 @@ def start_all(
     trigger: dict | None = None,
     show: int = 0,
     store: Store | None = None,
+    upkeep: Upkeep | None = None,
 ) -> list[StreamingQuery]:
-    """All questions over one input, each a query with its own progress."""
+    """All questions over one input, which is read twice: for the summary and for the two-leg trips."""
     return [
-        start_question(name, flights, root, trigger, bounds if name == "two_leg" else None, show, store)
-        for name in STREAM_QUESTIONS
+        start_summary(flights, root, trigger, show, store, upkeep=upkeep),
+        start_question("two_leg", flights, root, trigger, bounds, show, store, upkeep=upkeep),
     ]
 
 

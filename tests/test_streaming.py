@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import time
 
 import pytest
 
@@ -15,11 +16,14 @@ from skyledger.sinks import Store, read_changes, read_latest, read_table
 from skyledger.sources import decode_flights, read_messages, replay_lines
 from skyledger.streaming import (
     AVAILABLE_NOW,
+    EVERY_TEN_SECONDS,
+    Upkeep,
     read_question,
     running_best,
     running_mean,
     start_query,
     start_question,
+    start_summary,
 )
 from skyledger.streaming import questions
 from test_operators import AIRPORTS, FLIGHTS, START
@@ -178,7 +182,7 @@ def test_a_backlog_is_taken_in_over_several_batches(spark, edge_flights, folder,
     monkeypatch.setattr(stream, "FILE_INTAKE", {"maxBytesPerTrigger": "1"})
     root = folder()
     stream.main(["--input", line_files(EDGE_LINES, 3), "--output", root, "--once"])
-    batches = [p for p in os.listdir(f"{root}/_checkpoints/results11/commits") if p.isdigit()]
+    batches = [p for p in os.listdir(f"{root}/_checkpoints/summary/commits") if p.isdigit()]
     assert len(batches) == 3
     assert rows(read_question(spark, "airport_popularity", root)) == rows(plans.airport_popularity(edge_flights))
 
@@ -201,3 +205,49 @@ def test_the_batch_job_leaves_no_staged_copies(spark, edge_flights, folder):
     with pytest.raises(Exception):  # the tables exist
         batch.main(["--input", csv, "--output", tables])
     assert staged() == before
+
+
+def test_the_ten_second_trigger_starts_a_batch_after_each_interval(spark, edge_flights, folder, line_files):
+    root = folder()
+    flights = flights_of(spark, line_files(EDGE_LINES, 2))
+    query = start_question("airport_popularity", flights, root, EVERY_TEN_SECONDS)
+    end = time.monotonic() + 90
+    try:
+        while time.monotonic() < end and sum(p.numInputRows > 0 for p in query.recentProgress) < 2:
+            time.sleep(0.5)
+        taken = [p for p in query.recentProgress if p.numInputRows]
+    finally:
+        query.stop()
+    assert len(taken) == 2
+    first, second = (datetime.datetime.fromisoformat(p.timestamp.rstrip("Z")) for p in taken)
+    assert (second - first).total_seconds() >= 1 and second.second % 10 == 0
+    assert rows(read_question(spark, "airport_popularity", root)) == rows(plans.airport_popularity(edge_flights))
+
+
+def state_partitions(root, table):
+    return {p for p in os.listdir(f"{root}/_checkpoints/{table}/state/0") if p.isdigit()}
+
+
+def test_a_given_number_of_state_partitions_wins(spark, folder, line_files):
+    root = folder()
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions")) + 3
+    flights = flights_of(spark, line_files(EDGE_LINES))
+    start_question("airport_popularity", flights, root, AVAILABLE_NOW, partitions=asked).awaitTermination()
+    start_question("two_leg", flights, root, AVAILABLE_NOW, EVERYWHERE).awaitTermination()
+    assert len(state_partitions(root, "results11")) == asked
+    assert len(state_partitions(root, "results32")) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_missing_carrier_counts_in_the_running_summary(spark, folder, line_files):
+    root = folder()
+    lines = [*EDGE_LINES, "2008,4,2008-04-03,,77,BOS,ATL,0900,5,10", "2008,4,2008-04-03,,78,BOS,ATL,0900,7,11"]
+    flights = decode_flights(spark.createDataFrame([(line,) for line in lines], "value STRING"))
+    start_summary(
+        flights_of(spark, line_files(lines, 4)), root, AVAILABLE_NOW, upkeep=Upkeep(every=2, keep=1)).awaitTermination()
+    for name, answer in {
+        "airport_popularity": plans.airport_popularity(flights),
+        "carrier_punctuality": plans.carrier_punctuality(flights, round_before_rank=False),
+        "route_mean": plans.route_mean_arr_delay(flights),
+    }.items():
+        got = read_question(spark, name, root)
+        assert rows(got) == rows(answer.select(*got.columns)), name
