@@ -30,10 +30,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``row``, a number for each row of a stored table, and ``doc``, all its columns."""
-    return docs.select(
-        F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+def numbered(docs: DataFrame, label: str) -> DataFrame:
+    """``row``, a number for each row, and ``doc``, all its columns, as a written table.
+
+    The numbers are stored, because two scans of one table need not number its rows alike:
+    file splits follow the cores that are registered when a scan is planned.
+    """
+    return staged(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), label)
 
 
 def lower_ascii(text: Column | str) -> Column:

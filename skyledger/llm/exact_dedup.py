@@ -41,16 +41,17 @@ class DigestIndex:
         (rows.repartition(self.buckets, "digest").write.mode("append").format("parquet")
          .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table))
 
-    def add(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    def add(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
         """Take a batch into the index; one decision per row of ``docs``.
 
         Columns: ``doc_id``, ``row`` (tells repeated rows apart), ``digest``,
         ``keep_id``, ``group_size`` (rows of this batch with the text), ``kept``.
+        ``row`` names a column of stored, distinct numbers; without it rows are numbered here.
         """
         batch = uuid.uuid4().hex
         rows = docs.select(
             F.col(doc_id).cast("long").alias("doc_id"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
             F.unhex(F.sha2(lower_ascii(text), 256)).alias("digest"))
         rows = staged(rows, "digests")
         groups = rows.groupBy("digest").agg(
@@ -75,8 +76,10 @@ def new_index(spark: SparkSession) -> DigestIndex:
 def keep_first_copies(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    ``docs`` is a stored table, as each stage of a pipeline reads one: its row
-    numbers are then the same in every scan, also after a lost executor.
+    The rows are numbered once and written with their numbers; what is decided and
+    what is kept are both read from there.
     """
-    kept = index.add(docs, doc_id, text).where("kept").select("row")
-    return numbered(docs).join(kept, "row", "left_semi").select("doc.*")
+    packed = numbered(docs, "exact-rows")
+    flat = packed.select("row", F.col(f"doc.`{doc_id}`").alias("doc_id"), F.col(f"doc.`{text}`").alias("text"))
+    kept = index.add(flat, row="row").where("kept").select("row")
+    return packed.join(kept, "row", "left_semi").select("doc.*")

@@ -164,10 +164,10 @@ def page_rows(pages: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFra
 def accepted(docs: DataFrame, languages: Sequence[str] = LANGUAGES, text: str = "text", declared: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``docs`` whose language is found, with all their columns; the model comes from their own labels.
 
-    ``docs`` is a stored table, as each stage of a pipeline reads one: its row
-    numbers are then the same in every scan, also after a lost executor.
+    The rows are numbered once and written with their numbers; what is decided and
+    what is kept are both read from there.
     """
-    packed = numbered(docs)
+    packed = numbered(docs, "language-rows")
     flat = packed.select(
         "row", F.col(f"doc.{text}").alias("text"), F.col(f"doc.{declared}").alias("declared"), F.col(f"doc.{source}").alias("host"))
     model = train(flat, languages, "text", "declared")

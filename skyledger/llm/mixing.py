@@ -92,15 +92,16 @@ def balance(totals: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
 
 def mix(
     docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3,
-    doc_id: str = "doc_id", text: str = "text", source: str = "source", base: str | None = None,
+    doc_id: str = "doc_id", text: str = "text", source: str = "source", base: str | None = None, row: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: ``row``, ``doc_id``, ``source``, ``size``,
     ``source_size``, ``target``, ``rate``, ``copies`` (whole) and ``taken`` (words).
 
-    ``base`` names a column of positive base rates; without it all are 1.
+    ``base`` names a column of positive base rates; without it all are 1. ``row``
+    names a column of stored, distinct numbers; without it rows are numbered here.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
         word_count(text).alias("size"),
         (F.col(base).cast("double") if base else F.lit(1.0)).alias("base"))
     rows = staged(rows, "mix-rows")
@@ -144,9 +145,12 @@ def mix(
 def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, **columns) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it has copies.
 
-    ``docs`` is a stored table, as each stage of a pipeline reads one: its row
-    numbers are then the same in every scan, also after a lost executor.
+    The rows are numbered once and written with their numbers; what is decided and
+    what is kept are both read from there.
     """
-    copies = mix(docs, weights, cap, **columns).where("copies > 0").select("row", "copies")
-    return (numbered(docs).join(copies, "row")
+    packed = numbered(docs, "mix-docs")
+    named = {"doc_id": "doc_id", "text": "text", "source": "source"} | columns
+    flat = packed.select("row", *[F.col(f"doc.`{c}`").alias(k) for k, c in named.items() if c])
+    copies = mix(flat, weights, cap, base="base" if named.get("base") else None, row="row").where("copies > 0").select("row", "copies")
+    return (packed.join(copies, "row")
             .select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("doc.*"))

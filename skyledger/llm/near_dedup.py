@@ -256,10 +256,10 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The rows of ``docs`` without near-duplicates: of each component the row with
     the least doc_id (nulls last) stays, and of rows that tie, one.
 
-    ``docs`` is a stored table, as each stage of a pipeline reads one: its row
-    numbers are then the same in every scan, also after a lost executor.
+    The rows are numbered once and written with their numbers; what is decided and
+    what is kept are both read from there.
     """
-    packed = numbered(docs)
+    packed = numbered(docs, "near-rows")
     # The row number travels as doc_id, so that rows with one id stay apart.
     flat = packed.select(F.col("row").alias("doc_id"), F.col(f"doc.{text}").alias("text"))
     found, _ = near_duplicates(flat)

@@ -298,3 +298,26 @@ def test_pipeline_keeps_clean_documents(spark, docs_of):
     assert mixed.columns == docs.columns
     done = corpus_pipeline.tokenize(spark, mixed, "")
     assert done.count() == mixed.count() and done.where("n_tokens = 0").count() == 0
+
+
+def test_stages_keep_the_rows_they_decided_on(spark, docs_of):
+    say = {"de": "der und nicht ", "en": "the and of ", "es": "los que para ", "fr": "les dans une "}
+    good = [(k * 20 + i, "".join(say[l] + "%d%d " % (k, i) * 3 for _ in range(4)), l, "st"[i % 2]) for k, l in enumerate(say) for i in range(20)]
+    rows = good + [(1000 + i, None, "en", "s") for i in range(40)] + [(2000 + r[0], *r[1:]) for r in good]
+    random.Random(3).shuffle(rows)
+    docs = docs_of(rows)
+    bare = {r[0] for r in rows if r[1] is None}
+    stages = [
+        (language.accepted, {r[0] for r in rows} - bare),
+        (lambda d: exact_dedup.keep_first_copies(d, exact_dedup.new_index(spark)), {2000 + r[0] for r in good} | {max(bare)}),
+        (near_dedup.one_of_each, {r[0] for r in good} | bare),
+        (lambda d: mixing.mixed_rows(d, (3, 1), 2), [c[0] for c in mixing.mix(docs, (3, 1), 2).select("doc_id", "copies").collect() for _ in range(c[1])])]
+    for stage, want in stages:
+        kept = stage(docs)
+        # Files are dealt to tasks in another way than when the stage decided.
+        spark.conf.set("spark.sql.files.minPartitionNum", 1)
+        try:
+            got = [r["doc_id"] for r in kept.select("doc_id").collect()]
+        finally:
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+        assert sorted(got) == sorted(want)
