@@ -18,6 +18,10 @@ windows have equal anchors, and the suffixes there share at least ``LEAD`` bytes
    contexts likewise. Common prefix lengths turn both orders into classes: two
    windows at distance d from their anchors are equal when their suffixes agree on
    ``WINDOW - d`` bytes and their left contexts on d. This is exact.
+4. A lead with more than ``MOST`` contexts does not go to a bucket. Its contexts are
+   cut into their windows (at most ``SPREAD`` each) and windows counted by a 128-bit
+   hash in a grouped sum, so what a passage has at its edges is dealt out however
+   often it stands. Equal windows have equal leads, so no bucket has to know of them.
 
 Texts are UTF-8 bytes; null and texts shorter than the window lose nothing. A
 repeated row is another occurrence of its text. Rows are told apart by doc_id
@@ -41,6 +45,7 @@ SPREAD = 128  # a power of two
 GRAM = 8
 LEAD = WINDOW - SPREAD + 1
 PIECE = 4 << 20
+MOST = 256  # contexts of one lead in a bucket
 
 ANCHOR_TYPE = "doc_id long, text_hash long, at long, left int, right int, lead long, whole long"
 
@@ -191,6 +196,46 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from table.filter(found).to_batches(max_chunksize=50_000)
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window of each context: its hash in two halves, and how far before the anchor it starts."""
+    hash128 = xxhash.xxh3_128_digest
+    for batch in batches:
+        for off in range(0, batch.num_rows, 1000):
+            part = batch.slice(off, 1000)
+            before = part.column("before").to_pylist()
+            digests, counts = [], []
+            for left, right in zip(before, part.column("after").to_pylist()):
+                text = left + right
+                counts.append(len(text) - WINDOW + 1)
+                digests += [hash128(text[x:x + WINDOW]) for x in range(counts[-1])]
+            halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+            row = np.repeat(np.arange(part.num_rows), counts)
+            begin = np.repeat(np.cumsum(counts) - counts, counts)
+            lefts = np.array([len(b) for b in before])
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(c).take(take) for c in ("lead", "whole", "n")],
+                 pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])),
+                 pa.array((lefts[row] - (np.arange(len(row)) - begin)).astype(np.int32))],
+                ["lead", "whole", "n", "w1", "w2", "d"])
+
+
+def split_leads(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contexts for the buckets, and those of leads with more than ``MOST``."""
+    hot = staged(contexts.groupBy("lead").agg(F.count("*").alias("many")).where(F.col("many") > MOST).select("lead"), "repeat-hot")
+    return contexts.join(hot, "lead", "left_anti"), contexts.join(hot, "lead", "left_semi")
+
+
+def counted_extents(hot: DataFrame) -> DataFrame:
+    """What ``_bucket`` finds, by counting windows."""
+    windows = hot.select("lead", "whole", "n", "before", "after").mapInArrow(
+        _windows, "lead long, whole long, n long, w1 long, w2 long, d int")
+    again = staged(windows.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1").select("w1", "w2"), "repeat-windows")
+    # One row per window on the right, so that a join on a hot window can be split.
+    return windows.join(again, ["w1", "w2"]).groupBy("lead", "whole").agg(
+        (-F.max("d")).cast("long").alias("lo"), (WINDOW - F.min("d")).cast("long").alias("hi"))
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for lo, hi in sorted(spans):
@@ -240,9 +285,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     contexts = keyed.alias("d").join(wanted.alias("w"), _same("d", "w")).select("d.text", "w.wanted").mapInArrow(
         _contexts, "lead long, whole long, n long, before binary, after binary")
     contexts = staged(contexts, "repeat-contexts")
-    extents = contexts.repartitionByRange(
+    few, hot = split_leads(contexts)
+    extents = few.repartitionByRange(
         shuffle_partitions(docs.sparkSession), F.substring("after", 1, LEAD)
-    ).mapInArrow(_bucket, "lead long, whole long, lo long, hi long")
+    ).mapInArrow(_bucket, "lead long, whole long, lo long, hi long").unionByName(counted_extents(hot))
     extents = staged(extents, "repeat-extents")
 
     place = lambda lo, hi: F.struct((F.col("at") + lo).alias("lo"), (F.col("at") + hi).alias("hi"))

@@ -321,3 +321,18 @@ def test_stages_keep_the_rows_they_decided_on(spark, docs_of):
         finally:
             spark.conf.unset("spark.sql.files.minPartitionNum")
         assert sorted(got) == sorted(want)
+
+
+def test_hot_leads_are_not_one_bucket(monkeypatch, docs_of):
+    monkeypatch.setattr(suffix_dedup, "MOST", 8, raising=False)
+    r = random.Random(5)
+    own = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
+    passage, tails, heads = own(500), [own(60) for _ in range(7)], [own(90) for _ in range(7)]
+    rows = [(i, own(300 + i) + r.choice(heads) + passage + r.choice(tails) + own(300)) for i in range(60)]
+    rows += [(100 + i, own(250) + passage[:230] + own(250)) for i in range(20)] + [(7, rows[7][1]), (None, rows[8][1])]
+    docs, dealt = docs_of(rows), []
+    whole = type(docs).repartitionByRange
+    monkeypatch.setattr(type(docs), "repartitionByRange", lambda self, *a: dealt.append(self) or whole(self, *a))
+    test_repeats(docs, rows)
+    assert len(dealt) == 1
+    assert all(f["count"] <= 8 for f in dealt[0].groupBy("lead").count().collect())
