@@ -2,14 +2,19 @@
 
 Four kinds of evidence are multiplied per row: the text's likelihood under byte
 trigram models, the declared markup language, the address suffix, and the prior
-of the host. Trigram counts come from all labelled documents. How a declaration
+of the host. The languages are the labels, and trigram counts come from all
+labelled documents. In every language ``UNSEEN`` of the probability is spread over
+all trigrams alike, so one that was seen nowhere speaks for none of them. What is
+in no language has a class of its own, "und", with a model that is ``UNIFORM``
+nearly uniform and otherwise the mean of the languages; it takes part in all that
+follows. How a declaration
 or a suffix speaks for a language, and how languages are spread over hosts, is
 counted over all rows by grouped sums of the text posteriors; host priors are
 smoothed towards their domain and domains towards the whole. Only tables whose
 size is set by the number of languages reach the driver.
 
-A row is rejected ("und") when its text has no trigram or no language reaches
-``SURE``. Null texts are empty, hence rejected; a missing declaration, suffix or
+A row is rejected ("und") when its text has no trigram, "und" is likeliest or no
+language reaches ``SURE``. A label "und" or an empty one is no label. Null texts are empty, hence rejected; a missing declaration, suffix or
 host is a value of its own. Ties go to the language first in the list. Repeated
 rows count one by one. An empty table gives no rows.
 """
@@ -17,6 +22,7 @@ rows count one by one. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,17 +30,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger.llm.common import joined_bytes, numbered, staged, steps
 
+#: Folders of an address that name a language, where no model says which do.
 LANGUAGES = ("de", "en", "es", "fr")
+NONE = "und"
 BUCKETS = 8192
 #: Overlapping trigrams repeat what their neighbours say, so each counts for less.
 WEIGHT = 0.3
 SMOOTHING = 20.0
 SURE = 0.5
+UNSEEN = 0.05
+UNIFORM = 0.9
 
 _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32
 
 
+class Model(NamedTuple):
+    """Log likelihood of each trigram bucket (columns) in each language and, last, in none (rows)."""
+
+    languages: tuple[str, ...]
+    likelihood: np.ndarray
+
+
 def trigram_buckets(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The bucket of each trigram that stands in one text, and where each text's begin."""
     low = _LOWER[data]
@@ -48,8 +65,17 @@ def trigram_buckets(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, n
     return bucket[at], begin
 
 
-def train(docs: DataFrame, languages: Sequence[str] = LANGUAGES, text: str = "text", label: str = "lang") -> np.ndarray:
-    """Log likelihood of each trigram bucket (columns) in each language (rows), from all labelled rows."""
+def model_of(languages: Sequence[str], counts: np.ndarray) -> Model:
+    """The model of trigram counts per language (rows)."""
+    each = (1 - UNSEEN) * counts / np.maximum(counts.sum(axis=1, keepdims=True), 1) + UNSEEN / BUCKETS
+    mean = each.mean(axis=0) if len(languages) else np.full(BUCKETS, 1 / BUCKETS)
+    return Model(tuple(languages), np.log(np.vstack([each, (1 - UNIFORM) * mean + UNIFORM / BUCKETS])))
+
+
+def train(docs: DataFrame, text: str = "text", label: str = "lang") -> Model:
+    """The model of all labelled rows; its languages are the labels."""
+    labels = docs.select(F.col(label).alias("label")).where(~F.col("label").isin("", NONE)).distinct().collect()
+    languages = sorted(r["label"] for r in labels)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(languages), BUCKETS), dtype=np.int64)
@@ -64,9 +90,9 @@ def train(docs: DataFrame, languages: Sequence[str] = LANGUAGES, text: str = "te
 
     rows = docs.select(F.col(text).alias("text"), F.col(label).alias("label")).where(F.col("label").isin(*languages))
     totals = rows.mapInArrow(count, "k long, b long, n long").groupBy("k", "b").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.ones((len(languages), BUCKETS))
-    counts[totals["k"].to_numpy(dtype=int), totals["b"].to_numpy(dtype=int)] += totals["n"].to_numpy(dtype=float)
-    return np.log(counts / counts.sum(axis=1, keepdims=True))
+    counts = np.zeros((len(languages), BUCKETS))
+    counts[totals["k"].to_numpy(dtype=int), totals["b"].to_numpy(dtype=int)] = totals["n"].to_numpy(dtype=float)
+    return model_of(languages, counts)
 
 
 def text_evidence(rows: DataFrame, model: np.ndarray, carried: Sequence[str]) -> DataFrame:
@@ -103,7 +129,7 @@ def _counted(rows: DataFrame, by: Sequence[str], k: int, prefix: str) -> DataFra
 
 
 def identify(
-    rows: DataFrame, model: np.ndarray, languages: Sequence[str] = LANGUAGES, row: str = "row", text: str = "text",
+    rows: DataFrame, model: Model, row: str = "row", text: str = "text",
     declared: str | None = "declared", suffix: str | None = "suffix", host: str | None = "host", domain: str | None = "domain",
 ) -> DataFrame:
     """``row``, ``text_lang``, ``declared``, ``suffix``, ``host``, ``lang``, ``confidence``, ``rejected``."""
@@ -111,8 +137,9 @@ def identify(
     flat = rows.select(
         F.col(row).alias("row"), known(declared).alias("declared"), known(suffix).alias("suffix"),
         known(host).alias("host"), known(domain).alias("domain"), F.col(text).alias("text"))
-    told = text_evidence(flat, model, ["row", "declared", "suffix", "host", "domain"])
-    n = len(languages)
+    told = text_evidence(flat, model.likelihood, ["row", "declared", "suffix", "host", "domain"])
+    classes = (*model.languages, NONE)
+    n = len(classes)
     scores = [F.get("evidence", i) for i in range(n)]
     told = staged(told.select("*", *[p.alias(f"p{i}") for i, p in enumerate(_softmax(scores))]), "language-text")
 
@@ -136,11 +163,11 @@ def identify(
         staged(speaks("suffix", "s"), "language-suffix"), "suffix")
     posterior = _softmax([
         F.log(f"prior{i}") + F.log(f"m{i}") + F.log(f"s{i}") + F.get("evidence", i) for i in range(n)])
-    names = F.array(*[F.lit(x) for x in languages])
+    names = F.array(*[F.lit(x) for x in classes])
     best = lambda values: F.get(names, (F.array_position(values, F.array_max(values)) - 1).cast("int"))
     fused = fused.withColumn("posterior", F.array(*posterior))
     confidence = F.array_max("posterior")
-    rejected = (F.col("grams") == 0) | (confidence < SURE)
+    rejected = (F.col("grams") == 0) | (confidence < SURE) | (best(F.col("posterior")) == NONE)
     return fused.select(
         "row", F.when(F.col("grams") > 0, best(F.array(*[F.col(f"p{i}") for i in range(n)]))).alias("text_lang"),
         "declared", "suffix", "host", F.when(rejected, F.lit("und")).otherwise(best(F.col("posterior"))).alias("lang"),
@@ -161,7 +188,7 @@ def page_rows(pages: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFra
         host.alias("host"), F.regexp_replace(host, r"^[^.]+\.(?=[^.]+\.)", "").alias("domain"))
 
 
-def accepted(docs: DataFrame, languages: Sequence[str] = LANGUAGES, text: str = "text", declared: str = "lang", source: str = "source") -> DataFrame:
+def accepted(docs: DataFrame, text: str = "text", declared: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``docs`` whose language is found, with all their columns; the model comes from their own labels.
 
     The rows are numbered once and written with their numbers; what is decided and
@@ -170,6 +197,5 @@ def accepted(docs: DataFrame, languages: Sequence[str] = LANGUAGES, text: str =
     packed = numbered(docs, "language-rows")
     flat = packed.select(
         "row", F.col(f"doc.{text}").alias("text"), F.col(f"doc.{declared}").alias("declared"), F.col(f"doc.{source}").alias("host"))
-    model = train(flat, languages, "text", "declared")
-    found = identify(flat, model, languages, suffix=None, domain=None)
+    found = identify(flat, train(flat, "text", "declared"), suffix=None, domain=None)
     return packed.join(found.where("NOT rejected").select("row"), "row", "left_semi").select("doc.*")

@@ -63,7 +63,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(read_table(spark, sf_dir, "documents"))
-    found = language.identify(language.page_rows(read_table(spark, sf_dir, "pages")), model)
+    found = language.identify(language.page_rows(read_table(spark, sf_dir, "pages"), model.languages), model)
     return found.withColumnRenamed("row", "page_id")
 
 

@@ -336,3 +336,19 @@ def test_hot_leads_are_not_one_bucket(monkeypatch, docs_of):
     test_repeats(docs, rows)
     assert len(dealt) == 1
     assert all(f["count"] <= 8 for f in dealt[0].groupBy("lead").count().collect())
+
+
+def test_language_rejects_what_is_in_none(docs_of):
+    say = {"de": "der und nicht eine ist auch werden", "en": "the and of which there have been", "es": "los que para como una pero muy",
+           "fr": "les dans une avec pour nous sont", "nl": "het een niet zijn maar wordt deze"}
+    r = random.Random(6)
+    text = lambda l, n: " ".join(r.choice(say[l].split()) for _ in range(n))
+    clean = [(k * 100 + i, text(l, 8 + i), l if i % 3 else None, "s%d" % (i % 3)) for k, l in enumerate(say) for i in range(40)]
+    other = ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw", "Все люди рождаются свободными и равными",
+             "人人生而自由,在尊严和权利上一律平等", "0x9f3a 7c41 $$ %% 8be2 ffa0 1c9d 77e3 {}[]<> 00ab 93cd ==++ 4412", "---- **** //// ;;;; ????"]
+    junk = [(1000 + i, t, None, "s%d" % (i % 3)) for i, t in enumerate(other)]
+    docs = docs_of(clean + junk)
+    assert {f["doc_id"] for f in language.accepted(docs).collect()} == {c[0] for c in clean}
+    found = language.identify(docs, language.train(docs), row="doc_id", declared=None, suffix=None, host="source", domain=None)
+    want = {k * 100 + i: l for k, l in enumerate(say) for i in range(40)} | {j[0]: "und" for j in junk}
+    assert {f["row"]: f["lang"] for f in found.collect()} == want
