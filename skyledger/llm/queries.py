@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm import bpe, chat, exact_dedup, language, licenses, lm_scoring, mixing, near_dedup, neighbours, suffix_dedup
+from skyledger.llm import (
+    bpe, chat, exact_dedup, language, licenses, lm_scoring, merkle, mixing, near_dedup, neighbours, private_data,
+    ranked_search, suffix_dedup)
 from skyledger.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
+BEST = 50
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -81,6 +84,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(merkle.manifest(read_table(spark, sf_dir, "documents")))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), BEST)
+
+
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.digest_columns(private_data.find_private(read_table(spark, sf_dir, "documents")))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
@@ -93,4 +108,7 @@ def all_queries() -> dict[str, Query]:
         "op8_near_dedup": op8_near_dedup,
         "op9_licenses": op9_licenses,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_merkle": op11_merkle,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_private_data": op13_private_data,
     }
