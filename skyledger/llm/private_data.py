@@ -6,7 +6,7 @@ candidates, the words with a digit or an ``@``, as one of these kinds or none:
 - a word's own potential comes from its shape, its two neighbours and its check (digits, octets, ``@``);
 - words that follow each other share a chain potential;
 - distant words that repeat each other (equal letters and digits, or the same last seven digits, however
-  written) share a skip potential. Every later mention is linked with the first one in the text, so links
+  written) share a skip potential: log odds that two such mentions agree. Every later mention is linked with the first one in the text, so links
   grow with the mentions, and no mention is further than two links from any other.
 
 What the patterns found is given evidence. Loopy belief propagation carries it over both kinds of links,
@@ -48,7 +48,9 @@ ROUNDS = 24
 DAMPING = 0.3
 #: Probability from which a candidate's label makes a span.
 SURE = 0.9
-#: What a count gets added, in proportion to the label's share.
+#: What the counts of a feature get added, in proportion to the labels' shares, so that a rare one says little;
+#: and what those of links get added.
+RARE = 10.0
 SMOOTH = 1.0
 #: Characters beside a candidate that its neighbours are looked for in.
 BESIDE = 64
@@ -271,13 +273,15 @@ def model_of(counts: np.ndarray) -> Model:
     cells = counts[: CELLS * LABELS].reshape(CELLS, LABELS).astype(float)
     labels = cells.sum(axis=0) / FEATURES
     share = (labels + SMOOTH) / (labels.sum() + SMOOTH * LABELS)
-    by_cell = (cells + SMOOTH * share) / (cells.sum(axis=1, keepdims=True) + SMOOTH)
+    by_cell = (cells + RARE * share) / (cells.sum(axis=1, keepdims=True) + RARE)
     pairs = counts[CELLS * LABELS:].reshape(2, LABELS, LABELS).astype(float)
-    # A skip link has no direction; a chain link has.
-    pairs[1] = pairs[1] + pairs[1].T
     expected = share[:, None] * share[None, :]
-    linked = (pairs + SMOOTH * expected) / (pairs.sum(axis=(1, 2), keepdims=True) + SMOOTH)
-    return Model(np.log(share), np.log(by_cell / share), np.log(linked / expected))
+    chain = np.log((pairs[0] + SMOOTH * expected) / (pairs[0].sum() + SMOOTH) / expected)
+    # A pattern is evidence for a kind, but its silence is none against: of the mentions of one thing only
+    # those count that are both labelled. All labels share one odds of agreement.
+    found = pairs[1, 1:, 1:]
+    odds = (np.trace(found) + SMOOTH) / (found.sum() - np.trace(found) + SMOOTH)
+    return Model(np.log(share), np.log(by_cell / share), np.stack([chain, np.eye(LABELS) * max(0.0, np.log(odds))]))
 
 
 def _log_sum(values: np.ndarray) -> np.ndarray:
