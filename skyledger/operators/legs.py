@@ -111,12 +111,16 @@ def split_legs(legs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first, second
 
 
-def pair_legs(first: DataFrame, second: DataFrame, stopover_days: int = STOPOVER_DAYS) -> DataFrame:
+def pair_legs(
+    first: DataFrame, second: DataFrame, stopover_days: int = STOPOVER_DAYS, changed: str | None = None
+) -> DataFrame:
     """Join legs that meet in Y with the second flown ``stopover_days`` after the first.
 
     Both join conditions are equalities, so the join hashes on (Y, day). Each side
-    has one row per route and day; a hub's rows spread over its days.
+    has one row per route and day; a hub's rows spread over its days. ``changed`` names
+    a flag of the legs, one of which must then carry it.
     """
+    flag = F.col(changed) if changed else F.lit(True)
     left = first.select(
         F.col("Origin").alias("airportx"),
         F.col("Dest").alias("airporty"),
@@ -125,6 +129,7 @@ def pair_legs(first: DataFrame, second: DataFrame, stopover_days: int = STOPOVER
         F.col("FlightNum").alias("flightnum1"),
         F.col("CRSDepTime").alias("crsdeptime1"),
         F.col("ArrDelay").alias("arrdelay1"),
+        flag.alias("changed1"),
     )
     right = second.select(
         F.col("Origin").alias("origin2"),
@@ -134,10 +139,13 @@ def pair_legs(first: DataFrame, second: DataFrame, stopover_days: int = STOPOVER
         F.col("FlightNum").alias("flightnum2"),
         F.col("CRSDepTime").alias("crsdeptime2"),
         F.col("ArrDelay").alias("arrdelay2"),
+        flag.alias("changed2"),
     )
     meets = (left["airporty"] == right["origin2"]) & (
         left["day1"] == F.date_sub(right["day2"], stopover_days)
     )
+    if changed:
+        meets = meets & (left["changed1"] | right["changed2"])
     return left.join(right, meets, "inner").select(
         "airportx", "airporty", "airportz",
         day_text(F.col("day1")).alias("flightdate1"),

@@ -180,6 +180,8 @@ def all_sql() -> dict[str, str]:
         "s_route_mean_arr_delay": routes,
         "s_two_leg_bounded": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
         "s_restart_resume": popularity_top10,
+        "s_two_leg_resume": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
+        "s_route_mean_resume": routes,
         "s_all_two_leg_bounded": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
     }
     # The same answers from one summary of all flights.

@@ -1,6 +1,7 @@
 from skyledger.sinks.tables import (
     Store,
     batch_writer,
+    carry_forward,
     compact_changes,
     has_results,
     prune_results,
@@ -12,6 +13,6 @@ from skyledger.sinks.tables import (
 )
 
 __all__ = [
-    "Store", "batch_writer", "compact_changes", "has_results", "prune_results", "read_changes", "read_latest", "read_table",
+    "Store", "batch_writer", "carry_forward", "compact_changes", "has_results", "prune_results", "read_changes", "read_latest", "read_table",
     "write_table", "write_to_store",
 ]

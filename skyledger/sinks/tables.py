@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.schema import RESULT_TABLES, conform
 from skyledger.session import session_conf
+from skyledger.sinks.manifests import delete, file_system
 
 
 class Store(NamedTuple):
@@ -86,22 +87,15 @@ def batch_writer(
     return write
 
 
-def _folder(spark: SparkSession, path: str):
-    """A path and the file system it is on."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def _complete_batches(spark: SparkSession, path: str) -> list[int]:
-    pattern, files = _folder(spark, f"{path}/batch_id=*/_SUCCESS")
+    pattern, files = file_system(spark, f"{path}/batch_id=*/_SUCCESS")
     names = (f.getPath().getParent().getName() for f in files.globStatus(pattern) or [])
     return sorted(int(name.removeprefix("batch_id=")) for name in names)
 
 
 def _delete_batches(spark: SparkSession, path: str, batch_ids: list[int]) -> None:
     for batch_id in batch_ids:
-        folder, files = _folder(spark, f"{path}/batch_id={batch_id}")
-        files.delete(folder, True)
+        delete(spark, f"{path}/batch_id={batch_id}")
 
 
 def has_results(spark: SparkSession, path: str) -> bool:
@@ -158,6 +152,22 @@ def read_changes(spark: SparkSession, path: str, keys: tuple[str, ...]) -> DataF
     return _newest_per_key(_changes(spark, path)[0], keys)
 
 
+def carry_forward(spark: SparkSession, path: str, changed: DataFrame, keys: tuple[str, ...], batch_id: int) -> DataFrame:
+    """Store, as batch ``batch_id``, the batch before it with the rows of ``changed`` in place of those with their keys.
+
+    The cost follows one whole result, whatever the number of batches. A replayed batch
+    starts from the one before it again; batches before that one are deleted.
+    """
+    earlier = [i for i in _complete_batches(spark, path) if i < batch_id]
+    rows = changed.withColumn("batch_id", F.lit(batch_id))
+    if earlier:
+        rows = _read_batches(spark, path, earlier[-1:]).unionByName(rows)
+    folder = f"{path}/batch_id={batch_id}"
+    _newest_per_key(rows, keys).write.mode("overwrite").parquet(folder)
+    _delete_batches(spark, path, earlier[:-1])
+    return spark.read.schema(changed.schema).parquet(folder)
+
+
 def compact_changes(spark: SparkSession, path: str, keys: tuple[str, ...]) -> int:
     """Fold the complete batches of a table of changed rows into one, beside it.
 

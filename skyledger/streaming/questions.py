@@ -6,13 +6,13 @@ into the result table; the finishing steps are those of the batch questions.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from skyledger.operators import TwoLegBounds, bounded_legs, pair_legs, split_legs
+from skyledger.operators import TwoLegBounds, bounded_legs
 from skyledger.plans.questions import (
     finish_routes,
     pack_origin,
@@ -26,15 +26,16 @@ from skyledger.session import session_conf
 from skyledger.sinks import (
     Store,
     batch_writer,
-    compact_changes,
+    carry_forward,
     has_results,
     prune_results,
-    read_changes,
     read_latest,
     write_to_store,
 )
-from skyledger.streaming.runner import start_query
+from skyledger.sinks.keyed import KeyedTable, changes_writer, open_table, read_rows
+from skyledger.streaming.runner import start_batches, start_query
 from skyledger.streaming.states import running_mean, running_visits
+from skyledger.streaming.trips import changed_trips, read_trips, start_trips
 
 
 class StreamQuestion(NamedTuple):
@@ -43,7 +44,6 @@ class StreamQuestion(NamedTuple):
     finish: Callable[[DataFrame], DataFrame]
     partitions: int | None = None
     mode: str = "complete"
-    reread: bool = False
     rocksdb: bool = False
 
 
@@ -55,10 +55,6 @@ def _packed(key: str) -> Callable[[DataFrame], DataFrame]:
     return finish
 
 
-def _pair(legs: DataFrame) -> DataFrame:
-    return pair_legs(*split_legs(legs))
-
-
 # State partitions of the states whose keys do not grow with the flights: airports, carriers
 # and their pairs. Each map task sends at most one row per key to these partitions.
 # ``start_question`` takes another number.
@@ -71,8 +67,8 @@ TIDY_EVERY = 100
 KEEP_RESULTS = 10
 
 # Whole states are handed over each time, but route means, the largest of them,
-# hand over changes only. The two-leg join needs all of its state, whose keys are
-# the caller's airports times days: it is kept outside the heap, in the session's partitions.
+# hand over changes only. Trips have a state that grows with the calendar: it is kept outside
+# the heap, in the session's partitions, and hands over changes, which ``trips`` joins.
 STREAM_QUESTIONS = {
     "airport_popularity": StreamQuestion("results11", running_visits, rank_airports, FEW_KEYS),
     "carrier_punctuality": StreamQuestion(
@@ -95,7 +91,7 @@ STREAM_QUESTIONS = {
         lambda flights: running_mean(flights, ["Origin", "Dest"], "ArrDelay"),
         lambda state: finish_routes(state.select("Origin", "Dest", "mean")),
         PAIRED_KEYS, mode="update"),
-    "two_leg": StreamQuestion("results32", bounded_legs, _pair, reread=True, rocksdb=True),
+    "two_leg": StreamQuestion("results32", bounded_legs, changed_trips, mode="update", rocksdb=True),
 }
 
 
@@ -106,13 +102,22 @@ class Upkeep(NamedTuple):
     keep: int
 
 
-def _tidy(spark: SparkSession, path: str, keys: Sequence[str], mode: str, batch_id: int, upkeep: Upkeep | None) -> None:
-    every, keep = upkeep or (TIDY_EVERY, KEEP_RESULTS)
-    if (batch_id + 1) % every == 0:
-        if mode == "update":
-            compact_changes(spark, path, tuple(keys))
-        else:
-            prune_results(spark, path, keep)
+def _upkeep(given: Upkeep | None) -> Upkeep:
+    return given or Upkeep(TIDY_EVERY, KEEP_RESULTS)
+
+
+def _prune(spark: SparkSession, path: str, batch_id: int, upkeep: Upkeep) -> None:
+    if (batch_id + 1) % upkeep.every == 0:
+        prune_results(spark, path, upkeep.keep)
+
+
+def _to_store(store: Store | None, table: str) -> Callable[[DataFrame, int], None] | None:
+    return (lambda stored, _: write_to_store(stored, table, store)) if store else None
+
+
+def _keyed(spark: SparkSession, root: str, table: str, make: bool = True) -> KeyedTable:
+    schema, keys = RESULT_TABLES[table]
+    return open_table(spark, f"{root}/{table}", schema, keys, make=make)
 
 
 def start_question(
@@ -131,22 +136,30 @@ def start_question(
     With a ``store``, every result is also written there, to be merged by key.
     ``partitions`` of the state replace the question's own number; the checkpoint keeps them.
     """
+    kept, spark = _upkeep(upkeep), flights.sparkSession
+    if name == "two_leg":
+        return start_trips(flights, root, bounds, trigger, show, store, partitions, kept.every)
     question = STREAM_QUESTIONS[name]
-    schema, keys = RESULT_TABLES[question.table]
-    path = f"{root}/{question.table}"
-    state = question.state(flights) if bounds is None else question.state(flights, bounds)
+    table, checkpoint = question.table, f"{root}/_checkpoints/{question.table}"
+    also = _to_store(store, table)
+    schema = RESULT_TABLES[table].schema
 
     def finish(batch: DataFrame) -> DataFrame:
         return conform(question.finish(batch), schema)
 
-    def also(result: DataFrame, batch_id: int) -> None:
-        if store:
-            write_to_store(result, question.table, store)
-        _tidy(result.sparkSession, path, keys, question.mode, batch_id, upkeep)
+    if question.mode == "update":
+        take_in = changes_writer(_keyed(spark, root, table), finish, kept.every, show, also)
+        return start_batches(
+            question.state(flights), checkpoint, take_in, "update", trigger, question.rocksdb, partitions or question.partitions)
+
+    def end(stored: DataFrame, batch_id: int) -> None:
+        if also:
+            also(stored, batch_id)
+        _prune(spark, f"{root}/{table}", batch_id, kept)
 
     return start_query(
-        state, path, f"{root}/_checkpoints/{question.table}", finish,
-        question.mode, trigger, question.rocksdb, partitions or question.partitions, question.reread, show, also)
+        question.state(flights), f"{root}/{table}", checkpoint, finish, question.mode, trigger, question.rocksdb,
+        partitions or question.partitions, show=show, also=end)
 
 
 def start_summary(
@@ -160,30 +173,34 @@ def start_summary(
 ) -> StreamingQuery:
     """The five questions but the two-leg one from one running summary: one read of the input, one state.
 
-    A micro-batch stores the summary's changed rows. From the newest row of each of its
-    groups the five answers are made and stored under the id of the batch, so a replayed
-    batch overwrites its own. ``read_question`` reads them. A root on which single
-    questions were started before cannot be carried on: its batch ids are others.
+    A micro-batch stores the summary's changed rows, and the whole summary from that of the
+    batch before it and these rows. From it the answers are made and stored under the id of the
+    batch, so a replayed batch overwrites its own; of the routes only the changed ones.
+    ``read_question`` reads the answers. A root on which single questions were started before
+    cannot be carried on: its batch ids are others.
     """
-    path = f"{root}/summary"
+    path, kept = f"{root}/summary", _upkeep(upkeep)
+    keyed = {
+        question.table: _keyed(flights.sparkSession, root, question.table)
+        for name, question in STREAM_QUESTIONS.items() if question.mode == "update" and name != "two_leg"}
 
     def answer(changed: DataFrame, batch_id: int) -> None:
         spark = changed.sparkSession
-        newest = f"{path}-newest"
         with session_conf(spark, spark__sql__adaptive__enabled="true"):
-            rows = read_changes(spark, path, SUMMARY_KEYS)
-            rows.write.mode("overwrite").parquet(newest)
-            summary = spark.read.schema(rows.schema).parquet(newest)
+            summary = carry_forward(spark, f"{path}-newest", changed, SUMMARY_KEYS, batch_id)
+            routes = changed.select("Origin", "Dest").distinct()
+            same = summary["Origin"].eqNullSafe(routes["Origin"]) & summary["Dest"].eqNullSafe(routes["Dest"])
             answers = answers_from_summary(summary, style="tuple", round_before_rank=False)
-            for question in STREAM_QUESTIONS.values():
-                if question.table in answers:
-                    schema, keys = RESULT_TABLES[question.table]
-                    table = f"{root}/{question.table}"
-                    keep = batch_writer(table, lambda df, schema=schema: conform(df, schema), show=show, also=(
-                        lambda df, _, name=question.table: write_to_store(df, name, store)) if store else None)
-                    keep(answers[question.table], batch_id)
-                    _tidy(spark, table, keys, question.mode, batch_id, upkeep)
-        _tidy(spark, path, SUMMARY_KEYS, "update", batch_id, upkeep)
+            answers |= {table: made for table, made in answers_from_summary(
+                summary.join(routes, same, "left_semi")).items() if table in keyed}
+            for table, made in answers.items():
+                also, rows = _to_store(store, table), conform(made, RESULT_TABLES[table].schema)
+                if table in keyed:
+                    changes_writer(keyed[table], lambda df: df, kept.every, show, also)(rows, batch_id)
+                else:
+                    batch_writer(f"{root}/{table}", lambda df: df, show=show, also=also)(rows, batch_id)
+                    _prune(spark, f"{root}/{table}", batch_id, kept)
+        _prune(spark, path, batch_id, kept)
 
     return start_query(
         flight_summary(flights), path, f"{root}/_checkpoints/summary", lambda batch: batch,
@@ -209,9 +226,11 @@ def start_all(
 def read_question(spark: SparkSession, name: str, root: str) -> DataFrame:
     """The current answer of a question started under ``root``; before its first batch, no rows."""
     question = STREAM_QUESTIONS[name]
+    if name == "two_leg":
+        return read_trips(spark, root)
+    if question.mode == "update":
+        return read_rows(spark, _keyed(spark, root, question.table, make=False))
     path = f"{root}/{question.table}"
     if not has_results(spark, path):
         return spark.createDataFrame([], RESULT_TABLES[question.table].schema)
-    if question.mode == "update":
-        return read_changes(spark, path, RESULT_TABLES[question.table].keys)
     return read_latest(spark, path)

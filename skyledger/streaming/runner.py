@@ -40,19 +40,32 @@ def start_query(
     ``reread`` is for a ``finish`` that uses its input twice; ``show`` prints that
     many rows of every result, and ``also`` is called with every stored result and its batch id.
     """
-    spark = state.sparkSession
+    store = (lambda batch: finish(batch).hint("rebalance")) if mode == "update" else finish
+    return start_batches(
+        state, checkpoint, batch_writer(path, store, reread, show, also), mode, trigger, rocksdb, partitions)
+
+
+def start_batches(
+    state: DataFrame,
+    checkpoint: str,
+    take_in: Callable[[DataFrame, int], None],
+    mode: str = "update",
+    trigger: dict | None = None,
+    rocksdb: bool = False,
+    partitions: int | None = None,
+) -> StreamingQuery:
+    """Call ``take_in`` with the output of every micro-batch and its id; the rest is as in ``start_query``."""
     wanted = {}
     if rocksdb:
         wanted["spark__sql__streaming__stateStore__providerClass"] = ROCKSDB_PROVIDER
     if partitions:
         wanted["spark__sql__shuffle__partitions"] = partitions
-    store = (lambda batch: finish(batch).hint("rebalance")) if mode == "update" else finish
-    with session_conf(spark, **wanted):
+    with session_conf(state.sparkSession, **wanted):
         return (
             state.writeStream.outputMode(mode)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or EVERY_TEN_SECONDS))
-            .foreachBatch(batch_writer(path, store, reread, show, also))
+            .foreachBatch(take_in)
             .start()
         )
 

@@ -166,7 +166,7 @@ def test_stream_equals_batch_on_skewed_rows_with_tidying(spark, folder, monkeypa
         answer = read_question(spark, name, root)
         assert rows(answer) == rows(batch_answer.select(*answer.columns)), name
     assert os.listdir(f"{root}/results11") == ["batch_id=3"]
-    assert os.listdir(f"{root}/results24-folded") != []
+    assert os.listdir(f"{root}/results24/folds") != [] and os.listdir(f"{root}/results32/folds") != []
 
 
 def test_no_answer_before_the_first_batch_is_no_rows(spark, folder):
