@@ -1,6 +1,7 @@
 """Answer all questions over a set of flights and store the result tables.
 
-CSV input is typed and stored once as parquet by year. The five questions on
+CSV input is typed and stored once as parquet by year; its lines that are no flights go to
+``rejects`` beside the results, from the same scan. The five questions on
 counts and means share one summary; the two-leg question reads one year. Both
 staged copies are deleted at the end.
 """
@@ -17,14 +18,15 @@ from skyledger.plans import two_leg_all
 from skyledger.plans.summary import answers_from_summary, flight_summary
 from skyledger.session import build_session, new_dir, scratch_dir
 from skyledger.sinks import Store, read_table, write_table, write_to_store
-from skyledger.sources import read_flights, read_flights_csv, write_flights
+from skyledger.sources import read_flights, read_scan, scan_flights_csv, write_scan
 
 # Fixed value: the year of the two-leg question.
 TWO_LEG_YEAR = 2008
 
 
-def stage_flights(spark: SparkSession, paths: Sequence[str], path: str) -> DataFrame:
-    return read_flights(spark, write_flights(read_flights_csv(spark, paths), path))
+def stage_flights(spark: SparkSession, paths: Sequence[str], path: str) -> tuple[DataFrame, DataFrame]:
+    """Flights, and lines that are none, stored at ``path`` by one scan of the CSV files."""
+    return read_scan(spark, write_scan(scan_flights_csv(spark, paths), path))
 
 
 def stage_summary(spark: SparkSession, flights: DataFrame, path: str | None = None) -> DataFrame:
@@ -73,7 +75,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("skyledger-batch", given.master)
     with ExitStack() as staged:
         if given.input_format == "csv":
-            flights = stage_flights(spark, given.input, staged.enter_context(scratch_dir(spark, "flights")))
+            flights, rejects = stage_flights(spark, given.input, staged.enter_context(scratch_dir(spark, "flights")))
+            rejects.write.text(f"{given.output}/rejects")
         else:
             flights = read_flights(spark, given.input)
         written = run_batch(

@@ -148,6 +148,10 @@ def all_sql() -> dict[str, str]:
     popularity_top10 = _with_flights(POPULARITY_TOP10)
     single = {
         "b_csv_scan_typed": every_flight,
+        "b_csv_two_layouts": every_flight,
+        "b_csv_scan_kept": every_flight,
+        "b_csv_scan_rejects": _with_flights(
+            "SELECT 'no flight: ' || FlightNum AS line FROM flights WHERE CAST(FlightNum AS BIGINT) % 11 = 0"),
         "b_table_roundtrip": routes,
         "b_complete_rows": _with_flights(f"SELECT * FROM flights WHERE {ALL_PRESENT}"),
         "b_endpoint_counts": _with_flights(ENDPOINTS),

@@ -24,7 +24,10 @@ from skyledger.sources import (
     flights_view,
     read_flights_csv,
     read_messages,
+    read_scan,
     replay_lines,
+    scan_flights_csv,
+    write_scan,
 )
 from skyledger.streaming import (
     AVAILABLE_NOW,
@@ -66,6 +69,45 @@ def _csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_flights_csv(spark, path)
 
 
+def _csv_two_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the flights with their columns turned round and one more between them, in one folder with the rest."""
+    path, flights = new_dir(spark, "csv"), flights_view(spark, sf_dir)
+    odd = F.col("CRSDepTime") % 2 == 1
+    turned = flights.where(odd).select(*reversed(flights.columns)).withColumns({"Note": F.lit("a, b")})
+    for part in (flights.where(~odd), turned.select("Note", *turned.columns[:-1])):
+        part.write.mode("append").option("header", True).csv(path)
+    return read_flights_csv(spark, path)
+
+
+BAD_LINE = "no flight: "
+FILES = 8
+
+
+def _csv_with_bad_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Headed files of all flights, with a line that is none after some of them."""
+    path, flights = new_dir(spark, "csv"), flights_view(spark, sf_dir)
+    file = F.pmod(F.xxhash64("FlightNum", "FlightDate"), F.lit(FILES))
+    bad = flights.where(F.col("FlightNum").cast("long") % 11 == 0)
+    lines = flights.select(file.alias("file"), F.lit(1).alias("at"), F.to_csv(F.struct(*flights.columns)).alias("value"))
+    lines = lines.unionByName(bad.select(file.alias("file"), F.lit(1).alias("at"), F.concat(F.lit(BAD_LINE), "FlightNum").alias("value")))
+    headers = spark.range(FILES).select(
+        F.col("id").alias("file"), F.lit(0).alias("at"), F.lit(",".join(flights.columns)).alias("value"))
+    # All lines of a file are in one task, its header first.
+    whole = lines.unionByName(headers).repartition(FILES, "file").sortWithinPartitions("file", "at")
+    whole.select("file", "value").write.partitionBy("file").text(path)
+    return f"{path}/file=*"
+
+
+def _scanned(rejects: bool) -> Query:
+    """The flights of a stored scan of files with bad lines, or those lines."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = write_scan(scan_flights_csv(spark, _csv_with_bad_lines(spark, sf_dir)), new_dir(spark, "scan"))
+        return read_scan(spark, path)[rejects]
+
+    return query
+
+
 def _table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_dir(spark, "tables")
     write_table(plans.route_mean_arr_delay(flights_view(spark, sf_dir)), "results24", root)
@@ -97,6 +139,9 @@ SUMMARY_TABLES = {
 
 BATCH: dict[str, Query] = {
     "b_csv_scan_typed": _csv_scan_typed,
+    "b_csv_two_layouts": _csv_two_layouts,
+    "b_csv_scan_kept": _scanned(rejects=False),
+    "b_csv_scan_rejects": _scanned(rejects=True),
     "b_table_roundtrip": _table_roundtrip,
     "b_complete_rows": _on_flights(complete_rows),
     "b_endpoint_counts": _on_flights(endpoint_counts),

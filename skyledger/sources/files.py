@@ -9,6 +9,8 @@ from pyspark.sql.types import DataType, IntegerType, StringType, StructField, St
 
 from skyledger.functions import parse_int
 from skyledger.schema import FLIGHT_SCHEMA
+from skyledger.session import path_exists
+from skyledger.sources.headers import file_headers, united
 
 
 def _typed(text: Column, data_type: DataType) -> Column:
@@ -21,28 +23,70 @@ def _typed(text: Column, data_type: DataType) -> Column:
 
 def typed_flights(raw: DataFrame) -> DataFrame:
     """The ten flight columns of an all-text table, by name; text that does not parse becomes null."""
-    return raw.select(*[_typed(F.col(f.name), f.dataType).alias(f.name) for f in FLIGHT_SCHEMA])
+    return raw.select(*_typed_columns())
 
 
-def _csv(spark: SparkSession, path: str) -> DataFrame:
+def _typed_columns() -> list[Column]:
+    return [_typed(F.col(f.name), f.dataType).alias(f.name) for f in FLIGHT_SCHEMA]
+
+
+_CORRUPT = "_corrupt_record"
+
+
+def _csv(spark: SparkSession, paths: Sequence[str], keep_bad: bool = False) -> DataFrame:
     reader = spark.read.option("header", True)
-    names = reader.csv(path).columns
+    names = reader.csv(paths).columns
     text = StructType([StructField(n, StringType()) for n in names])
-    return reader.schema(text).option("enforceSchema", False).csv(path)
+    if keep_bad:
+        text = text.add(_CORRUPT, StringType())
+        reader = reader.option("columnNameOfCorruptRecord", _CORRUPT)
+    return reader.schema(text).option("enforceSchema", False).csv(paths)
+
+
+def _by_header(spark: SparkSession, paths: str | Sequence[str], keep_bad: bool = False) -> list[DataFrame]:
+    """The files of ``paths`` as text, one part per distinct header; without any line, none."""
+    return [_csv(spark, files, keep_bad) for _, files in sorted(file_headers(spark, paths).items())]
 
 
 def read_flights_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Typed flights from headed CSV files; each path (or glob) has one header.
+    """Typed flights from headed CSV files; each file has its own header.
 
-    Columns are found by name and may be in any order, with others between them.
-    Spark binds the files of one path by position, so a file whose header
-    differs from its siblings' fails the job. Give such files a path of their own.
+    Columns are found by name and may be in any order, with others between them. Files are
+    grouped by their headers first (see ``file_headers``), so one glob may hold several layouts.
     """
-    parts = [typed_flights(_csv(spark, p)) for p in ([paths] if isinstance(paths, str) else paths)]
-    flights = parts[0]
-    for part in parts[1:]:
-        flights = flights.unionByName(part)
-    return flights
+    return united([typed_flights(part) for part in _by_header(spark, paths)] or [spark.createDataFrame([], FLIGHT_SCHEMA)])
+
+
+def scan_flights_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """What ``read_flights_csv`` gives, and ``line``: null for a flight, else the text of a line that is none.
+
+    A line is none if its fields do not fit its file's header and it does not name both airports.
+    A short line that does is a flight whose last fields are null, as in a message.
+    """
+    parts = []
+    for raw in _by_header(spark, paths, keep_bad=True):
+        nameless = F.col("Origin").isNull() | F.col("Dest").isNull()
+        line = F.when(F.col(_CORRUPT).isNotNull() & nameless, F.col(_CORRUPT)).alias("line")
+        parts.append(raw.select(*_typed_columns(), line))
+    return united(parts or [spark.createDataFrame([], StructType([*FLIGHT_SCHEMA, StructField("line", StringType())]))])
+
+
+def write_scan(scan: DataFrame, path: str) -> str:
+    """Store flights and rejected lines from one scan: flights by year under ``kind=flights``, lines under ``kind=rejects``."""
+    kind = F.when(F.col("line").isNull(), F.lit("flights")).otherwise(F.lit("rejects"))
+    scan.withColumn("kind", kind).hint("rebalance", "kind", "Year").write.partitionBy("kind", "Year").parquet(path)
+    return path
+
+
+def read_scan(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The flights and the rejected lines of a stored scan."""
+    flights = spark.createDataFrame([], FLIGHT_SCHEMA)
+    if path_exists(spark, f"{path}/kind=flights"):
+        flights = read_flights(spark, f"{path}/kind=flights")
+    lines = spark.createDataFrame([], "line string")
+    if path_exists(spark, f"{path}/kind=rejects"):
+        lines = spark.read.schema("line string, Year int").parquet(f"{path}/kind=rejects").select("line")
+    return flights, lines
 
 
 def write_flights(flights: DataFrame, path: str, fmt: str = "parquet", **options) -> str:
@@ -60,7 +104,4 @@ def read_flights(spark: SparkSession, paths: str | Sequence[str], fmt: str = "pa
     parts = [
         spark.read.format(fmt).schema(FLIGHT_SCHEMA).options(**options).load(p).select(*FLIGHT_SCHEMA.fieldNames())
         for p in ([paths] if isinstance(paths, str) else paths)]
-    flights = parts[0]
-    for part in parts[1:]:
-        flights = flights.unionByName(part)
-    return flights
+    return united(parts)

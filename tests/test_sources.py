@@ -5,18 +5,22 @@ import os
 
 import pytest
 
-from conftest import EDGE_LINES, rows
+from conftest import EDGE_LINES, plan_of, rows
 from skyledger.schema import FLIGHT_SCHEMA
 from skyledger.sources import (
     decode_flights,
+    file_headers,
     flights_view,
     read_flights,
     read_flights_csv,
     read_messages,
+    read_scan,
     rejected_lines,
     replay_lines,
+    scan_flights_csv,
     wire_lines,
     write_flights,
+    write_scan,
 )
 
 HEADER = ",".join(FLIGHT_SCHEMA.fieldNames())
@@ -50,16 +54,72 @@ def test_csv_text_that_does_not_parse_becomes_null(spark, folder):
         (2008, 4, datetime.date(2008, 4, 3), "AA", "1", "BOS", "ATL", None, None, 7.5)], key=repr)
 
 
-def test_csv_with_another_header_fails_and_is_read_from_its_own_path(spark, folder):
-    path, other = folder(), folder()
-    swapped = HEADER.replace("Origin,Dest", "Dest,Origin")
-    line = "2008,4,2008-04-03,AA,1,{},0900,5,10\n"
-    write_csv(f"{path}/a.csv", f"{HEADER}\n" + line.format("BOS,ATL"))
-    write_csv(f"{path}/b.csv", f"{swapped}\n" + line.format("ATL,BOS"))
-    with pytest.raises(Exception, match="header does not conform"):
-        read_flights_csv(spark, path).collect()
-    write_csv(f"{other}/b.csv", f"{swapped}\n" + line.format("ATL,BOS"))
-    assert rows(read_flights_csv(spark, [f"{path}/a*.csv", other])) == [ROW, ROW]
+SWAPPED = HEADER.replace("Origin,Dest", "Dest,Origin")
+LINE = "2008,4,2008-04-03,AA,1,{},0900,5,10\n"
+
+
+def test_one_glob_may_hold_several_layouts(spark, folder):
+    path = folder()
+    write_csv(f"{path}/a.csv", f"{HEADER}\n" + LINE.format("BOS,ATL"))
+    write_csv(f"{path}/b.csv", f"{SWAPPED}\n" + LINE.format("ATL,BOS") * 2)
+    write_csv(f"{path}/c d+e%20.csv", f"Note,{HEADER}\n\"x, y\"," + LINE.format("BOS,ATL"))
+    write_csv(f"{path}/f[1].csv", f"{SWAPPED}\n" + LINE.format("ATL,BOS"))
+    write_csv(f"{path}/empty.csv", "")
+    write_csv(f"{path}/no-rows.csv", f"{HEADER}\n")
+    for given in (path, f"{path}/*.csv", [f"{path}/a.csv", f"{path}/[b-z]*.csv"]):
+        assert rows(read_flights_csv(spark, given)) == [ROW] * 5
+    found = file_headers(spark, path)
+    assert sorted((header, len(files)) for header, files in found.items()) == sorted(
+        [(HEADER, 2), (SWAPPED, 2), (f"Note,{HEADER}", 1)])
+
+
+def test_files_that_agree_are_one_scan_of_the_given_path(spark, folder):
+    path = folder()
+    for name in "abc":
+        write_csv(f"{path}/{name}.csv", f"{HEADER}\n" + LINE.format("BOS,ATL") * 2)
+    assert file_headers(spark, path) == {HEADER: [path]}
+    assert plan_of(read_flights_csv(spark, path)).count("FileScan csv") == 1
+
+
+def test_only_the_first_line_of_a_file_is_looked_at(spark, folder):
+    path = folder()
+    # More than a task's pipes hold.
+    write_csv(f"{path}/long.csv", f"{HEADER}\n" + LINE.format("BOS,ATL") * 300_000)
+    write_csv(f"{path}/other.csv", f"{SWAPPED}\n" + LINE.format("ATL,BOS"))
+    assert {len(files) for files in file_headers(spark, path).values()} == {1}
+    assert read_flights_csv(spark, path).count() == 300_001
+
+
+def test_no_lines_are_no_flights(spark, folder):
+    path = folder()
+    write_csv(f"{path}/empty.csv", "")
+    assert read_flights_csv(spark, path).collect() == [] and scan_flights_csv(spark, path).collect() == []
+
+
+def test_rejects_come_from_the_scan_of_the_flights(spark, folder):
+    path = folder()
+    write_csv(f"{path}/a.csv", f"{HEADER}\n" + LINE.format("BOS,ATL") + "this is no flight\n" + "2008,4,2008-04-03,AA,1,BOS,ATL\n"
+              + LINE.format(",ATL") + "a,b\n")
+    write_csv(f"{path}/b.csv", f"{SWAPPED}\n" + "bad, too\n" + LINE.format("ATL,BOS"))
+    stored = write_scan(scan_flights_csv(spark, path), folder())
+    flights, rejects = read_scan(spark, stored)
+    assert rows(rejects) == [("a,b",), ("bad, too",), ("this is no flight",)]
+    plain = read_flights_csv(spark, path).where("Origin IS NOT NULL OR Dest IS NOT NULL")
+    assert rows(flights) == rows(plain) and flights.schema == FLIGHT_SCHEMA
+    assert flights.where("Origin IS NULL").count() == 1 and flights.where("CRSDepTime IS NULL").count() == 1
+    assert os.path.isdir(f"{stored}/kind=flights/Year=2008")
+    # One scan per layout feeds both.
+    assert plan_of(scan_flights_csv(spark, f"{path}/a.csv")).count("FileScan csv") == 1
+
+
+def test_a_scan_without_rejects_or_flights(spark, folder):
+    good, bad = folder(), folder()
+    write_csv(f"{good}/a.csv", f"{HEADER}\n" + LINE.format("BOS,ATL"))
+    write_csv(f"{bad}/a.csv", f"{HEADER}\nnothing here\n")
+    flights, rejects = read_scan(spark, write_scan(scan_flights_csv(spark, good), folder()))
+    assert rows(flights) == [ROW] and rejects.collect() == []
+    flights, rejects = read_scan(spark, write_scan(scan_flights_csv(spark, bad), folder()))
+    assert flights.collect() == [] and rows(rejects) == [("nothing here",)]
 
 
 def test_parquet_by_year(spark, edge_flights, folder):
