@@ -19,9 +19,27 @@ def round2(value: Column) -> Column:
     return F.round(value, 2)
 
 
+# A summed value counts to this part of its unit, and has at most so many digits in these parts.
+PARTS = 1_000_000
+_WHOLE = "decimal(18,0)"
+
+
+def in_parts(value: Column) -> Column:
+    """A number as a whole number of millionths, which sums add up exactly, in any order and from any cut.
+
+    Null for what is no number, and beyond 10^12.
+    """
+    return F.rint(value.cast("double") * PARTS).try_cast("bigint").try_cast(_WHOLE)
+
+
+def unit_of(parts: Column) -> Column:
+    """The double that a sum of ``in_parts`` stands for."""
+    return parts.cast("double") / PARTS
+
+
 def mean_of(total: Column, count: Column) -> Column:
-    """Mean from a running sum and count; null for an empty group."""
-    return F.try_divide(total, count)
+    """Mean from a running sum of ``in_parts`` and a count; null for an empty group."""
+    return F.try_divide(unit_of(total), count)
 
 
 def day_text(day: Column) -> Column:

@@ -1,7 +1,7 @@
 """Answer all questions over a set of flights and store the result tables.
 
 CSV input is typed and stored once as parquet by year; its lines that are no flights go to
-``rejects`` beside the results, from the same scan. The five questions on
+``rejects`` beside the results, from the same scan. All results of a run are published together. The five questions on
 counts and means share one summary; the two-leg question reads one year. Both
 staged copies are deleted at the end.
 """
@@ -17,7 +17,7 @@ from skyledger.jobs.options import add_store, parser, store_of
 from skyledger.plans import two_leg_all
 from skyledger.plans.summary import answers_from_summary, flight_summary
 from skyledger.session import build_session, new_dir, scratch_dir
-from skyledger.sinks import Store, read_table, write_table, write_to_store
+from skyledger.sinks import Store, publish, read_table, write_table, write_to_store
 from skyledger.sources import read_flights, read_scan, scan_flights_csv, write_scan
 
 # Fixed value: the year of the two-leg question.
@@ -51,14 +51,25 @@ def run_batch(
     year: int = TWO_LEG_YEAR,
     fmt: str = "parquet",
     store: Store | None = None,
+    rejects: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Write the six result tables under ``root``, and to ``store`` from there; return their paths."""
-    paths = {}
-    with scratch_dir(spark, "summary") as summary:
-        for table, answer in all_answers(spark, flights, summary, year).items():
-            paths[table] = write_table(answer, table, root, fmt)
-            if store:
-                write_to_store(read_table(spark, table, root, fmt), table, store)
+    """Write the six result tables, and ``rejects``, and publish them under ``root`` together; return their paths.
+
+    The ``store``, if any, gets them after that, from there.
+    """
+
+    def write(run: str) -> dict[str, str]:
+        with scratch_dir(spark, "summary") as summary:
+            answers = all_answers(spark, flights, summary, year)
+            paths = {table: write_table(answer, table, run, fmt) for table, answer in answers.items()}
+        if rejects is not None:
+            rejects.write.text(f"{run}/rejects")
+        return paths
+
+    paths = publish(spark, root, write)
+    if store:
+        for table in paths:
+            write_to_store(read_table(spark, table, root, fmt), table, store)
     return paths
 
 
@@ -73,14 +84,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--show", action="store_true", help="print the first rows of every result")
     given = args.parse_args(argv)
     spark = build_session("skyledger-batch", given.master)
+    rejects = None
     with ExitStack() as staged:
         if given.input_format == "csv":
             flights, rejects = stage_flights(spark, given.input, staged.enter_context(scratch_dir(spark, "flights")))
-            rejects.write.text(f"{given.output}/rejects")
         else:
             flights = read_flights(spark, given.input)
         written = run_batch(
-            spark, flights, given.output, given.year, given.output_format, store_of(given))
+            spark, flights, given.output, given.year, given.output_format, store_of(given), rejects)
     for table, path in written.items():
         print(table, path)
         if given.show:

@@ -1,4 +1,4 @@
-"""Answer all questions continuously over a message stream, one query each."""
+"""Answer all questions continuously over a message stream, which one query decodes to a log that the others follow."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ from skyledger.jobs.options import add_format, add_store, key_values, parser, st
 from skyledger.operators import TwoLegBounds
 from skyledger.session import build_session
 from skyledger.sinks import Store
-from skyledger.sources import decode_flights, read_messages
-from skyledger.streaming import AVAILABLE_NOW, EVERY_TEN_SECONDS, start_all, start_rejects
+from skyledger.sources import read_messages
+from skyledger.streaming import AVAILABLE_NOW, EVERY_TEN_SECONDS, start_from_log
 
 POLL_SECONDS = 1
 
@@ -46,11 +46,10 @@ def run_stream(
     trigger: dict | None = None,
     show: int = 0,
     store: Store | None = None,
+    **intake: str,
 ) -> list[StreamingQuery]:
-    """Start every question, and the store of lines that are no flights, under ``root``."""
-    started = start_all(decode_flights(messages), root, bounds, trigger, show, store)
-    rejects = start_rejects(messages, f"{root}/rejects", f"{root}/_checkpoints/rejects", trigger)
-    return [*started, rejects]
+    """Start the log of flights and rejected lines, and every question on it, under ``root``."""
+    return start_from_log(messages, root, bounds, trigger, show, store, **intake)
 
 
 def wait_for(queries: Sequence[StreamingQuery]) -> None:

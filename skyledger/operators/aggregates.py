@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.functions import mean_of
+from skyledger.functions import in_parts, mean_of, unit_of
 from skyledger.operators.filters import with_value
 
 
@@ -57,25 +57,38 @@ def airport_visits(flights: DataFrame) -> DataFrame:
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Mean of ``value`` per key; nulls do not count, and an all-null group has a null mean."""
-    return df.groupBy(*keys).agg(F.avg(value).alias(name))
+    """Mean of ``value`` per key; nulls do not count, and an all-null group has a null mean.
+
+    Sums are exact, so the mean does not depend on how the rows are cut into files and tasks.
+    """
+    parts = in_parts(F.col(value))
+    return df.groupBy(*keys).agg(mean_of(F.sum(parts), F.count(parts)).alias(name))
 
 
 def mean_state(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Sum, count and mean of the present values per key, in double precision."""
+    """Sum, count and mean of the present values per key.
+
+    The state is an exact sum and a count, so no cut into micro-batches changes the results.
+    """
+    parts = in_parts(F.col(value))
     return (
         with_value(df, value)
         .groupBy(*keys)
         .agg(
-            F.sum(F.col(value).cast("double")).alias("total"),
-            F.count(value).alias("n"),
-            F.avg(value).alias("mean"),
+            unit_of(F.sum(parts)).alias("total"),
+            F.count(parts).alias("n"),
+            mean_of(F.sum(parts), F.count(parts)).alias("mean"),
         )
     )
 
 
 def merge_mean_state(states: DataFrame, keys: Sequence[str], total: str, count: str, name: str) -> DataFrame:
-    """Mean per coarser key from (sum, count) rows of finer keys."""
+    """Mean per coarser key from (sum, count) rows of finer keys, as ``mean_state`` gives them."""
+    return merge_exact_state(states.withColumn(total, in_parts(F.col(total))), keys, total, count, name)
+
+
+def merge_exact_state(states: DataFrame, keys: Sequence[str], total: str, count: str, name: str) -> DataFrame:
+    """Mean per coarser key from (sum of ``in_parts``, count) rows of finer keys."""
     return states.groupBy(*keys).agg(mean_of(F.sum(total), F.sum(count)).alias(name))
 
 

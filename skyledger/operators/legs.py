@@ -105,6 +105,41 @@ def bounded_legs(
     return best_of_each_leg(all_legs(candidates))
 
 
+class TwoLegSets(NamedTuple):
+    """The sets as tables: ``roles`` has (airport, role), role being "x", "y" or "z"; ``days`` has the first days."""
+
+    roles: DataFrame
+    days: DataFrame
+    year: int
+
+
+def bounded_legs_by_tables(
+    flights: DataFrame, sets: TwoLegSets, require: Sequence[str] | None = ("ArrDelay",)
+) -> DataFrame:
+    """``bounded_legs`` with sets of any size, which stay tables.
+
+    A flight's leg follows from its clock, so each set is one semi-join on (airport or day, leg) as one key, and the
+    flights are scanned once. Spark broadcasts small sets; for large ones it puts a bloom filter of the members
+    on the scan. The first and the last day are looked up first and bound the scan.
+    """
+    role, day = F.col("role"), F.to_date("day")
+    origins = sets.roles.where(role.isin("x", "y")).select(
+        F.struct(F.col("airport").alias("at"), F.when(role == "x", 1).otherwise(2).alias("leg")).alias("member"))
+    dests = sets.roles.where(role.isin("y", "z")).select(
+        F.struct(F.col("airport").alias("at"), F.when(role == "y", 1).otherwise(2).alias("leg")).alias("member"))
+    first_days = sets.days.select(day.alias("day"))
+    days = first_days.select(F.explode(F.array(
+        F.struct(F.col("day").alias("at"), F.lit(1).alias("leg")),
+        F.struct(F.date_add("day", STOPOVER_DAYS).alias("at"), F.lit(2).alias("leg")))).alias("member"))
+    ends = first_days.agg(F.min("day").alias("low"), F.date_add(F.max("day"), STOPOVER_DAYS).alias("high"))
+    legs = all_legs(with_keys(of_year(complete_rows(flights, require), sets.year)))
+    legs = legs.where(
+        (F.col("FlightDate") >= ends.select("low").scalar()) & (F.col("FlightDate") <= ends.select("high").scalar()))
+    for key, members in (("Origin", origins), ("Dest", dests), ("FlightDate", days)):
+        legs = legs.join(members, F.struct(F.col(key).alias("at"), F.col("leg")) == members["member"], "left_semi")
+    return best_of_each_leg(legs)
+
+
 def split_legs(legs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = legs.where(F.col("leg") == 1).drop("leg")
     second = legs.where(F.col("leg") == 2).drop("leg")

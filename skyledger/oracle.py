@@ -167,6 +167,8 @@ def all_sql() -> dict[str, str]:
         "b_leg2_best": _with_flights(_best(LEG2)),
         "b_two_leg_all": _two_leg(LEG1, LEG2),
         "b_two_leg_bounded": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
+        "b_two_leg_by_tables": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
+        "b_published_routes": routes,
         "b_two_leg_text_days": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
         "s_replay_lines": every_flight,
         "s_wire_decode": every_flight,
@@ -176,6 +178,7 @@ def all_sql() -> dict[str, str]:
             " count(ArrDelay) AS n, avg(ArrDelay) AS mean"
             " FROM flights WHERE ArrDelay IS NOT NULL GROUP BY UniqueCarrier"),
         "s_state_argmin": _with_flights(_best("ArrDelay IS NOT NULL")),
+        "s_stored_argmin": _with_flights(_best("ArrDelay IS NOT NULL")),
         "s_airport_popularity_top10": popularity_top10,
         "s_carrier_ontime_top10": _with_flights(_carriers("m")),
         "s_origin_carrier_packed": _with_flights(
@@ -188,6 +191,13 @@ def all_sql() -> dict[str, str]:
         "s_route_mean_resume": routes,
         "s_all_two_leg_bounded": _two_leg(BOUNDED_LEG1, BOUNDED_LEG2),
     }
+    single |= {
+        "s_stored_avg": single["s_state_avg"],
+        "s_log_flights": every_flight,
+        "s_log_rejects": single["b_csv_scan_rejects"],
+        "s_log_origin_carrier_packed": single["s_origin_carrier_packed"],
+        "s_log_two_leg_bounded": single["s_two_leg_bounded"],
+    }
     # The same answers from one summary of all flights.
     return single | {f"{kind}_summary_{name}": single[f"{kind}_{name}"] for kind in ("b", "s") for name in (
         "airport_popularity_top10", "carrier_ontime_top10", "origin_carrier_packed", "origin_dest_packed",

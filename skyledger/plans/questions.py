@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, functions as F
 from skyledger.functions import round2
 from skyledger.operators import (
     TwoLegBounds,
+    TwoLegSets,
     afternoon_flights,
     all_legs,
     best_legs,
     best_of_each_leg,
     bounded_legs,
+    bounded_legs_by_tables,
     complete_rows,
     mean_by,
     morning_flights,
@@ -124,3 +126,10 @@ def two_leg_bounded(
 ) -> DataFrame:
     """The itineraries whose airports and first day are in the given sets."""
     return pair_legs(*split_legs(bounded_legs(flights, bounds, require)))
+
+
+def two_leg_by_tables(
+    flights: DataFrame, sets: TwoLegSets, require: Sequence[str] | None = ("ArrDelay",)
+) -> DataFrame:
+    """``two_leg_bounded`` with the sets given as tables."""
+    return pair_legs(*split_legs(bounded_legs_by_tables(flights, sets, require)))

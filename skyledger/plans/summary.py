@@ -1,7 +1,7 @@
 """Five of the questions from one pass over the flights.
 
 The summary has one row per (origin, destination, carrier) with the counts and
-sums that the questions need, so its size does not grow with the flights. A job
+exact sums that the questions need, so its size does not grow with the flights. A job
 that wants several answers reads the flights once and the summary often.
 """
 
@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from skyledger.operators import merge_mean_state
+from skyledger.functions import in_parts
+from skyledger.operators import merge_exact_state
 from skyledger.operators.aggregates import popularity_of_routes
 from skyledger.plans.questions import (
     TOP,
@@ -26,7 +27,7 @@ SUMMARY_KEYS = ("Origin", "Dest", "UniqueCarrier")
 
 
 def flight_summary(flights: DataFrame) -> DataFrame:
-    dep, arr = F.col("DepDelay").cast("double"), F.col("ArrDelay").cast("double")
+    dep, arr = in_parts(F.col("DepDelay")), in_parts(F.col("ArrDelay"))
     return flights.groupBy(*SUMMARY_KEYS).agg(
         F.count("*").alias("flights"),
         F.sum(dep).alias("dep_total"),
@@ -37,7 +38,7 @@ def flight_summary(flights: DataFrame) -> DataFrame:
 
 
 def _mean_dep(summary: DataFrame, key: str) -> DataFrame:
-    return merge_mean_state(summary, ["Origin", key], "dep_total", "dep_n", "mean")
+    return merge_exact_state(summary, ["Origin", key], "dep_total", "dep_n", "mean")
 
 
 def _packed(summary: DataFrame, key: str, k: int, style: str) -> DataFrame:
@@ -48,8 +49,8 @@ def answers_from_summary(
     summary: DataFrame, k: int = TOP, style: str = "flat", round_before_rank: bool = True
 ) -> dict[str, DataFrame]:
     """Result table name to its rows; the defaults are those of the batch questions."""
-    carriers = merge_mean_state(summary, ["UniqueCarrier"], "arr_total", "arr_n", "mean")
-    routes = merge_mean_state(summary, ["Origin", "Dest"], "arr_total", "arr_n", "mean")
+    carriers = merge_exact_state(summary, ["UniqueCarrier"], "arr_total", "arr_n", "mean")
+    routes = merge_exact_state(summary, ["Origin", "Dest"], "arr_total", "arr_n", "mean")
     return {
         "results11": rank_airports(popularity_of_routes(summary, "flights"), k),
         "results12": rank_carriers(carriers, k, round_before_rank),

@@ -13,10 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyledger import plans
-from skyledger.operators import TwoLegBounds, complete_rows, day_range, endpoint_counts
+from skyledger.functions import mean_of, unit_of
+from skyledger.jobs.batch import run_batch
+from skyledger.operators import TwoLegBounds, TwoLegSets, complete_rows, day_range, endpoint_counts
 from skyledger.operators.legs import LEG_KEYS
 from skyledger.plans.summary import answers_from_summary, flight_summary
-from skyledger.schema import RESULT_TABLES, conform
+from skyledger.schema import FLIGHT_SCHEMA, RESULT_TABLES, conform
 from skyledger.session import new_dir, path_exists
 from skyledger.sinks import read_changes, read_latest, read_table, write_table
 from skyledger.sources import (
@@ -36,9 +38,14 @@ from skyledger.streaming import (
     running_best,
     running_mean,
     running_visits,
+    read_flight_log,
+    read_rejects,
+    read_state,
     start_all,
+    start_from_log,
     start_query,
     start_question,
+    start_state,
     start_summary,
 )
 from skyledger.streaming.questions import FEW_KEYS
@@ -123,6 +130,33 @@ def _two_leg_bounded(bounds: TwoLegBounds) -> Query:
         flights_view(spark, sf_dir, days=day_range(bounds)), bounds)
 
 
+def _set_tables(spark: SparkSession, sf_dir: str) -> TwoLegSets:
+    """The sets of ``BOUNDS`` as tables, made from the nations and the days that any line has."""
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    number = F.regexp_extract("n_name", "([0-9]+)$", 1).cast("int")
+    roles = nations.select(F.col("n_name").alias("airport"), F.explode(F.filter(F.array(
+        F.when(number.between(0, 9), F.lit("x")), F.when(number.between(5, 14), F.lit("y")),
+        F.when(number.between(10, 19), F.lit("z"))), lambda role: role.isNotNull())).alias("role"))
+    days = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.to_date("l_shipdate").alias("day"))
+    return TwoLegSets(roles, days.where(F.col("day").between(BOUNDS.dates[0], BOUNDS.dates[-1])).distinct(), YEAR)
+
+
+def _two_leg_by_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.two_leg_by_tables(flights_view(spark, sf_dir, YEAR), _set_tables(spark, sf_dir))
+
+
+def _published(table: str) -> Query:
+    """A result table of the batch job's second run under one root."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, flights = new_dir(spark, "published"), flights_view(spark, sf_dir)
+        for rows in (flights.where(F.col("CRSDepTime") < 1200), flights):
+            run_batch(spark, rows, root, YEAR)
+        return read_table(spark, table, root)
+
+    return query
+
+
 def _from_summary(table: str) -> Query:
     """A result table the way the batch job makes it: from one summary of all flights."""
     return lambda spark, sf_dir: answers_from_summary(flight_summary(flights_view(spark, sf_dir)))[table]
@@ -157,6 +191,8 @@ BATCH: dict[str, Query] = {
     "b_two_leg_all": _on_flights(lambda f: plans.two_leg_all(f, YEAR), YEAR),
     "b_two_leg_bounded": _two_leg_bounded(BOUNDS),
     "b_two_leg_text_days": _two_leg_bounded(TEXT_BOUNDS),
+    "b_two_leg_by_tables": _two_leg_by_tables,
+    "b_published_routes": _published("results24"),
     **{f"b_summary_{name}": _from_summary(table) for name, table in SUMMARY_TABLES.items()},
 }
 
@@ -222,6 +258,30 @@ def _argmin_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_changes(spark, f"{root}/state", LEG_KEYS)
 
 
+def _stored_state(state: Callable[[DataFrame], DataFrame], values: list[str], finish: Callable[[DataFrame], DataFrame]) -> Query:
+    """A running aggregate that is kept in the checkpoint alone, and read from there."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        checkpoint = new_dir(spark, "checkpoint")
+        _wait(start_state(state(_stream(spark, shared_topic(spark, sf_dir))), checkpoint, AVAILABLE_NOW))
+        return finish(read_state(spark, checkpoint, values))
+
+    return query
+
+
+_finished: dict[tuple[str, str, str], str] = {}
+
+
+def _finished_run(spark: SparkSession, sf_dir: str, name: str, run: Callable[[str], None]) -> str:
+    """The root of a run that several queries read; an application makes it once."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _finished or not path_exists(spark, _finished[key]):
+        root = new_dir(spark, name)
+        run(root)
+        _finished[key] = root
+    return _finished[key]
+
+
 def _question(name: str, bounds: TwoLegBounds | None = None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = new_dir(spark, name)
@@ -240,9 +300,9 @@ def _from_running_summary(name: str) -> Query:
     """A question's answer from the one running summary of all flights."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = new_dir(spark, f"summary-{name}")
-        _wait(start_summary(_stream(spark, shared_topic(spark, sf_dir)), root, AVAILABLE_NOW))
-        return _answer(spark, name, root)
+        topic = shared_topic(spark, sf_dir)
+        return _answer(spark, name, _finished_run(spark, sf_dir, "summary", lambda root: _wait(
+            start_summary(_stream(spark, topic), root, AVAILABLE_NOW))))
 
     return query
 
@@ -260,6 +320,26 @@ def _all_questions(name: str) -> Query:
     return query
 
 
+def _log_run(spark: SparkSession, sf_dir: str) -> str:
+    """The root of all questions over a log of the lines and of some that are no flights, decoded in two runs."""
+
+    def run(root: str) -> None:
+        topic, lines = new_dir(spark, "topic"), spark.read.text(shared_topic(spark, sf_dir))
+        early = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+        number = F.split("value", ",")[FLIGHT_SCHEMA.fieldNames().index("FlightNum")]
+        bad = lines.where(number.cast("long") % 11 == 0).select(F.concat(F.lit(BAD_LINE), number).alias("value"))
+        for part in (lines.where(early), lines.where(~early).unionByName(bad)):
+            part.write.mode("append").text(topic)
+            for query in start_from_log(read_messages(spark, topic, **INTAKE), root, BOUNDS, AVAILABLE_NOW):
+                _wait(query)
+
+    return _finished_run(spark, sf_dir, "log", run)
+
+
+def _from_log(name: str) -> Query:
+    return lambda spark, sf_dir: _answer(spark, name, _log_run(spark, sf_dir))
+
+
 def _resumed(name: str, parts: Callable[[], list[Column]], bounds: TwoLegBounds | None = None) -> Query:
     """A question over several runs, with a stop after each part of the lines, under one checkpoint."""
 
@@ -301,6 +381,11 @@ STREAM: dict[str, Query] = {
     "s_state_sum": _final_state(running_visits),
     "s_state_avg": _final_state(lambda f: running_mean(f, ["UniqueCarrier"], "ArrDelay")),
     "s_state_argmin": _argmin_state,
+    "s_stored_argmin": _stored_state(
+        running_best, ["best"], lambda s: s.select(*LEG_KEYS, "best.*")),
+    "s_stored_avg": _stored_state(
+        lambda f: running_mean(f, ["UniqueCarrier"], "ArrDelay"), ["parts", "any", "n"],
+        lambda s: s.select("UniqueCarrier", unit_of(F.col("parts")).alias("total"), "n", mean_of(F.col("parts"), F.col("n")).alias("mean"))),
     "s_airport_popularity_top10": _question("airport_popularity"),
     "s_carrier_ontime_top10": _question("carrier_punctuality"),
     "s_origin_carrier_packed": _question("origin_carrier"),
@@ -310,6 +395,10 @@ STREAM: dict[str, Query] = {
     "s_restart_resume": _resumed("airport_popularity", _halves),
     "s_two_leg_resume": _resumed("two_leg", _thirds, BOUNDS),
     "s_route_mean_resume": _resumed("route_mean", _thirds),
+    "s_log_flights": lambda spark, sf_dir: read_flight_log(spark, _log_run(spark, sf_dir)),
+    "s_log_rejects": lambda spark, sf_dir: read_rejects(spark, _log_run(spark, sf_dir)),
+    "s_log_origin_carrier_packed": _from_log("origin_carrier"),
+    "s_log_two_leg_bounded": _from_log("two_leg"),
     **{f"s_summary_{name}": _from_running_summary(question) for name, question in SUMMARY_QUESTIONS.items()},
     "s_all_two_leg_bounded": _all_questions("two_leg"),
 }

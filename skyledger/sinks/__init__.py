@@ -1,3 +1,4 @@
+from skyledger.sinks.publish import publish, published_root
 from skyledger.sinks.tables import (
     Store,
     batch_writer,
@@ -13,6 +14,6 @@ from skyledger.sinks.tables import (
 )
 
 __all__ = [
-    "Store", "batch_writer", "carry_forward", "compact_changes", "has_results", "prune_results", "read_changes", "read_latest", "read_table",
+    "Store", "batch_writer", "carry_forward", "compact_changes", "has_results", "prune_results", "publish", "published_root", "read_changes", "read_latest", "read_table",
     "write_table", "write_to_store",
 ]

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skyledger.schema import RESULT_TABLES, conform
 from skyledger.session import session_conf
 from skyledger.sinks.manifests import delete, file_system
+from skyledger.sinks.publish import published_root
 
 
 class Store(NamedTuple):
@@ -47,9 +48,10 @@ def write_to_store(df: DataFrame, table: str, store: Store, mode: str = "append"
 
 
 def read_table(spark: SparkSession, table: str, root: str, fmt: str = "parquet", **options) -> DataFrame:
+    """A result table under ``root``: that of the newest published run, if any was published there."""
     return (
         spark.read.format(fmt).schema(RESULT_TABLES[table].schema).options(**options)
-        .load(f"{root}/{table}")
+        .load(f"{published_root(spark, root) or root}/{table}")
     )
 
 

@@ -10,6 +10,7 @@ from skyledger.sources.files import (
 from skyledger.sources.headers import file_headers
 from skyledger.sources.messages import (
     decode_flights,
+    decode_lines,
     read_messages,
     rejected_lines,
     replay_lines,
@@ -18,6 +19,6 @@ from skyledger.sources.messages import (
 from skyledger.sources.warehouse import flights_view
 
 __all__ = [
-    "decode_flights", "file_headers", "flights_view", "read_flights", "read_flights_csv", "read_messages", "read_scan",
+    "decode_flights", "decode_lines", "file_headers", "flights_view", "read_flights", "read_flights_csv", "read_messages", "read_scan",
     "rejected_lines", "replay_lines", "scan_flights_csv", "typed_flights", "wire_lines", "write_flights", "write_scan",
 ]

@@ -23,10 +23,11 @@ def _typed(text: Column, data_type: DataType) -> Column:
 
 def typed_flights(raw: DataFrame) -> DataFrame:
     """The ten flight columns of an all-text table, by name; text that does not parse becomes null."""
-    return raw.select(*_typed_columns())
+    return raw.select(*typed_columns())
 
 
-def _typed_columns() -> list[Column]:
+def typed_columns() -> list[Column]:
+    """The flight columns from text columns of the same names."""
     return [_typed(F.col(f.name), f.dataType).alias(f.name) for f in FLIGHT_SCHEMA]
 
 
@@ -67,7 +68,7 @@ def scan_flights_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     for raw in _by_header(spark, paths, keep_bad=True):
         nameless = F.col("Origin").isNull() | F.col("Dest").isNull()
         line = F.when(F.col(_CORRUPT).isNotNull() & nameless, F.col(_CORRUPT)).alias("line")
-        parts.append(raw.select(*_typed_columns(), line))
+        parts.append(raw.select(*typed_columns(), line))
     return united(parts or [spark.createDataFrame([], StructType([*FLIGHT_SCHEMA, StructField("line", StringType())]))])
 
 

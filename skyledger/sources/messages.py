@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from skyledger.schema import FLIGHT_SCHEMA
-from skyledger.sources.files import typed_flights
+from skyledger.sources.files import typed_columns, typed_flights
 
 # Fixed value: the topic of the flight messages.
 TOPIC = "flights"
@@ -81,11 +81,22 @@ def _is_flight() -> Column:
     return F.col("Origin").isNotNull() & F.col("Dest").isNotNull()
 
 
+def _texts(fields: DataFrame) -> DataFrame:
+    return fields.withColumns({
+        f.name: _decoded(F.col(f.name)) for f in FLIGHT_SCHEMA if isinstance(f.dataType, StringType)})
+
+
 def decode_flights(messages: DataFrame) -> DataFrame:
     """Typed flights of the lines that name both airports; short lines end in nulls."""
-    fields = _fields(messages).where(_is_flight())
-    texts = {f.name: _decoded(F.col(f.name)) for f in FLIGHT_SCHEMA if isinstance(f.dataType, StringType)}
-    return typed_flights(fields.withColumns(texts))
+    return typed_flights(_texts(_fields(messages).where(_is_flight())))
+
+
+def decode_lines(messages: DataFrame) -> DataFrame:
+    """Every line once: typed as ``decode_flights`` does, with ``kind`` "flights", or as ``line`` with ``kind`` "rejects"."""
+    fields = _texts(_fields(messages))
+    kind = F.when(_is_flight(), F.lit("flights")).otherwise(F.lit("rejects"))
+    line = F.when(~_is_flight(), F.col("value"))
+    return fields.select(*typed_columns(), line.alias("line"), kind.alias("kind"))
 
 
 def rejected_lines(messages: DataFrame) -> DataFrame:

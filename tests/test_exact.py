@@ -1,0 +1,151 @@
+"""Means that do not depend on how the flights are cut, states read from the checkpoint, results published together."""
+
+import datetime
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from skyledger import plans
+from skyledger.functions import in_parts, unit_of
+from skyledger.jobs import batch
+from skyledger.operators import best_legs, complete_rows, mean_state
+from skyledger.plans.summary import answers_from_summary, flight_summary
+from skyledger.schema import FLIGHT_SCHEMA, RESULT_TABLES
+from skyledger.sinks import manifests, publish, published_root, read_table
+from skyledger.sources import decode_flights, read_messages, replay_lines
+from skyledger.streaming import (
+    AVAILABLE_NOW,
+    read_question,
+    read_state,
+    running_best,
+    running_mean,
+    start_question,
+    start_state,
+    start_summary,
+)
+
+
+def fractional(n=3000, seed=4):
+    r = random.Random(seed)
+    return [
+        (2008, 1, datetime.date(2008, 1, 1) + datetime.timedelta(days=r.randint(0, 5)), r.choice("AB"), str(i),
+         r.choice(["X", "Y"]), r.choice(["X", "Y", "Z"]), r.randint(0, 2359), r.uniform(-50, 900), r.choice([None, r.uniform(-1e5, 1e5), 0.1]))
+        for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def rounded(spark):
+    """Delays that a message line carries unchanged."""
+    return [(*r[:8], *(None if v is None else round(v, 2) for v in r[8:])) for r in fractional()]
+
+
+def means(flights):
+    return rows(mean_state(flights, ["Origin", "Dest"], "ArrDelay"))
+
+
+@pytest.mark.parametrize("cut", [1, 2, 7, 40])
+def test_means_are_bit_equal_for_any_cut(spark, cut):
+    flights = spark.createDataFrame(fractional(), FLIGHT_SCHEMA)
+    assert means(flights.repartition(cut)) == means(flights.coalesce(1).sort(F.desc("ArrDelay")))
+    routes = plans.route_mean_arr_delay(flights.repartition(cut, "FlightNum"))
+    assert rows(routes) == rows(plans.route_mean_arr_delay(flights.coalesce(1)))
+    assert rows(routes) == rows(answers_from_summary(flight_summary(flights.repartition(cut)))["results24"])
+
+
+@pytest.mark.parametrize("files, per_batch", [(1, 1), (5, 1), (5, 2)])
+def test_continuous_means_are_bit_equal_for_any_cut(spark, folder, rounded, files, per_batch):
+    root, lines = folder(), folder()
+    flights = spark.createDataFrame(rounded, FLIGHT_SCHEMA)
+    replay_lines(flights.repartition(files), lines)
+    stream = decode_flights(read_messages(spark, lines, maxFilesPerTrigger=per_batch))
+    checkpoint = folder()
+    start_state(running_mean(stream, ["Origin", "Dest"], "ArrDelay"), checkpoint, AVAILABLE_NOW).awaitTermination()
+    stored = read_state(spark, checkpoint, ["parts", "any", "n"])
+    # The state itself, and so the means, are those of the batch.
+    expected = flights.groupBy("Origin", "Dest").agg(
+        F.sum(in_parts(F.col("ArrDelay"))).alias("parts"), F.count("ArrDelay").alias("n"))
+    assert rows(stored.select("Origin", "Dest", "parts", "n")) == rows(expected)
+    start_question("route_mean", stream, root, AVAILABLE_NOW).awaitTermination()
+    assert rows(read_question(spark, "route_mean", root)) == rows(plans.route_mean_arr_delay(flights))
+    other = folder()
+    start_summary(stream, other, AVAILABLE_NOW).awaitTermination()
+    assert rows(read_question(spark, "route_mean", other)) == rows(plans.route_mean_arr_delay(flights))
+
+
+def test_what_counts_as_a_number(spark):
+    given = [(0.1,), (-0.25,), (None,), (float("nan"),), (float("inf"),), (1e30,), (1e11,)]
+    parts = spark.createDataFrame(given, "v float").select(in_parts(F.col("v")).alias("p"))
+    assert [r.p for r in parts.collect()] == [100000, -250000, None, None, None, None, 99999997952000000]
+    total = spark.createDataFrame([(0.1,)] * 10, "v float").agg(unit_of(F.sum(in_parts(F.col("v")))))
+    assert total.first()[0] == 1.0
+    many = spark.range(1000).select(F.lit(9e11).alias("v")).agg(unit_of(F.sum(in_parts(F.col("v")))))
+    assert many.first()[0] == 9e14
+
+
+def test_state_is_read_from_the_checkpoint_also_of_an_earlier_batch(spark, folder, rounded):
+    checkpoint, lines = folder(), folder()
+    flights = spark.createDataFrame(rounded, FLIGHT_SCHEMA).withColumn("half", F.col("FlightNum").cast("int") % 2)
+    halves = [flights.where(F.col("half") == i).drop("half") for i in (0, 1)]
+    for half in halves:
+        replay_lines(half, lines)
+        state = running_best(decode_flights(read_messages(spark, lines)))
+        start_state(state, checkpoint, AVAILABLE_NOW, partitions=3).awaitTermination()
+    whole = best_legs(complete_rows(flights.drop("half"), ["ArrDelay"]))
+    now = read_state(spark, checkpoint, ["best"])
+    assert rows(now.select("Origin", "Dest", "FlightDate", "best.*")) == rows(whole)
+    before = read_state(spark, checkpoint, ["best"], batch_id=0)
+    first = best_legs(complete_rows(halves[0], ["ArrDelay"]))
+    assert rows(before.select("Origin", "Dest", "FlightDate", "best.*")) == rows(first)
+    assert len([p for p in os.listdir(f"{checkpoint}/state/0") if p.isdigit()]) == 3
+
+
+# --- published results -----------------------------------------------------
+
+def answers(spark, root):
+    return {table: rows(read_table(spark, table, root)) for table in RESULT_TABLES}
+
+
+def test_a_run_that_fails_leaves_the_earlier_results(spark, edge_flights, folder, monkeypatch):
+    root = folder()
+    batch.run_batch(spark, edge_flights, root)
+    before = answers(spark, root)
+    wrote, written = batch.write_table, []
+
+    def breaks(*given):
+        if len(written) == 3:
+            raise OSError("no space")
+        written.append(given[1])
+        return wrote(*given)
+
+    monkeypatch.setattr(batch, "write_table", breaks)
+    with pytest.raises(OSError, match="no space"):
+        batch.run_batch(spark, edge_flights.limit(3), root)
+    assert len(written) == 3 and answers(spark, root) == before
+    monkeypatch.setattr(batch, "write_table", wrote)
+    batch.run_batch(spark, edge_flights.limit(3), root)
+    after = answers(spark, root)
+    assert after != before and after["results11"] == rows(plans.airport_popularity(edge_flights.limit(3)))
+
+
+def test_published_runs_are_numbered_and_the_last_two_are_kept(spark, folder):
+    root = folder()
+    assert published_root(spark, root) is None
+    for i in range(4):
+        publish(spark, root, lambda run, i=i: {"t": spark.range(i + 1).write.parquet(f"{run}/t")})
+        assert spark.read.parquet(f"{published_root(spark, root)}/t").count() == i + 1
+    assert len(os.listdir(f"{root}/_runs")) == 2
+    assert manifests.versions(spark, f"{root}/_published") == [2, 3]
+
+
+def test_the_job_publishes_its_rejects(spark, edge_flights, folder):
+    csv, tables = folder(), folder()
+    edge_flights.write.option("header", True).csv(csv)
+    with open(f"{csv}/more.csv", "w") as out:
+        out.write(",".join(reversed(FLIGHT_SCHEMA.fieldNames())) + "\nnot a flight\n")
+    for _ in range(2):
+        batch.main(["--input", csv, "--output", tables])
+        assert rows(spark.read.text(f"{published_root(spark, tables)}/rejects")) == [("not a flight",)]
+    assert rows(read_table(spark, "results11", tables)) == rows(plans.airport_popularity(edge_flights))

@@ -8,7 +8,7 @@ import pytest
 
 from conftest import plan_of
 from skyledger import plans
-from skyledger.operators import TwoLegBounds, bounded_legs, day_range, pair_legs, popularity
+from skyledger.operators import TwoLegBounds, TwoLegSets, bounded_legs, day_range, pair_legs, popularity
 from skyledger.plans.summary import flight_summary
 from skyledger.queries import BOUNDS
 from skyledger.schema import FLIGHT_SCHEMA
@@ -195,3 +195,44 @@ def test_a_hub_with_a_third_of_the_legs_is_split(spark):
         pairs = pair_legs(first, second)
         assert len(pairs.collect()) == sum(n * departures[key] for key, n in arrivals.items())
         assert "SortMergeJoin(skew=true)" in plan_of(pairs).split("Initial Plan")[0]
+
+
+def test_sets_as_tables_reach_the_scan(spark, folder):
+    """With broadcasts off, members of the sets filter the one scan of the flights by bloom filters, days by their ends."""
+    named = [r for r in FLIGHTS if r[5] is not None]
+    flights = read_flights(spark, write_flights(spark.createDataFrame(named, FLIGHT_SCHEMA), folder()))
+    roles, days = folder(), folder()
+    spark.createDataFrame(
+        [(a, r) for a in ("AAA", "BBB") for r in "xyz"] + [("CCC", "z")] * 2, "airport string, role string").write.parquet(roles)
+    first = sorted({r[2] for r in named})[:3]
+    spark.createDataFrame([(d,) for d in first] * 2, "day date").write.parquet(days)
+    sets = TwoLegSets(spark.read.parquet(roles), spark.read.parquet(days), 2008)
+    with session_conf(
+            spark, spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__maxMetadataStringLength=5000,
+            spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold=0):
+        answer = plans.two_leg_by_tables(flights, sets)
+        plan = plan_of(answer)
+        got = answer.collect()
+    # The filter right over the scan.
+    filters = re.findall(r"Filter [^\n]*atleastnnonnulls[^\n]*", plan)
+    assert filters and all(f.count("might_contain(") >= 2 for f in filters)
+    assert all("FlightDate" in f and ".low" in f and ".high" in f for f in filters)
+    with session_conf(
+            spark, spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__enabled="false",
+            spark__sql__optimizer__runtime__bloomFilter__enabled="false"):
+        assert _scans(plans.two_leg_by_tables(flights, sets), "CRSDepTime") == 1
+    plain = plans.two_leg_bounded(flights, TwoLegBounds(["AAA", "BBB"], ["AAA", "BBB"], ["AAA", "BBB", "CCC"], first, 2008))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, plain.collect())) and got
+
+
+def test_empty_sets_give_no_trips(spark, folder):
+    flights = spark.createDataFrame(FLIGHTS, FLIGHT_SCHEMA)
+    for roles, days in (([], [(datetime.date(2008, 2, 27),)]), ([("AAA", "x"), ("BBB", "y"), (None, "z")], [])):
+        sets = TwoLegSets(
+            spark.createDataFrame(roles, "airport string, role string"), spark.createDataFrame(days, "day date"), 2008)
+        assert plans.two_leg_by_tables(flights, sets).collect() == []
+
+
+def test_exact_sums_stay_in_generated_code(flights):
+    plan = plan_of(plans.route_mean_arr_delay(flights))
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
