@@ -279,9 +279,11 @@ def rank_documents(
     asked = asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
     numbers = staged(
         asked.select("term").distinct().withColumn("term_no", F.monotonically_increasing_id()), "search-terms")
-    wanted = asked.select("block", "term").distinct().join(numbers, "term").unionByName(
+    # Written, so that Spark knows its size: a small one is broadcast, and no text's terms are shuffled for it.
+    wanted = staged(asked.select("block", "term").distinct().join(numbers, "term").unionByName(
         spark.range(blocks).select(
-            F.col("id").cast("int").alias("block"), F.lit("").alias("term"), F.lit(LENGTH).cast("long").alias("term_no")))
+            F.col("id").cast("int").alias("block"), F.lit("").alias("term"), F.lit(LENGTH).cast("long").alias("term_no"))),
+        "search-wanted")
     postings = staged(term_rows(docs, doc_key).join(wanted, "term").select(
         "block", "row", "term_no", "tf", F.when(F.col("term_no") == LENGTH, F.col("id")).alias("id")), "search-postings")
 
