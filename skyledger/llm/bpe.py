@@ -6,7 +6,9 @@ adjacent parts; the smallest rank is found by scanning, its boundary deleted, an
 the two neighbouring ranks refreshed. Words beyond ``SHORT`` symbols use a heap
 of ranks over linked parts instead, so that a text without spaces stays far from
 quadratic time. Both give the same ids. Distinct words are remembered per worker
-process, up to ``REMEMBERED``; then the memory starts afresh.
+process, in two generations of ``REMEMBERED``: when the younger is full it takes the
+place of the older, so words that come again are kept. Decoding looks up the tokens'
+strings of a whole batch at once.
 
 The vocabulary file is read on the driver and sent to the tasks (a few MB, its
 size does not depend on the data). Null texts are empty: no ids, empty decoded
@@ -17,25 +19,28 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.llm.common import steps, texts_of
 
 SHORT = 64
-REMEMBERED = 100_000
+REMEMBERED = 250_000
 SHIFT = 24
 LOWER = (1 << SHIFT) - 1
 NO_RANK = 1 << 62
-SPACE = regex.compile(r"\p{White_Space}+")
-#: How the vocabulary's splitter tells words.
+#: How the vocabulary's splitter tells words. No word holds white space, so its kinds need not be told apart.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
+#: The same for a text of ASCII characters alone.
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\t-\r A-Za-z0-9]+")
 
 
 def byte_letters() -> list[str]:
@@ -59,11 +64,16 @@ class WordTokens:
         self.tokens = [""] * (1 + max(named.values()))
         for token, i in named.items():
             self.tokens[i] = token
+        self.strings = pa.array(self.tokens, pa.string())
+
+    def decode_all(self, ids: Sequence[bytes]) -> pa.Array:
+        """For each ids the tokens' strings with a space between; special tokens are not skipped."""
+        ends = np.cumsum([0, *(len(i) // 4 for i in ids)])
+        tokens = self.strings.take(pa.array(np.frombuffer(b"".join(ids), dtype="<u4")))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens), " ")
 
     def decode(self, ids: bytes) -> str:
-        """The tokens' strings with a space between; special tokens are not skipped."""
-        tokens = self.tokens
-        return " ".join([tokens[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+        return self.decode_all([ids])[0].as_py()
 
 
 class WordBpe(WordTokens):
@@ -85,23 +95,23 @@ class WordBpe(WordTokens):
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[self.vocab[left] << SHIFT | self.vocab[right]] = rank << SHIFT | self.vocab[left + right]
+        # The four bytes of each id.
+        self.packed = [i.to_bytes(4, "little") for i in range(len(self.tokens))]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge_short(self, parts: list[int]) -> list[int]:
         """The contiguous rank array."""
         find = self.merges.get
         ranks = [find(a << SHIFT | b, NO_RANK) for a, b in zip(parts, parts[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == NO_RANK:
-                break
+        while ranks and (best := min(ranks)) != NO_RANK:
             i = ranks.index(best)
-            parts[i] = best & LOWER
+            parts[i] = merged = best & LOWER
             del parts[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = find(parts[i - 1] << SHIFT | parts[i], NO_RANK)
+                ranks[i - 1] = find(parts[i - 1] << SHIFT | merged, NO_RANK)
             if i < len(ranks):
-                ranks[i] = find(parts[i] << SHIFT | parts[i + 1], NO_RANK)
+                ranks[i] = find(merged << SHIFT | parts[i + 1], NO_RANK)
         return parts
 
     def merge_long(self, parts: list[int]) -> list[int]:
@@ -136,10 +146,16 @@ class WordBpe(WordTokens):
         parts = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
         parts = [p for p in parts if p is not None]
         ids = self.merge_short(parts) if len(parts) <= SHORT else self.merge_long(parts)
-        packed = np.array(ids, dtype="<u4").tobytes()
-        if len(raw) <= SHORT:
+        return b"".join([self.packed[i] for i in ids])
+
+    def recall(self, word: str) -> bytes:
+        """The ids of a word that the younger generation does not have."""
+        packed = self.older.get(word)
+        if packed is None:
+            packed = self.encode_word(word)
+        if len(word) <= SHORT:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[word] = packed
         return packed
 
@@ -148,11 +164,13 @@ class WordBpe(WordTokens):
         out: list[bytes] = []
         for part in self.cut.split(text) if self.cut else (text,):
             if part in self.special:
-                out.append(np.uint32(self.special[part]).astype("<u4").tobytes())
+                out.append(self.packed[self.special[part]])
             elif part:
-                known = self.known.get
-                norm = lower_each(SPACE.sub(" ", unicodedata.normalize("NFC", part)))
-                out += [known(w) or self.encode_word(w) for w in PIECES.findall(norm)]
+                if part.isascii():
+                    words = ASCII_PIECES.findall(part.lower())
+                else:
+                    words = PIECES.findall(lower_each(unicodedata.normalize("NFC", part)))
+                out += [self.known.get(w) or self.recall(w) for w in words]
         return b"".join(out)
 
 
@@ -204,9 +222,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _of(shared, WordTokens)
         for step in steps(batches, "ids"):
-            texts = [tokens.decode(i or b"") for i in step.column("ids").to_pylist()]
+            texts = tokens.decode_all([i or b"" for i in step.column("ids").to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [step.column(c) for c in ("doc_id", "n_tokens", "ids")] + [pa.array(texts, pa.string())],
+                [step.column(c) for c in ("doc_id", "n_tokens", "ids")] + [texts.cast(pa.string())],
                 ["doc_id", "n_tokens", "ids", "decoded"])
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
@@ -222,7 +240,7 @@ def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
             ids = [bpe.encode(t) for t in texts_of(step.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [step.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()),
-                 pa.array([bpe.decode(i) for i in ids], pa.string())],
+                 bpe.decode_all(ids).cast(pa.string())],
                 ["doc_id", "n_tokens", "ids", "decoded"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
