@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,21 +25,30 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a written table in the shared folder: lineage ends here, and lost executors cost nothing."""
-    path = new_dir(df.sparkSession, label)
+def staged(df: DataFrame, label: str, within: str | None = None) -> DataFrame:
+    """The rows as a written table in the shared folder: lineage ends here, and lost executors cost nothing.
+
+    ``within`` is a folder that its owner deletes when all that reads the table is written.
+    """
+    path = f"{within}/{label}-{uuid.uuid4().hex}" if within else new_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(docs: DataFrame, label: str) -> DataFrame:
-    """``row``, a number for each row, and ``doc``, all its columns, as a written table.
+def decided_rows(docs: DataFrame, keys: dict[str, Column], decided: DataFrame) -> DataFrame:
+    """``doc``, all columns of a row, beside the columns of ``decided`` for its key; rows without a decision go.
 
-    The numbers are stored, because two scans of one table need not number its rows alike:
-    file splits follow the cores that are registered when a scan is planned.
+    ``keys`` say how a row gives the columns it is looked up by; no row numbers are needed, for two scans of
+    one table give the same keys. ``decided`` is a written table with one row per key, narrow, so that Spark
+    broadcasts a small one and no text is shuffled. Where it has ``times`` above 1, so many rows share
+    the key, and one of them stands for all.
     """
-    return staged(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), label)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *[c.alias(k) for k, c in keys.items()])
+    same = reduce(lambda a, b: a & b, [packed[k].eqNullSafe(decided[k]) for k in keys])
+    joined = packed.join(decided, same).select("doc", *[decided[c] for c in decided.columns])
+    if not decided.where("times > 1").head(1):
+        return joined
+    return joined.where("times = 1").union(joined.where("times > 1").dropDuplicates(list(keys)))
 
 
 def lower_ascii(text: Column | str) -> Column:

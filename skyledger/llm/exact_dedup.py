@@ -18,11 +18,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skyledger.llm.common import lower_ascii, numbered, shuffle_partitions, staged
+from skyledger.llm.common import decided_rows, lower_ascii, shuffle_partitions, staged
 
-INDEX_SCHEMA = "digest BINARY, keep_id BIGINT, keep_row BIGINT, batch STRING"
+INDEX_SCHEMA = "digest BINARY, keep_id BIGINT, batch STRING"
 
 
 class DigestIndex:
@@ -41,31 +41,37 @@ class DigestIndex:
         (rows.repartition(self.buckets, "digest").write.mode("append").format("parquet")
          .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table))
 
-    def add(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    def add(
+        self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None, batch: str | None = None,
+    ) -> DataFrame:
         """Take a batch into the index; one decision per row of ``docs``.
 
+        ``batch`` names it. A batch that is added again under its name, because the run died after the
+        index had taken it, gets the same decisions: what the index holds under that name is its own.
+
         Columns: ``doc_id``, ``row`` (tells repeated rows apart), ``digest``,
         ``keep_id``, ``group_size`` (rows of this batch with the text), ``kept``.
         ``row`` names a column of stored, distinct numbers; without it rows are numbered here.
         """
-        batch = uuid.uuid4().hex
+        batch = batch or uuid.uuid4().hex
         rows = docs.select(
             F.col(doc_id).cast("long").alias("doc_id"),
             (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
-            F.unhex(F.sha2(lower_ascii(text), 256)).alias("digest"))
+            _digest(text).alias("digest"))
         rows = staged(rows, "digests")
         groups = rows.groupBy("digest").agg(
             F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size"))
         groups = staged(groups, "digest-groups")
         fresh = groups.hint("merge").join(self.rows().select("digest"), "digest", "left_anti")
         self._append(fresh.select(
-            "digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"),
-            F.lit(batch).alias("batch")))
+            "digest", F.col("best.doc_id").alias("keep_id"), F.lit(batch).alias("batch")))
         self.spark.catalog.refreshTable(self.table)
-        decided = staged(groups.select("digest", "group_size").join(self.rows(), "digest"), "digest-decided")
+        # The row that stays by the numbers of this scan; those of an earlier try may be others.
+        decided = staged(groups.select("digest", "group_size", F.col("best.row").alias("own_row")).join(
+            self.rows().select("digest", "keep_id", "batch"), "digest"), "digest-decided")
         return rows.join(decided, "digest").select(
             "doc_id", "row", "digest", "keep_id", "group_size",
-            ((F.col("batch") == batch) & (F.col("row") == F.col("keep_row"))).alias("kept"))
+            ((F.col("batch") == batch) & (F.col("row") == F.col("own_row"))).alias("kept"))
 
 
 def new_index(spark: SparkSession) -> DigestIndex:
@@ -73,13 +79,21 @@ def new_index(spark: SparkSession) -> DigestIndex:
     return DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
 
 
-def keep_first_copies(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _digest(text: str) -> Column:
+    return F.unhex(F.sha2(lower_ascii(text), 256))
+
+
+def keep_first_copies(
+    docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", text: str = "text", batch: str | None = None
+) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    The rows are numbered once and written with their numbers; what is decided and
-    what is kept are both read from there.
+    They are found again by doc_id and 64 bits of the digest; rows that share both are copies
+    of one another but for their other columns, and one of them stays.
     """
-    packed = numbered(docs, "exact-rows")
-    flat = packed.select("row", F.col(f"doc.`{doc_id}`").alias("doc_id"), F.col(f"doc.`{text}`").alias("text"))
-    kept = index.add(flat, row="row").where("kept").select("row")
-    return packed.join(kept, "row", "left_semi").select("doc.*")
+    short = F.xxhash64(_digest(text))
+    found = index.add(docs, doc_id, text, batch=batch).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    kept = found.groupBy("doc_id", "digest").agg(F.count("*").alias("times"), F.max("kept").alias("kept")).where("kept")
+    kept = staged(kept.select("doc_id", F.xxhash64("digest").alias("short"), "times"), "exact-kept")
+    keys = {"doc_id": F.col(f"`{doc_id}`").cast("long"), "short": short}
+    return decided_rows(docs, keys, kept).select("doc.*")

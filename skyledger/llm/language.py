@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skyledger.llm.common import joined_bytes, numbered, staged, steps
+from skyledger.llm.common import joined_bytes, staged, steps
 
 #: Folders of an address that name a language, where no model says which do.
 LANGUAGES = ("de", "en", "es", "fr")
@@ -96,7 +96,7 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang") -> Model:
 
 
 def text_evidence(rows: DataFrame, model: np.ndarray, carried: Sequence[str]) -> DataFrame:
-    """The ``carried`` columns with ``grams`` and ``evidence`` (log likelihoods, the best at 0) in place of ``text``."""
+    """The ``carried`` columns with ``grams`` and ``evidence`` (log likelihoods, the best at 0) in place of ``text``, unless it is one of them."""
     kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +114,7 @@ def text_evidence(rows: DataFrame, model: np.ndarray, carried: Sequence[str]) ->
             yield pa.RecordBatch.from_arrays(
                 [step.column(c) for c in carried] + [pa.array(np.diff(begin)), evidence], [*carried, "grams", "evidence"])
 
-    return rows.select(*carried, "text").mapInArrow(score, ", ".join([*kinds, "grams long", "evidence array<double>"]))
+    return rows.select(*dict.fromkeys([*carried, "text"])).mapInArrow(score, ", ".join([*kinds, "grams long", "evidence array<double>"]))
 
 
 def _softmax(scores: list[Column]) -> list[Column]:
@@ -133,16 +133,31 @@ def identify(
     declared: str | None = "declared", suffix: str | None = "suffix", host: str | None = "host", domain: str | None = "domain",
 ) -> DataFrame:
     """``row``, ``text_lang``, ``declared``, ``suffix``, ``host``, ``lang``, ``confidence``, ``rejected``."""
+    told = staged(_text_posteriors(rows, model, [row], text, declared, suffix, host, domain), "language-text")
+    return _fused(told, told, model).withColumnRenamed(row, "row").select(
+        "row", "text_lang", "declared", "suffix", "host", "lang", "confidence", "rejected")
+
+
+EVIDENCE = ("declared", "suffix", "host", "domain")
+
+
+def _text_posteriors(
+    rows: DataFrame, model: Model, carried: Sequence[str], text: str, declared: str | None, suffix: str | None,
+    host: str | None, domain: str | None,
+) -> DataFrame:
+    """The ``carried`` columns, the evidence beside the text, and what the text alone says."""
     known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c else F.lit("")
-    flat = rows.select(
-        F.col(row).alias("row"), known(declared).alias("declared"), known(suffix).alias("suffix"),
-        known(host).alias("host"), known(domain).alias("domain"), F.col(text).alias("text"))
-    told = text_evidence(flat, model.likelihood, ["row", "declared", "suffix", "host", "domain"])
+    flat = rows.select(*[F.col(c) for c in carried if c != "text"], known(declared).alias("declared"), known(suffix).alias("suffix"),
+                       known(host).alias("host"), known(domain).alias("domain"), F.col(text).alias("text"))
+    told = text_evidence(flat, model.likelihood, [*carried, *EVIDENCE])
+    scores = [F.get("evidence", i) for i in range(len(model.languages) + 1)]
+    return told.select("*", *[p.alias(f"p{i}") for i, p in enumerate(_softmax(scores))])
+
+
+def _fused(told: DataFrame, judged: DataFrame, model: Model) -> DataFrame:
+    """``judged`` with its language, from its own evidence and what is counted over ``told``; both as ``_text_posteriors`` gives them."""
     classes = (*model.languages, NONE)
     n = len(classes)
-    scores = [F.get("evidence", i) for i in range(n)]
-    told = staged(told.select("*", *[p.alias(f"p{i}") for i, p in enumerate(_softmax(scores))]), "language-text")
-
     totals = told.agg(F.count("*").alias("n"), *[F.sum(f"p{i}").alias(f"p{i}") for i in range(n)]).head()
     share = [((totals[f"p{i}"] or 0.0) + 1.0) / ((totals["n"] or 0) + n) for i in range(n)]
     mass = [(totals[f"p{i}"] or 0.0) + SMOOTHING for i in range(n)]
@@ -158,7 +173,7 @@ def identify(
         return _counted(told, [column], n, prefix).select(column, *[
             ((F.col(f"{prefix}{i}") + SMOOTHING * F.col(f"{prefix}n") / whole) / mass[i]).alias(f"{prefix}{i}") for i in range(n)])
 
-    fused = told.join(priors, ["domain", "host"]).join(
+    fused = judged.join(priors, ["domain", "host"]).join(
         staged(speaks("declared", "m"), "language-declared"), "declared").join(
         staged(speaks("suffix", "s"), "language-suffix"), "suffix")
     posterior = _softmax([
@@ -168,9 +183,10 @@ def identify(
     fused = fused.withColumn("posterior", F.array(*posterior))
     confidence = F.array_max("posterior")
     rejected = (F.col("grams") == 0) | (confidence < SURE) | (best(F.col("posterior")) == NONE)
+    given = [c for c in judged.columns if c not in ("grams", "evidence") and not c.startswith("p")]
     return fused.select(
-        "row", F.when(F.col("grams") > 0, best(F.array(*[F.col(f"p{i}") for i in range(n)]))).alias("text_lang"),
-        "declared", "suffix", "host", F.when(rejected, F.lit("und")).otherwise(best(F.col("posterior"))).alias("lang"),
+        *given, F.when(F.col("grams") > 0, best(F.array(*[F.col(f"p{i}") for i in range(n)]))).alias("text_lang"),
+        F.when(rejected, F.lit("und")).otherwise(best(F.col("posterior"))).alias("lang"),
         confidence.alias("confidence"), rejected.alias("rejected"))
 
 
@@ -191,11 +207,15 @@ def page_rows(pages: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFra
 def accepted(docs: DataFrame, text: str = "text", declared: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``docs`` whose language is found, with all their columns; the model comes from their own labels.
 
-    The rows are numbered once and written with their numbers; what is decided and
-    what is kept are both read from there.
+    Texts are scored twice: for the counts, and again when the rows are judged, with all their columns
+    beside them. So nothing has to be looked up by row, and no text is shuffled or copied.
     """
-    packed = numbered(docs, "language-rows")
-    flat = packed.select(
-        "row", F.col(f"doc.{text}").alias("text"), F.col(f"doc.{declared}").alias("declared"), F.col(f"doc.{source}").alias("host"))
-    found = identify(flat, train(flat, "text", "declared"), suffix=None, domain=None)
-    return packed.join(found.where("NOT rejected").select("row"), "row", "left_semi").select("doc.*")
+    rest = [c for c in docs.columns if c != text]
+    flat = docs.select(
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col(text).alias("text"),
+        F.col(declared).alias("declared"), F.col(source).alias("host"))
+    model = train(flat, "text", "declared")
+    evidence = ("text", "declared", None, "host", None)
+    told = staged(_text_posteriors(flat, model, [], *evidence), "language-text")
+    judged = _fused(told, _text_posteriors(flat, model, ["rest", "text"], *evidence), model).where("NOT rejected")
+    return judged.select(*[F.col("text").alias(c) if c == text else F.col(f"rest.`{c}`") for c in docs.columns])

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skyledger.llm.common import WORD, numbered, staged
+from skyledger.llm.common import WORD, decided_rows, staged
 
 BINS = 4096
 MAX_STEPS = 60
@@ -86,21 +86,23 @@ def balance(totals: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
         moved = F.col("lam") - F.when(off, F.greatest(F.lit(-LARGEST_STEP), F.least(F.lit(LARGEST_STEP), step))).otherwise(0.0)
         state = staged(sums.select("source", "target", moved.alias("lam"), off.alias("moving")), "mix-state")
         if not state.where("moving").head(1):
-            break
-    return state.select("source", "lam")
+            return state.select("source", "lam")
+    raise RuntimeError(f"the rates have not settled in {MAX_STEPS} steps")
 
 
 def mix(
     docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3,
-    doc_id: str = "doc_id", text: str = "text", source: str = "source", base: str | None = None, row: str | None = None,
+    doc_id: str = "doc_id", text: str = "text", source: str = "source", base: str | None = None, row: str | None = None, tag: Column | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: ``row``, ``doc_id``, ``source``, ``size``,
     ``source_size``, ``target``, ``rate``, ``copies`` (whole) and ``taken`` (words).
 
     ``base`` names a column of positive base rates; without it all are 1. ``row``
     names a column of stored, distinct numbers; without it rows are numbered here.
+    ``tag`` is handed on as it is.
     """
     rows = docs.select(
+        (tag if tag is not None else F.lit(None)).alias("tag"),
         (F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
         word_count(text).alias("size"),
         (F.col(base).cast("double") if base else F.lit(1.0)).alias("base"))
@@ -137,20 +139,24 @@ def mix(
     extra = F.when(F.col("whole") >= cap, F.lit(0)).otherwise(
         F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - before)))
     return placed.withColumn("extra", extra).select(
-        "row", "doc_id", "source", "size", "source_size", "target", "rate",
+        "row", "doc_id", "source", "size", "source_size", "target", "rate", "tag",
         (F.col("whole") + F.when(F.col("size") > 0, F.floor(F.col("extra") / F.col("size") + 0.5)).otherwise(0)).cast("long").alias("copies"),
         (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"))
 
 
-def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, **columns) -> DataFrame:
+def mixed_rows(
+    docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3,
+    doc_id: str = "doc_id", text: str = "text", source: str = "source", base: str | None = None,
+) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it has copies.
 
-    The rows are numbered once and written with their numbers; what is decided and
-    what is kept are both read from there.
+    Rows are found again by doc_id, source and 64 bits of their text; of rows that share all
+    three, one is given as often as they all have copies.
     """
-    packed = numbered(docs, "mix-docs")
-    named = {"doc_id": "doc_id", "text": "text", "source": "source"} | columns
-    flat = packed.select("row", *[F.col(f"doc.`{c}`").alias(k) for k, c in named.items() if c])
-    copies = mix(flat, weights, cap, base="base" if named.get("base") else None, row="row").where("copies > 0").select("row", "copies")
-    return (packed.join(copies, "row")
-            .select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("doc.*"))
+    col = lambda c: F.col(f"`{c}`")
+    tag = F.xxhash64(F.coalesce(col(text), F.lit("")), col(text).isNull(), *([col(base)] if base else []))
+    made = mix(docs, weights, cap, doc_id, text, source, base, tag=tag)
+    copies = staged(made.groupBy("doc_id", "source", "tag").agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("times")).where("copies > 0"), "mix-copies")
+    found = decided_rows(docs, {"doc_id": col(doc_id), "source": col(source), "tag": tag}, copies)
+    return found.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("doc.*")

@@ -38,11 +38,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from skyledger.llm.common import numbered, staged, steps
+from skyledger.llm.common import decided_rows, staged, steps
 from skyledger.llm.components import components
 from skyledger.llm.shingles import shingle_set, shingles
+from skyledger.session import scratch_dir
 
 WIDTH = 5
 COORDINATES = 64
@@ -61,17 +62,17 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = [t or b"" for t in step.column("text").cast(pa.binary()).to_pylist()]
         hashes, starts = shingles(data, WIDTH)
         some = np.flatnonzero(starts[1:] > starts[:-1])
-        least = np.zeros((len(data), COORDINATES), dtype=np.uint32)
+        least = np.zeros((len(data), COORDINATES), dtype=np.uint64)
         if len(some):
             for k in range(COORDINATES):
-                least[some, k] = np.minimum.reduceat((hashes ^ _XOR[k]) * _ODD[k], starts[some]) >> np.uint64(32)
+                least[some, k] = np.minimum.reduceat((hashes ^ _XOR[k]) * _ODD[k], starts[some])
         sizes, classes = [], []
         for a, b in zip(starts.tolist(), starts[1:].tolist()):
             distinct = np.unique(hashes[a:b])
             sizes.append(len(distinct))
             classes.append(xxhash.xxh3_128_digest(distinct.tobytes()) if b > a else None)
         signature = pa.ListArray.from_arrays(
-            pa.array(np.arange(len(data) + 1, dtype=np.int32) * COORDINATES), pa.array(least.view(np.int32).ravel()))
+            pa.array(np.arange(len(data) + 1, dtype=np.int32) * COORDINATES), pa.array(least.view(np.int64).ravel()))
         yield pa.RecordBatch.from_arrays(
             [step.column("doc_id"), step.column("text_hash"), pa.array(sizes, pa.int64()),
              pa.array(classes, pa.binary()), signature],
@@ -95,15 +96,15 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(a_ids, pa.binary()), pa.array(b_ids, pa.binary()), pa.array(linked)], ["a", "b", "linked"])
 
 
-def _compared(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _compared(pairs: DataFrame, classes: DataFrame, texts: DataFrame, work: str) -> DataFrame:
     """Pairs of classes (a, b) whose signatures agree often enough, with the exact answer."""
     sig = lambda n: classes.select(F.col("class").alias(n), F.col("signature").alias(f"sig_{n}"))
     text = lambda n: texts.select(F.col("class").alias(n), F.col("text").alias(f"text_{n}"))
     agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda same: same))
     close = pairs.join(sig("a"), "a").join(sig("b"), "b").where(agree >= MATCHES).select("a", "b")
-    close = staged(close, "near-close")
+    close = staged(close, "near-close", work)
     return staged(close.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(
-        _confirm, "a binary, b binary, linked boolean"), "near-compared")
+        _confirm, "a binary, b binary, linked boolean"), "near-compared", work)
 
 
 def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,96 +160,106 @@ def _linked_in_block(open_: pa.Table, block: pa.Table) -> pa.Table:
     return pa.table(out, schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
 
 
-def _across(met: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+def _across(met: DataFrame, roots: DataFrame, texts: DataFrame, work: str) -> DataFrame:
     """Links (a, b) between classes that meet in a posting but have different roots."""
     placed = staged(met.join(roots, met["class"] == roots["node"], "left").select(
-        "pair", "class", F.col("hub.class").alias("hub"), F.coalesce("root", "class").alias("root")), "near-placed")
+        "pair", "class", F.col("hub.class").alias("hub"), F.coalesce("root", "class").alias("root")), "near-placed", work)
     per_root = placed.groupBy("pair", "root").agg(F.count("*").alias("n"))
     largest = staged(per_root.groupBy("pair").agg(
         F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
-        .select("pair", F.col("most.root").alias("main")), "near-mixed")
-    meeting = staged(placed.join(largest, "pair"), "near-meeting")
+        .select("pair", F.col("most.root").alias("main")), "near-mixed", work)
+    meeting = staged(placed.join(largest, "pair"), "near-meeting", work)
     favourite = meeting.groupBy("class", "root", "hub").agg(F.count("*").alias("n")).groupBy("class", "root").agg(
         F.max(F.struct("n", "hub")).alias("best")).select("class", "root", F.col("best.hub").alias("hub"))
-    favourite = staged(favourite, "near-favourite")
-    counts = staged(favourite.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "near-parts")
+    favourite = staged(favourite, "near-favourite", work)
+    counts = staged(favourite.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "near-parts", work)
     blocks = favourite.join(counts, "hub").select(
         "class", "root", F.struct("hub", F.pmod(F.xxhash64("class"), F.col("parts")).alias("part")).alias("block"))
-    blocks = staged(blocks, "near-blocks")
+    blocks = staged(blocks, "near-blocks", work)
     wanted = meeting.join(blocks.select("class", "block"), "class").select("pair", "block").distinct()
-    wanted = staged(wanted, "near-wanted")
+    wanted = staged(wanted, "near-wanted", work)
     visits = staged(meeting.where(F.col("root") != F.col("main")).select("pair", "class", "root").join(wanted, "pair")
-                    .select("class", "root", "block").distinct(), "near-visits")
-    chunks = staged(visits.groupBy("block").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "near-chunks")
+                    .select("class", "root", "block").distinct(), "near-visits", work)
+    chunks = staged(visits.groupBy("block").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "near-chunks", work)
     sets = staged(texts.join(blocks.select("class"), "class").select("class", "text").mapInArrow(
-        _sets_of, "class binary, set binary"), "near-sets")
+        _sets_of, "class binary, set binary"), "near-sets", work)
     left = visits.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks"))).join(sets, "class")
     right = blocks.join(chunks, "block").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).join(sets, "class")
     fields = ("block", "chunk", "class", "root", "set")
-    left, right = staged(left.select(*fields), "near-left"), staged(right.select(*fields), "near-right")
+    left, right = staged(left.select(*fields), "near-left", work), staged(right.select(*fields), "near-right", work)
     return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(
         _linked_in_block, "a binary, b binary")
 
 
+def _text_hash(text: str) -> Column:
+    """64 bits that two scans of a table agree in."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The documents and the links.
 
-    Documents, one row per row of ``docs``: ``row``, ``doc_id``, ``n_shingles``,
+    Documents, one row per row of ``docs``: ``doc_id``, ``text_hash``, ``n_shingles``,
     ``class`` (null: empty set), ``component`` (its least class), ``component_id``.
     Links: pairs of classes (a, b) with similar sets that were confirmed.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.alias("text"))
+    keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _text_hash(text).alias("text_hash"), whole.alias("text"))
     signed = staged(keyed.mapInArrow(
-        _signatures, "doc_id long, text_hash long, n_shingles long, class binary, signature array<int>"), "near-signed")
-    classes = staged(signed.where("class IS NOT NULL").groupBy("class").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k"),
-        F.first("n_shingles").alias("n"), F.first("signature").alias("signature")
-    ).select("class", "k.doc_id", "k.text_hash", "n", "signature"), "near-classes")
-
-    # One number per (coordinate, value) pair; Spark's long holds both halves.
-    posted = classes.select("class", "n", F.posexplode("signature").alias("k", "value")).select(
-        "class", "n", (F.shiftleft(F.col("k").cast("long"), 32) + F.col("value").bitwiseAND(F.lit(0xFFFFFFFF))).alias("pair"))
-    shared = staged(posted.groupBy("pair").agg(F.count("*").alias("times")).where("times > 1"), "near-shared")
-    ranked = F.array_sort(F.collect_list(F.struct("times", "pair")))
-    prefix = posted.join(shared, "pair").groupBy("class").agg(F.first("n").alias("n"), ranked.alias("pairs")).where(
-        F.size("pairs") >= MATCHES)
-    postings = staged(prefix.select(
-        "class", "n", F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("p")
-    ).select("class", "n", "p.pair"), "near-postings")
-
-    members = staged(postings.select("class").distinct().join(classes, "class"), "near-members")
-    m, d = members.alias("m"), keyed.alias("d")
-    texts = staged(d.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_hash") == F.col("m.text_hash")))
-                   .select("m.class", "d.text").dropDuplicates(["class"]), "near-texts")
-
-    told = texts.mapInArrow(_shingles_of, "class binary, shingle long")
-    common = staged(told.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1"), "near-common")
-    support = staged(told.join(common, "shingle").groupBy("class").agg(
-        F.count("*").alias("shared"), F.sum(F.log("times")).alias("weight")), "near-support")
-    postings = staged(postings.join(support, "class").where(100 * F.col("shared") >= PERCENT * F.col("n")), "near-supported")
-
-    hubs = staged(postings.groupBy("pair").agg(
-        F.max(F.struct((F.col("weight") / F.col("n")).alias("share"), "class", "n", "shared")).alias("hub"),
-        F.min("n").alias("least_n"), F.count("*").alias("times")).where("times > 1"), "near-hubs")
-    met = staged(postings.join(hubs, "pair").where(_reaches(F.col("shared"), F.col("n") + F.col("least_n"))).select(
-        "pair", "class", "n", "shared", "hub"), "near-met")
-    stars = met.alias("x").where(F.col("class") != F.col("hub.class")).where(_comparable("x", "hub")).select(
-        F.col("class").alias("a"), F.col("hub.class").alias("b")).distinct()
-    compared = _compared(stars, members, texts)
-    links = compared.where("linked").select("a", "b")
-    roots = staged(components(links.toDF("u", "v")), "near-roots")
-
-    links = staged(links.union(_across(met, roots, texts)).distinct(), "near-links")
-    roots = staged(components(links.toDF("u", "v")), "near-roots")
-
-    rooted = classes.join(roots, classes["class"] == roots["node"], "left").select(
-        "class", "doc_id", F.coalesce("root", "class").alias("component"))
-    names = rooted.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = staged(rooted.select("class", "component").join(staged(names, "near-names"), "component"), "near-named")
-    rows = signed.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_shingles", "class")
+        _signatures, "doc_id long, text_hash long, n_shingles long, class binary, signature array<long>"), "near-signed")
+    # All tables but three are deleted at the end: copies of texts among them.
+    with scratch_dir(docs.sparkSession, "near") as work:
+        classes = staged(signed.where("class IS NOT NULL").groupBy("class").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k"),
+            F.first("n_shingles").alias("n"), F.first("signature").alias("signature")
+        ).select("class", "k.doc_id", "k.text_hash", "n", "signature"), "near-classes", work)
+
+        # One number per (coordinate, value) pair. Minima are small numbers, so all their 64 bits are hashed:
+        # unrelated classes then share no pairs by chance, however many there are.
+        posted = classes.select("class", "n", F.posexplode("signature").alias("k", "value")).select(
+            "class", "n", F.xxhash64("k", "value").alias("pair"))
+        shared = staged(posted.groupBy("pair").agg(F.count("*").alias("times")).where("times > 1"), "near-shared", work)
+        ranked = F.array_sort(F.collect_list(F.struct("times", "pair")))
+        prefix = posted.join(shared, "pair").groupBy("class").agg(F.first("n").alias("n"), ranked.alias("pairs")).where(
+            F.size("pairs") >= MATCHES)
+        postings = staged(prefix.select(
+            "class", "n", F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("p")
+        ).select("class", "n", "p.pair"), "near-postings", work)
+
+        members = staged(postings.select("class").distinct().join(classes, "class"), "near-members", work)
+        # Narrow, so that Spark can broadcast a small one instead of shuffling all texts.
+        wanted = staged(members.select("class", "doc_id", "text_hash"), "near-ids", work)
+        m, d = wanted.alias("m"), keyed.alias("d")
+        texts = staged(d.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_hash") == F.col("m.text_hash")))
+                       .select("m.class", "d.text").dropDuplicates(["class"]), "near-texts", work)
+
+        told = texts.mapInArrow(_shingles_of, "class binary, shingle long")
+        common = staged(told.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1"), "near-common", work)
+        support = staged(told.join(common, "shingle").groupBy("class").agg(
+            F.count("*").alias("shared"), F.sum(F.log("times")).alias("weight")), "near-support", work)
+        postings = staged(postings.join(support, "class").where(100 * F.col("shared") >= PERCENT * F.col("n")), "near-supported", work)
+
+        hubs = staged(postings.groupBy("pair").agg(
+            F.max(F.struct((F.col("weight") / F.col("n")).alias("share"), "class", "n", "shared")).alias("hub"),
+            F.min("n").alias("least_n"), F.count("*").alias("times")).where("times > 1"), "near-hubs", work)
+        met = staged(postings.join(hubs, "pair").where(_reaches(F.col("shared"), F.col("n") + F.col("least_n"))).select(
+            "pair", "class", "n", "shared", "hub"), "near-met", work)
+        stars = met.alias("x").where(F.col("class") != F.col("hub.class")).where(_comparable("x", "hub")).select(
+            F.col("class").alias("a"), F.col("hub.class").alias("b")).distinct()
+        compared = _compared(stars, members, texts, work)
+        links = compared.where("linked").select("a", "b")
+        roots = staged(components(links.toDF("u", "v"), work), "near-roots", work)
+
+        links = staged(links.union(_across(met, roots, texts, work)).distinct(), "near-links")
+        roots = staged(components(links.toDF("u", "v"), work), "near-roots", work)
+
+        rooted = classes.join(roots, classes["class"] == roots["node"], "left").select(
+            "class", "doc_id", F.coalesce("root", "class").alias("component"))
+        names = rooted.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        named = staged(rooted.select("class", "component").join(staged(names, "near-names", work), "component"), "near-named")
+    rows = signed.select("doc_id", "text_hash", "n_shingles", "class")
     return rows.join(named, "class", "left").select(
-        "row", "doc_id", "n_shingles", "class", "component",
+        "doc_id", "text_hash", "n_shingles", "class", "component",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")), links
 
 
@@ -256,15 +267,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The rows of ``docs`` without near-duplicates: of each component the row with
     the least doc_id (nulls last) stays, and of rows that tie, one.
 
-    The rows are numbered once and written with their numbers; what is decided and
-    what is kept are both read from there.
+    They are found again by doc_id and 64 bits of their text; rows that share both are copies
+    of one another but for their other columns.
     """
-    packed = numbered(docs, "near-rows")
-    # The row number travels as doc_id, so that rows with one id stay apart.
-    flat = packed.select(F.col("row").alias("doc_id"), F.col(f"doc.{text}").alias("text"))
-    found, _ = near_duplicates(flat)
-    ids = packed.select("row", F.col(f"doc.{doc_id}").alias("id"))
-    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("best")
-    found = staged(found.select(F.col("doc_id").alias("row"), F.coalesce("component_id", "doc_id").alias("component")).join(ids, "row"), "near-found")
-    kept = found.groupBy("component").agg(best).select("best.row")
-    return packed.join(kept, "row", "left_semi").select("doc.*")
+    found, _ = near_duplicates(docs, doc_id, text)
+    found = staged(found.select("doc_id", "text_hash", "component"), "near-found")
+    # A row without words is no copy of another, so it is not one of several.
+    alone = found.where("component IS NULL").select("doc_id", "text_hash").distinct().withColumn("times", F.lit(1).cast("long"))
+    rows = found.where("component IS NOT NULL").groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("times"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "times")).alias("best")
+    kept = staged(rows.groupBy("component").agg(best).select("best.doc_id", "best.text_hash", "best.times").union(alone), "near-kept")
+    return decided_rows(docs, {"doc_id": F.col(f"`{doc_id}`").cast("long"), "text_hash": _text_hash(text)}, kept).select("doc.*")
