@@ -227,8 +227,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         ).select("class", "n", "p.pair"), "near-postings", work)
 
         members = staged(postings.select("class").distinct().join(classes, "class"), "near-members", work)
-        # Narrow, so that Spark can broadcast a small one instead of shuffling all texts.
-        wanted = staged(members.select("class", "doc_id", "text_hash"), "near-ids", work)
+        # Ids grow with the table, so they are merged with the texts, at every size alike.
+        wanted = staged(members.select("class", "doc_id", "text_hash"), "near-ids", work).hint("merge")
         m, d = wanted.alias("m"), keyed.alias("d")
         texts = staged(d.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_hash") == F.col("m.text_hash")))
                        .select("m.class", "d.text").dropDuplicates(["class"]), "near-texts", work)
