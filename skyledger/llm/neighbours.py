@@ -9,8 +9,8 @@ factors prune more. Shards' answers are merged by grouped ranking. Shards and
 query blocks are sized by count, whatever the size of the table.
 
 Vectors that are null, zero, or hold null or non-finite components take no part.
-Of equal vectors only the ``k + 1`` with the smallest ids can be in an answer, so
-the others are not indexed (they still ask). Equal scores rank by smaller id. A
+Of equal vectors only those with the ``k + 1`` smallest ids can be in an answer, and of
+one id ``k`` rows, so the others are not indexed (they still ask). Equal scores rank by smaller id. A
 repeated id is a row of its own, but no row with the query's id is its neighbour.
 Null ids take no part.
 """
@@ -107,8 +107,9 @@ def nearest(
 ) -> DataFrame:
     """For each row whose id is divisible by ``every``: ``query_id``, ``rank``, ``vec_id``, ``score`` (cosine)."""
     good = staged(usable(rows, vec_id, vector), "vectors")
-    among = Window.partitionBy("vec").orderBy("id")
-    indexed = staged(good.withColumn("n", F.row_number().over(among)).where(F.col("n") <= k + 1).select("id", "vec"), "vectors-indexed")
+    among, copies = Window.partitionBy("vec").orderBy("id"), Window.partitionBy("vec", "id").orderBy(F.lit(0))
+    nearest_ids = good.withColumn("n", F.dense_rank().over(among)).where(F.col("n") <= k + 1)
+    indexed = staged(nearest_ids.withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k).select("id", "vec"), "vectors-indexed")
     queries = good.where(F.col("id") % every == 0).dropDuplicates(["id", "vec"])
     shards = max(1, -(-indexed.count() // SHARD))
     blocks = max(1, -(-queries.count() // BLOCK))

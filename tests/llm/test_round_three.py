@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from skyledger.llm import merkle, private_data, queries, ranked_search
+from skyledger.llm import exact_dedup, merkle, mixing, neighbours, private_data, queries, ranked_search
 
 WORDS = ["alpha", "Beta", "gamma", "délta", "eps", "zeta", "eta", "theta"]
 AWKWARD = [None, "", " \n\t", "one", "One\nline\n", "x" * 5000, "a,b;c--d", "é" * 300, "é1\x00b"]
@@ -355,3 +355,29 @@ def test_private_data_query_equals_the_plain_patterns(spark):
         assert row.base_sha256 == h(",".join(told))
         assert [row[f"n_{kind}"] for kind in private_data.KINDS] == [sum(s[0] == kind for s in base) for kind in private_data.KINDS]
         assert set(told) <= set(row.spans.split(",")) | {""}
+
+
+# --- earlier operators -----------------------------------------------------
+
+def test_neighbours_behind_many_rows_of_one_id(spark, folder):
+    rows = [(0, [1.0, 0.0])] * 10 + [(7, [1.0, 0.0]), (8, [1.0, 0.0]), (9, [1.0, 0.0]), (101, [0.5, 0.8])]
+    found = neighbours.nearest(stored(spark, folder, rows, "vec_id long, embedding array<double>"), 4).collect()
+    assert [(r["rank"], r["vec_id"]) for r in sorted(found, key=lambda r: r["rank"])] == [(1, 7), (2, 8), (3, 9), (4, 101)]
+
+
+def test_a_batch_added_again_under_its_name_keeps_its_rows(spark, folder):
+    docs = stored(spark, folder, [(1, "a"), (2, "A"), (3, "b"), (None, None), (4, "")], "doc_id long, text string")
+    index = exact_dedup.new_index(spark)
+    first, again = (sorted((r["doc_id"] or 0) for r in index.add(docs, batch="one").where("kept").collect()) for _ in range(2))
+    assert first == again == [2, 3, 4]
+    assert index.add(docs, batch="two").where("kept").collect() == []
+
+
+def test_repeated_rows_are_mixed_as_often_as_they_have_copies(spark, folder):
+    rows = [(1, "a b c", "s")] * 3 + [(2, "a b", "s"), (3, "x " * 9, "t"), (None, None, "t"), (None, None, "t")]
+    docs = stored(spark, folder, rows, "doc_id long, text string, source string")
+    made = Counter()
+    for r in mixing.mix(docs, (3, 1), 2).collect():
+        made[(r["doc_id"], r["source"])] += r["copies"]
+    got = Counter((r["doc_id"], r["source"]) for r in mixing.mixed_rows(docs, (3, 1), 2).collect())
+    assert got == Counter({k: v for k, v in made.items() if v})
