@@ -11,17 +11,21 @@ windows have equal anchors, and the suffixes there share at least ``LEAD`` bytes
    occurs again. Where all contexts of a lead agree, every window is repeated and
    no text moves at all.
 2. For the rest, each distinct context is sent once. Sampled splitters (Spark's
-   range partitioning) deal suffixes out by their leading ``LEAD`` bytes: any two
-   suffixes that can match have these in common, so no match crosses a boundary.
+   range partitioning) deal suffixes out by their leading bytes into buckets of about
+   ``BUCKET``; more contexts make more buckets. Ties are split, so a lead that stands
+   in a third of all rows is many buckets.
 3. A bucket sorts its suffixes by multikey quicksort (eight bytes are one
    character; a level sorts only what is still tied), and the reversed left
    contexts likewise. Common prefix lengths turn both orders into classes: two
    windows at distance d from their anchors are equal when their suffixes agree on
    ``WINDOW - d`` bytes and their left contexts on d. This is exact.
-4. A lead with more than ``MOST`` contexts does not go to a bucket. Its contexts are
-   cut into their windows (at most ``SPREAD`` each) and windows counted by a 128-bit
-   hash in a grouped sum, so what a passage has at its edges is dealt out however
-   often it stands. Equal windows have equal leads, so no bucket has to know of them.
+4. Any two suffixes that can match share ``LEAD`` bytes, so only leads that stand on
+   both sides of a boundary are left. Each bucket tells its first and last lead, and
+   contexts of those in several buckets are compared across boundaries by halving:
+   all windows at distances d to e share the bytes from d before the anchor to
+   ``WINDOW - e`` after it. What is alone with these is done; where the bytes
+   of all the windows occur again, they are all repeated; the rest is cut in two.
+   At a passage's edge that is two rows a level instead of one row a window.
 
 Texts are UTF-8 bytes; null and texts shorter than the window lose nothing. A
 repeated row is another occurrence of its text. Rows are told apart by doc_id
@@ -36,16 +40,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger.llm.common import joined_bytes, shuffle_partitions, staged, steps
+from skyledger.session import scratch_dir
 
 WINDOW = 200
 SPREAD = 128  # a power of two
 GRAM = 8
 LEAD = WINDOW - SPREAD + 1
 PIECE = 4 << 20
-MOST = 256  # contexts of one lead in a bucket
+BUCKET = 20_000  # contexts in a bucket, about
 
 ANCHOR_TYPE = "doc_id long, text_hash long, at long, left int, right int, lead long, whole long"
 
@@ -184,56 +190,97 @@ def repeated_extent(before: list[bytes], after: list[bytes], n: np.ndarray) -> t
 
 
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The repeats among a bucket's contexts, and (without ``whole``) its first and last lead."""
     held = [b for b in batches if b.num_rows]
     if not held:
         return
     bucket = pa.Table.from_batches(held).combine_chunks()
-    lo, hi = repeated_extent(
-        bucket.column("before").to_pylist(), bucket.column("after").to_pylist(), bucket.column("n").to_numpy())
+    after, number = bucket.column("after").to_pylist(), TaskContext.get().partitionId()
+    lo, hi = repeated_extent(bucket.column("before").to_pylist(), after, bucket.column("n").to_numpy())
     found = pa.array(hi > lo)
     table = pa.table({
-        "lead": bucket.column("lead"), "whole": bucket.column("whole"), "lo": pa.array(lo), "hi": pa.array(hi)})
+        "lead": bucket.column("lead"), "whole": bucket.column("whole"), "lo": pa.array(lo), "hi": pa.array(hi),
+        "bucket": pa.array(np.full(len(after), number, dtype=np.int32))})
     yield from table.filter(found).to_batches(max_chunksize=50_000)
+    ends = [pick(range(len(after)), key=after.__getitem__) for pick in (min, max)]
+    edges = table.take(ends)
+    yield from edges.set_column(1, "whole", pa.nulls(2, pa.int64())).to_batches()
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of each context: its hash in two halves, and how far before the anchor it starts."""
-    hash128 = xxhash.xxh3_128_digest
-    for batch in batches:
-        for off in range(0, batch.num_rows, 1000):
-            part = batch.slice(off, 1000)
-            before = part.column("before").to_pylist()
-            digests, counts = [], []
-            for left, right in zip(before, part.column("after").to_pylist()):
-                text = left + right
-                counts.append(len(text) - WINDOW + 1)
-                digests += [hash128(text[x:x + WINDOW]) for x in range(counts[-1])]
-            halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-            row = np.repeat(np.arange(part.num_rows), counts)
-            begin = np.repeat(np.cumsum(counts) - counts, counts)
-            lefts = np.array([len(b) for b in before])
-            take = pa.array(row)
+NODE_TYPE = "lead long, whole long, open boolean, low int, before binary, after binary, core binary, span binary"
+
+
+def _halves(width: int):
+    """Both halves, ``width`` distances each, of every row's distances from ``low`` on.
+
+    ``core`` is what all windows of a half have in common, ``span`` the bytes of all of them together,
+    null where the context has only some. Halves without any window of the context are left out.
+    """
+
+    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, low, core, span = [], [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("low", "before", "after"))
+            for k, (first, before, after) in enumerate(zip(*columns)):
+                most, least = len(before), WINDOW - len(after)
+                for d in (first, first + width):
+                    e = d + width - 1
+                    if d <= most and least <= e:
+                        row.append(k)
+                        low.append(d)
+                        core.append(before[most - d:] + after[:WINDOW - e])
+                        span.append(before[most - e:] + after[:WINDOW - d] if e <= most and least <= d else None)
+            take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*[part.column(c).take(take) for c in ("lead", "whole", "n")],
-                 pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1])),
-                 pa.array((lefts[row] - (np.arange(len(row)) - begin)).astype(np.int32))],
-                ["lead", "whole", "n", "w1", "w2", "d"])
+                [*[batch.column(c).take(take) for c in ("lead", "whole", "open")], pa.array(low, pa.int32()),
+                 *[batch.column(c).take(take) for c in ("before", "after")], pa.array(core, pa.binary()), pa.array(span, pa.binary())],
+                ["lead", "whole", "open", "low", "before", "after", "core", "span"])
 
+    return halves
 
-def split_leads(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Contexts for the buckets, and those of leads with more than ``MOST``."""
-    hot = staged(contexts.groupBy("lead").agg(F.count("*").alias("many")).where(F.col("many") > MOST).select("lead"), "repeat-hot")
-    return contexts.join(hot, "lead", "left_anti"), contexts.join(hot, "lead", "left_semi")
 
+def across_boundaries(contexts: DataFrame, within: str) -> list[DataFrame]:
+    """Repeats of distinct contexts, wherever they are: lead, whole, lo, hi; a context may come with several.
 
-def counted_extents(hot: DataFrame) -> DataFrame:
-    """What ``_bucket`` finds, by counting windows."""
-    windows = hot.select("lead", "whole", "n", "before", "after").mapInArrow(
-        _windows, "lead long, whole long, n long, w1 long, w2 long, d int")
-    again = staged(windows.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1").select("w1", "w2"), "repeat-windows")
-    # One row per window on the right, so that a join on a hot window can be split.
-    return windows.join(again, ["w1", "w2"]).groupBy("lead", "whole").agg(
-        (-F.max("d")).cast("long").alias("lo"), (WINDOW - F.min("d")).cast("long").alias("hi"))
+    A row is open while its own windows are in question. Of rows whose windows all occur again one stays, closed,
+    as long as open rows share its bytes, for these may share some of its windows.
+    """
+    found, width = [], SPREAD
+    own, half, whole_span = F.struct("lead", "whole"), ["low", "core"], ["low", "core", "span"]
+    rows = contexts.select("lead", "whole", (F.col("n") == 1).alias("open"), F.lit(0).alias("low"), "before", "after")
+    while width > 1:
+        width //= 2
+        nodes = staged(rows.mapInArrow(_halves(width), NODE_TYPE), "repeat-halves", within)
+        if not nodes.head(1):
+            break
+        groups = staged(nodes.groupBy(*whole_span).agg(
+            F.count("*").alias("times"), F.max("open").alias("open"), F.min(own).alias("first")), "repeat-groups", within)
+        again = groups.where("span IS NOT NULL AND times > 1").select(*whole_span, "first")
+        judged = staged(nodes.join(again, whole_span, "left"), "repeat-judged", within)
+        found.append(judged.where("open AND first IS NOT NULL").select(
+            "lead", "whole", (1 - width - F.col("low")).cast("long").alias("lo"), (WINDOW - F.col("low")).cast("long").alias("hi")))
+        asked = groups.groupBy(*half).agg(
+            F.sum("times").alias("times"), F.max(F.col("open") & (F.col("span").isNull() | (F.col("times") == 1))).alias("open"))
+        asked = asked.where("times > 1 AND open").select(*half)
+        rows = judged.where(F.col("first").isNull() | (F.col("first") == own)).join(asked, half, "left_semi").select(
+            "lead", "whole", (F.col("open") & F.col("first").isNull()).alias("open"), "low", "before", "after")
+    return found
+
+
+def repeated_extents(contexts: DataFrame) -> DataFrame:
+    """Per context with repeated windows what these cover, from the anchor: lead, whole, lo, hi."""
+    spark = contexts.sparkSession
+    buckets = max(shuffle_partitions(spark), -(-contexts.count() // BUCKET))
+    with scratch_dir(spark, "repeat-levels") as within:
+        local = staged(contexts.repartitionByRange(buckets, "after", "whole").mapInArrow(
+            _bucket, "lead long, whole long, lo long, hi long, bucket int"), "repeat-buckets", within)
+        split = staged(local.where("whole IS NULL").groupBy("lead").agg(
+            F.min("bucket").alias("a"), F.max("bucket").alias("z")).where("a < z").select("lead"), "repeat-split", within)
+        extents = local.where("whole IS NOT NULL").select("lead", "whole", "lo", "hi")
+        for found in across_boundaries(contexts.join(split, "lead", "left_semi"), within):
+            extents = extents.unionByName(found)
+        extents = extents.groupBy("lead", "whole").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        return staged(extents, "repeat-extents")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -285,11 +332,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     contexts = keyed.alias("d").join(wanted.alias("w"), _same("d", "w")).select("d.text", "w.wanted").mapInArrow(
         _contexts, "lead long, whole long, n long, before binary, after binary")
     contexts = staged(contexts, "repeat-contexts")
-    few, hot = split_leads(contexts)
-    extents = few.repartitionByRange(
-        shuffle_partitions(docs.sparkSession), F.substring("after", 1, LEAD)
-    ).mapInArrow(_bucket, "lead long, whole long, lo long, hi long").unionByName(counted_extents(hot))
-    extents = staged(extents, "repeat-extents")
+    extents = repeated_extents(contexts)
 
     place = lambda lo, hi: F.struct((F.col("at") + lo).alias("lo"), (F.col("at") + hi).alias("hi"))
     spans = again.where(~F.col("differ")).select("doc_id", "text_hash", place(-F.col("left"), F.col("right")).alias("s")).unionByName(

@@ -324,7 +324,7 @@ def test_stages_keep_the_rows_they_decided_on(spark, docs_of):
 
 
 def test_hot_leads_are_not_one_bucket(monkeypatch, docs_of):
-    monkeypatch.setattr(suffix_dedup, "MOST", 8, raising=False)
+    monkeypatch.setattr(suffix_dedup, "BUCKET", 8)
     r = random.Random(5)
     own = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
     passage, tails, heads = own(500), [own(60) for _ in range(7)], [own(90) for _ in range(7)]
@@ -332,10 +332,12 @@ def test_hot_leads_are_not_one_bucket(monkeypatch, docs_of):
     rows += [(100 + i, own(250) + passage[:230] + own(250)) for i in range(20)] + [(7, rows[7][1]), (None, rows[8][1])]
     docs, dealt = docs_of(rows), []
     whole = type(docs).repartitionByRange
-    monkeypatch.setattr(type(docs), "repartitionByRange", lambda self, *a: dealt.append(self) or whole(self, *a))
+    monkeypatch.setattr(type(docs), "repartitionByRange", lambda self, *a: dealt.append((self, whole(self, *a))) or dealt[-1][1])
     test_repeats(docs, rows)
-    assert len(dealt) == 1
-    assert all(f["count"] <= 8 for f in dealt[0].groupBy("lead").count().collect())
+    [(contexts, buckets)] = dealt
+    hot = max(f["count"] for f in contexts.groupBy("lead").count().collect())
+    most = max(f["count"] for f in buckets.groupBy(F.spark_partition_id()).count().collect())
+    assert most < 4 * 8 < hot
 
 
 def test_language_rejects_what_is_in_none(docs_of):
@@ -352,3 +354,18 @@ def test_language_rejects_what_is_in_none(docs_of):
     found = language.identify(docs, language.train(docs), row="doc_id", declared=None, suffix=None, host="source", domain=None)
     want = {k * 100 + i: l for k, l in enumerate(say) for i in range(40)} | {j[0]: "und" for j in junk}
     assert {f["row"]: f["lang"] for f in found.collect()} == want
+
+
+def test_repeat_across_a_piece_of_a_long_text(docs_of):
+    r = random.Random(11)
+    own = lambda n: "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage, border = own(460), suffix_dedup.PIECE
+    long, short = own(border - 230) + passage + own(5000), own(300) + passage + own(300)
+    found = {d["doc_id"]: d for d in suffix_dedup.remove_repeats(docs_of([(1, long), (2, short), (3, own(900))])).collect()}
+    at = {i: [(s["start"], s["stop"]) for s in found[i]["spans"]] for i in found}
+    for i, text, start in ((1, long, border - 230), (2, short, 300)):
+        lo = next(k for k in range(20) if long[border - 231 - k] != short[299 - k])
+        hi = next(k for k in range(20) if long[border + 230 + k] != short[760 + k])
+        assert at[i] == [(start - lo, start + 460 + hi)]
+        assert found[i]["kept"] == (text[:start - lo] + text[start + 460 + hi:]).encode()
+    assert at[3] == []
