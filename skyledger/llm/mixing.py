@@ -10,8 +10,10 @@ Rates become copies: every document gets the whole part of its rate, and the
 fractional parts are dealt out in order of a hash of doc_id over the fraction
 (sequential Poisson sampling) until the source's target is reached to the word;
 the one document at the border is taken in part. The order is cut into
-``BINS`` ranges of that key, so running totals are windows over bin totals and
-over the rows of one bin: no source, however large, is one task.
+``BINS`` ranges at the key's quantiles within the source, whatever the fractions, so
+running totals are windows over bin totals and over the rows of one bin: no source,
+however large, is one task. Where the cuts lie has no effect on the result; rows that share
+a doc_id and a rate share a bin.
 
 A null text has size 0; a null source is a source of its own, last in order. A
 null doc_id hashes as text "null". A source without words has target 0. Repeated
@@ -26,7 +28,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyledger.llm.common import WORD, decided_rows, staged
 
-BINS = 4096
+BINS = 256
+ACCURACY = 10_000  # of the quantiles: a bin is off by at most one row in so many
 MAX_STEPS = 60
 TOLERANCE = 1e-12
 LARGEST_STEP = 0.7
@@ -120,9 +123,12 @@ def mix(
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     uniform = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
     priority = uniform / (uniform + F.greatest(F.col("rate") - F.col("whole"), F.lit(1e-12)))
-    ordered = (
-        rated.withColumn("whole", whole).withColumn("priority", priority)
-        .withColumn("bin", F.floor(F.col("priority") * BINS)))
+    rated = rated.withColumn("whole", whole).withColumn("priority", priority)
+    cuts = staged(rated.groupBy("source").agg(
+        F.percentile_approx("priority", [i / BINS for i in range(1, BINS)], ACCURACY).alias("cuts")), "mix-cuts")
+    p, c = rated.alias("p"), cuts.alias("c")
+    ordered = p.join(c, F.col("p.source").eqNullSafe(F.col("c.source"))).select(
+        "p.*", F.size(F.filter("cuts", lambda cut: cut <= F.col("priority"))).alias("bin"))
     ordered = staged(ordered, "mix-rated")
     bins = ordered.groupBy("source", "bin").agg(
         F.sum("size").alias("bin_size"), F.sum(F.col("whole") * F.col("size")).alias("bin_whole"), F.first("target").alias("t"))

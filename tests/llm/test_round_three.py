@@ -381,3 +381,24 @@ def test_repeated_rows_are_mixed_as_often_as_they_have_copies(spark, folder):
         made[(r["doc_id"], r["source"])] += r["copies"]
     got = Counter((r["doc_id"], r["source"]) for r in mixing.mixed_rows(docs, (3, 1), 2).collect())
     assert got == Counter({k: v for k, v in made.items() if v})
+
+
+def test_small_and_whole_rates_are_dealt_evenly(spark, folder, monkeypatch):
+    """Neither a source of which little is taken nor one at its cap meets in a few bins, and the order is kept."""
+    rows = [(i, "a b", "big") for i in range(4000)] + [(10_000 + i, "a", "full") for i in range(1500)]
+    rows += [(20_000 + i, None, "none") for i in range(1500)]
+    docs = stored(spark, folder, rows, "doc_id long, text string, source string")
+    tables, written = {}, mixing.staged
+    monkeypatch.setattr(mixing, "staged", lambda df, label, *a: tables.update({label: written(df, label, *a)}) or tables[label])
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix(docs, (1, 2000, 1), 3).collect()}
+    sizes = tables["mix-rated"].groupBy("source", "bin").count().collect()
+    assert Counter(r["source"] for r in sizes) == dict.fromkeys(("big", "full", "none"), mixing.BINS)
+    whole = {"big": 4000, "full": 1500, "none": 1500}
+    assert all(r["count"] <= 2 + 2 * whole[r["source"]] / mixing.BINS for r in sizes)
+    assert {taken[i] for i, _, s in rows if s == "full"} == {3} and {taken[i] for i, _, s in rows if s == "none"} == {0}
+    rated = sorted((r["priority"], r["doc_id"], r["whole"], r["target"]) for r in tables["mix-rated"].where("source = 'big'").collect())
+    left = round(rated[0][3]) - sum(2 * int(w) for _, _, w, _ in rated)
+    for _, doc, base, _ in rated:
+        more = max(0, min(2, left))
+        left -= more
+        assert taken[doc] == 2 * base + more
