@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from skyledger.llm import exact_dedup, merkle, mixing, neighbours, private_data, queries, ranked_search
+from skyledger.llm import exact_dedup, language, merkle, mixing, neighbours, private_data, queries, ranked_search
 
 WORDS = ["alpha", "Beta", "gamma", "délta", "eps", "zeta", "eta", "theta"]
 AWKWARD = [None, "", " \n\t", "one", "One\nline\n", "x" * 5000, "a,b;c--d", "é" * 300, "é1\x00b"]
@@ -402,3 +402,78 @@ def test_small_and_whole_rates_are_dealt_evenly(spark, folder, monkeypatch):
         more = max(0, min(2, left))
         left -= more
         assert taken[doc] == 2 * base + more
+
+
+# --- language evidence -----------------------------------------------------
+
+
+def plain_buckets(text):
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    codes = [low[i] | low[i + 1] << 8 | low[i + 2] << 16 for i in range(len(low) - 2)]
+    return [(c * 0x9E3779B1 & 0xFFFFFFFF) >> 19 for c in codes]
+
+
+def plain_softmax(scores):
+    powers = [math.exp(s) for s in scores]
+    return [p / sum(powers) for p in powers]
+
+
+def plain_languages(labelled, rows):
+    """Per row the posterior of every class, the last being none."""
+    names = sorted({lab for _, lab in labelled if lab not in (None, "", "und")})
+    counts = {lab: Counter(b for t, own in labelled if own == lab for b in plain_buckets(t)) for lab in names}
+    size = language.BUCKETS
+    likely = [[0.95 * counts[x][b] / max(1, counts[x].total()) + 0.05 / size for b in range(size)] for x in names]
+    likely.append([0.1 * sum(c) / len(names) + 0.9 / size for c in zip(*likely)])
+    n, told = len(likely), []
+    for _, text, *evidence in rows:
+        sums = [sum(math.log(c[b]) for b in plain_buckets(text)) for c in likely]
+        weighed = [0.3 * (s - max(sums)) for s in sums]
+        told.append((weighed, plain_softmax(weighed), [e or "" for e in evidence]))
+    sums_of = lambda key: {k: [sum(p[i] for _, p, e in told if key(e) == k) for i in range(n)] for k in {key(e) for _, _, e in told}}
+    rows_of = lambda key: Counter(key(e) for _, _, e in told)
+    total = sums_of(lambda e: 0)[0]
+    share = [(t + 1) / (len(rows) + n) for t in total]
+    keys = [lambda e: e[0], lambda e: e[1], lambda e: (e[3], e[2]), lambda e: e[3]]
+    (declared, suffix, host, domain), amounts = [sums_of(k) for k in keys], [rows_of(k) for k in keys]
+    out = []
+    for weighed, _, e in told:
+        d, s, h, z = (k(e) for k in keys)
+        scores = []
+        for i in range(n):
+            above = (domain[z][i] + 20 * share[i]) / (amounts[3][z] + 20)
+            prior = (host[h][i] + 20 * above) / (amounts[2][h] + 20)
+            speaks = [(sums[v][i] + 20 * amount[v] / len(rows)) / (total[i] + 20)
+                      for sums, v, amount in ((declared, d, amounts[0]), (suffix, s, amounts[1]))]
+            scores.append(math.log(prior) + math.log(speaks[0]) + math.log(speaks[1]) + weighed[i])
+        out.append(plain_softmax(scores))
+    return names, out
+
+
+def test_language_evidence_is_fused_as_by_hand(spark, folder):
+    r = random.Random(3)
+    say = {"aa": ["mora", "tiel", "vask"], "bb": ["ouin", "lere", "chau"], "cc": ["mora", "lere", "zwt"]}
+    talk = lambda x, k: " ".join(r.choice(say[x]) for _ in range(k))
+    labelled = [(talk(x, 30), x) for x in say for _ in range(4)]
+    labelled += [("mora", "und"), ("lere", ""), ("tiel", None), (None, "aa"), ("same words", "aa"), ("same words", "bb")]
+    rows = [(talk(x, r.randint(1, 6)), r.choice([x, "aa", None]), r.choice([x, "com", ""]), f"{r.choice('pq')}.{x}.org", f"{x}.org")
+            for x in say for _ in range(15)]
+    rows += [(t, None, "com", "p.aa.org", "aa.org") for t in (None, "", "ab", "same words", "MORA Tiel", "日本語の文", "0x7f " * 900)]
+    rows += [rows[0], rows[0], ("mora lere", None, None, None, None)]
+    rows = [(i, *row) for i, row in enumerate(rows)]
+    docs = stored(spark, folder, labelled, "text string, lang string")
+    pages = stored(spark, folder, rows, "row long, text string, declared string, suffix string, host string, domain string")
+    names, want = plain_languages(labelled, rows)
+    model = language.train(docs)
+    assert list(model.languages) == names
+    found = {f["row"]: f for f in language.identify(pages, model).collect()}
+    assert len(found) == len(rows)
+    for (i, text, *_), posterior in zip(rows, want):
+        assert found[i]["confidence"] == pytest.approx(max(posterior), abs=1e-9)
+        first, second = sorted(posterior, reverse=True)[:2]
+        if first - second > 1e-9 and abs(first - 0.5) > 1e-9:
+            best = [*names, "und"][posterior.index(first)]
+            rejected = not plain_buckets(text) or first < 0.5 or best == "und"
+            assert (found[i]["lang"], found[i]["rejected"]) == ("und" if rejected else best, rejected)
+    none = spark.createDataFrame([], pages.schema)
+    assert language.identify(none, model).count() == 0
