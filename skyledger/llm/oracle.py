@@ -47,28 +47,44 @@ SELECT {columns} FROM y
 
 def licenses_sql() -> str:
     def words(w):
-        return "[" + ", ".join(f"'{x}'" for x in w) + "]"
-
-    templates = licenses.BASE + licenses.FURTHER
-    starts = ",\n".join(
-        f"list_filter(range(len(w)), lambda p: w[p + 1:p + {len(t.key)}] = {words(t.key)}) AS t{i}" for i, t in enumerate(templates))
-    shares = ",\n".join(
-        "coalesce(list_max(list_transform(t{i}, lambda s: ({hits}) / {n}.0::DOUBLE)), 0.0)".format(
-            i=i, n=len(t.words),
-            hits=" + ".join(
-                f"CASE WHEN s - {t.at} + {k} >= 0 AND w[s - {t.at} + {k + 1}] = '{x}' THEN 1 ELSE 0 END" for k, x in enumerate(t.words)))
-        for i, t in enumerate(templates))
-    base = [i for i, t in enumerate(templates) if t.base]
+        return f"string_split('{' '.join(w)}', ' ')"
+
+    templates = licenses.TEMPLATES
+    each = list(enumerate(templates))
+    columns = lambda form: ",\n  ".join(form(i, t) for i, t in each)
+    rare = lambda i, t: (
+        f"CASE WHEN list_has_all(w, {words(t.key_words)}) THEN list_filter(ranked, lambda x: list_contains({words(t.words)}, x)"
+        f" AND list_contains(w, x))[1:{licenses.RARE}] ELSE [] END AS r{i}")
+    implied = lambda i, t: (
+        f"list_sort(flatten(list_transform(r{i}, lambda r: list_distinct(flatten(list_transform("
+        f"list_filter(range({len(t.words)}), lambda o: {words(t.words)}[o + 1] = r), lambda o: list_transform("
+        f"list_filter(range(len(w)), lambda p: w[p + 1] = r), lambda p: p - o))))))) AS s{i}")
+    agreed = lambda i, t: f"list_distinct(list_filter(s{i}, lambda s, j: j > 1 AND s{i}[j - 1] = s)) AS c{i}"
+    stands = lambda t: " AND ".join(
+        f"len(list_filter(range(greatest(s + {at - t.slack}, 0), least(s + {at + t.slack}, len(w) - {len(key)}) + 1),"
+        f" lambda q: w[q + 1:q + {len(key)}] = {words(key)})) > 0" for at, key in t.keys)
+    verified = lambda i, t: f"list_filter(c{i}, lambda s: {stands(t)}) AS t{i}"
+    shares = ",\n  ".join(
+        f"coalesce(list_max(list_transform(t{i}, lambda s: len(list_filter(range({len(t.words)}), lambda k: s + k >= 0"
+        f" AND w[s + k + 1] = {words(t.words)}[k + 1])) / {len(t.words)}.0::DOUBLE)), 0.0)" for i, t in each)
+    base = [i for i, t in each if t.base]
     label = lambda ids: "[" + ", ".join(f"CASE WHEN len(t{i}) > 0 THEN '{templates[i].label}' END" for i in ids) + "]"
-    joined = lambda ids: f"coalesce(array_to_string(list_sort(list_filter({label(ids)}, lambda x: x IS NOT NULL)), ','), '')"
+    joined = lambda ids: f"coalesce(array_to_string(list_sort(list_distinct(list_filter({label(ids)}, lambda x: x IS NOT NULL))), ','), '')"
     return rf"""
 WITH d AS (
   SELECT doc_id, list_filter(string_split_regex({LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
-p AS (SELECT doc_id, w, {starts} FROM d),
+f AS (
+  SELECT word, count(*) AS df FROM (SELECT unnest(list_distinct(w)) AS word FROM d)
+  WHERE list_contains({words(sorted({w for t in templates for w in t.words}))}, word) GROUP BY word),
+k AS (SELECT coalesce(list(word ORDER BY df, word), []) AS ranked FROM f),
+r AS (SELECT doc_id, w, {columns(rare)} FROM d, k),
+s AS (SELECT doc_id, w, {columns(implied)} FROM r),
+c AS (SELECT doc_id, w, {columns(agreed)} FROM s),
+p AS (SELECT doc_id, w, {columns(verified)} FROM c),
 b AS (SELECT *, {' || '.join(f't{i}' for i in base)} AS bases FROM p)
 SELECT doc_id, len(w)::BIGINT AS n_words, len(bases)::BIGINT AS n_base,
   list_min(bases)::BIGINT AS first_word, list_max(bases)::BIGINT AS last_word,
-  {joined(base)} AS base_labels, {joined(range(len(templates)))} AS labels,
+  {joined(base)} AS base_labels, {joined([i for i, _ in each])} AS labels,
   greatest(0.0::DOUBLE, {shares})::DOUBLE AS score
 FROM b
 """
