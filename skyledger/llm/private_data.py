@@ -4,7 +4,7 @@ Patterns find e-mail addresses, IP addresses, card and phone numbers. The field
 candidates, the words with a digit or an ``@``, as one of these kinds or none:
 
 - a word's own potential comes from its shape, its two neighbours and its check (digits, octets, ``@``);
-- words that follow each other share a chain potential;
+- words that follow each other share a chain potential, one for all kinds that agree and one for kinds that differ;
 - distant words that repeat each other (equal letters and digits, or the same last seven digits, however
   written) share a skip potential: log odds that two such mentions agree. Every later mention is linked with the first one in the text, so links
   grow with the mentions, and no mention is further than two links from any other.
@@ -56,6 +56,8 @@ SMOOTH = 1.0
 BESIDE = 64
 #: Candidates in one step of inference; a single text may have more.
 STEP_NODES = 50_000
+#: From how many characters a word of each label is a span by itself: addresses always, cards from 12 digits, phones never.
+WHOLE = np.array([1, 1, 1, 12, 1 << 30])
 #: The log potential of a label that evidence rules out.
 NEVER = -40.0
 
@@ -276,7 +278,13 @@ def model_of(counts: np.ndarray) -> Model:
     by_cell = (cells + RARE * share) / (cells.sum(axis=1, keepdims=True) + RARE)
     pairs = counts[CELLS * LABELS:].reshape(2, LABELS, LABELS).astype(float)
     expected = share[:, None] * share[None, :]
-    chain = np.log((pairs[0] + SMOOTH * expected) / (pairs[0].sum() + SMOOTH) / expected)
+    # Kinds that follow each other share two potentials, to agree or to differ: a pattern that takes two numbers
+    # for one long one is silent on both, so a pair of kinds that was never labelled says nothing by itself.
+    seen = pairs[0].copy()
+    for which in (np.eye(LABELS - 1, dtype=bool), ~np.eye(LABELS - 1, dtype=bool)):
+        usual = expected[1:, 1:][which]
+        seen[1:, 1:][which] = seen[1:, 1:][which].sum() * usual / usual.sum()
+    chain = np.log((seen + SMOOTH * expected) / (seen.sum() + SMOOTH) / expected)
     # A pattern is evidence for a kind, but its silence is none against: of the mentions of one thing only
     # those count that are both labelled. All labels share one odds of agreement.
     found = pairs[1, 1:, 1:]
@@ -347,9 +355,10 @@ def _labeller(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             best = chances.argmax(axis=1) if len(chances) else np.zeros(0, dtype=np.int64)
             sure = (g.given == 0) & (best > 0) & (chances.max(axis=1, initial=0) >= SURE)
             low, high, follows = (_flat(batch, c) for c in ("from", "to", "follows"))
-            # Added candidates of one label that follow each other are one span.
+            # Added candidates of one label that follow each other are one span, but for those whole by themselves.
+            whole = high - low >= WHOLE[best]
             goes_on = np.zeros(len(sure), dtype=bool)
-            goes_on[1:] = sure[1:] & sure[:-1] & (best[1:] == best[:-1]) & (follows[1:] == 1)
+            goes_on[1:] = sure[1:] & sure[:-1] & (best[1:] == best[:-1]) & (follows[1:] == 1) & ~(whole[1:] | whole[:-1])
             opens = np.flatnonzero(sure & ~goes_on)
             closes = np.flatnonzero(sure & ~np.append(goes_on[1:], False))
             all_rows = np.concatenate([rows, g.rows[opens]])
