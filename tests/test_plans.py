@@ -1,13 +1,14 @@
 """The shape of the physical plans."""
 
 import datetime
+import glob
 import re
 from collections import Counter
 
 import pytest
 
 from conftest import plan_of
-from skyledger import plans
+from skyledger import plans, queries
 from skyledger.operators import TwoLegBounds, TwoLegSets, bounded_legs, day_range, pair_legs, popularity
 from skyledger.plans.summary import flight_summary
 from skyledger.queries import BOUNDS
@@ -171,6 +172,22 @@ def test_hot_keys_are_split_when_nothing_is_broadcast(spark, skewed_tables):
     assert final.count("SortMergeJoin(skew=true)") == 3
 
 
+def test_bad_lines_are_written_where_the_flights_are(spark, skewed_tables):
+    """Files grow in number with the flights; each has its header first, and no task sorts its lines."""
+    with session_conf(
+            spark, spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__shuffle__partitions=16,
+            spark__sql__adaptive__coalescePartitions__enabled="false"):
+        path = queries._csv_with_bad_lines(spark, skewed_tables)
+        flights = flights_view(spark, skewed_tables)
+    files = [open(f).read().splitlines() for f in glob.glob(f"{path}/**/*.txt", recursive=True)]
+    assert len(files) > 8
+    header = ",".join(flights.columns)
+    assert all(lines.count(header) == 1 and lines[0] == header for lines in files)
+    bad = flights.where("CAST(FlightNum AS BIGINT) % 11 = 0").count()
+    assert sum(line.startswith(queries.BAD_LINE) for lines in files for line in lines) == bad > 0
+    assert sum(map(len, files)) == len(files) + LINES + bad
+
+
 def legs(spark, n, airport, day, hub_side):
     """Legs of which one airport and day has a share that the expressions decide."""
     columns = {
