@@ -172,6 +172,18 @@ def test_hot_keys_are_split_when_nothing_is_broadcast(spark, skewed_tables):
     assert final.count("SortMergeJoin(skew=true)") == 3
 
 
+def test_suppliers_do_not_shuffle_the_lines(spark, skewed_tables):
+    """Also where nothing is small enough for Spark's own broadcasts."""
+    with session_conf(spark, **SMALL, spark__sql__shuffle__partitions=16):
+        plain = sorted(map(repr, flights_view(spark, skewed_tables).collect()))
+    with session_conf(spark, **SMALL | {"spark__sql__autoBroadcastJoinThreshold": 1}, spark__sql__shuffle__partitions=16):
+        view = flights_view(spark, skewed_tables)
+        assert sorted(map(repr, view.collect())) == plain
+        final = plan_of(view).split("Initial Plan")[0]
+    assert "hashpartitioning(l_orderkey" in final and "hashpartitioning(l_partkey" in final
+    assert "hashpartitioning(l_suppkey" not in final
+
+
 def test_bad_lines_are_written_where_the_flights_are(spark, skewed_tables):
     """Files grow in number with the flights; each has its header first, and no task sorts its lines."""
     with session_conf(
