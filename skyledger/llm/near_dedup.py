@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skyledger.llm.common import decided_rows, staged, steps
 from skyledger.llm.components import components
 from skyledger.llm.shingles import shingle_set, shingles
-from skyledger.session import scratch_dir
+from skyledger.session import scratch_dir, session_conf
 
 WIDTH = 5
 COORDINATES = 64
@@ -52,6 +52,9 @@ PERCENT = 75
 BLOCK = 512
 CHUNK = 4096
 
+#: Rows that a task hands to its Python worker at a time. Texts are wide, and both sides hold whole batches.
+BATCH_ROWS = 256
+
 _seeds = np.random.default_rng(20240501)
 _XOR = _seeds.integers(0, 1 << 64, COORDINATES, dtype=np.uint64)
 _ODD = _seeds.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -197,6 +200,12 @@ def _text_hash(text: str) -> Column:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The documents and the links, as ``_found`` gives them; every step in Python is done when they are returned."""
+    with session_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=BATCH_ROWS):
+        return _found(docs, doc_id, text)
+
+
+def _found(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """The documents and the links.
 
     Documents, one row per row of ``docs``: ``doc_id``, ``text_hash``, ``n_shingles``,
